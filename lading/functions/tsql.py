@@ -40,17 +40,24 @@ def has_digit(c: Column | str) -> Column:
 
 def drop_padding_zero(c: Column | str) -> Column:
     """Delete the first ``0`` that stands before another digit ("COLOMBO 03" -> "COLOMBO 3")."""
-    return F.regexp_replace(col(c), "(?s)^(.*?)0([0-9])", "$1$2")
+    text = col(c)
+    without = F.regexp_replace(text, "(?s)^(.*?)0([0-9])", "$1$2")
+    return F.when(F.contains(text, F.lit("0")), without).otherwise(text)
 
 
 def drop_trailing_comma(c: Column | str) -> Column:
     """Without one trailing comma; the empty string becomes NULL."""
-    # \z and not $, which in Java also matches before a final line break.
-    return F.regexp_replace(blank_to_null(c), ",\\z", "")
+    text = col(c)
+    shorter = F.substr(text, F.lit(1), F.length(text) - 1)
+    return F.when(F.endswith(text, F.lit(",")), shorter).when(text != "", text)
 
 
 def delete_chars(c: Column | str, chars: str) -> Column:
-    return F.translate(col(c), chars, "")
+    # One replace per character works on the bytes and beats a translation table.
+    text = col(c)
+    for char in chars:
+        text = F.replace(text, F.lit(char))
+    return text
 
 
 def replace_all(

@@ -84,16 +84,19 @@ def settle(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def strip_town_zero(df: DataFrame) -> DataFrame:
     """``COLOMBO 03`` becomes ``COLOMBO 3``; an empty town becomes NULL; tabs go."""
-    town = tsql.drop_padding_zero(tsql.blank_to_null("town"))
+    town = F.when(F.col("town") != "", tsql.drop_padding_zero("town"))
     return df.withColumn("town", tsql.delete_chars(town, "\t"))
 
 
 def strip_address_zero(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """The same for the part after the last comma, wherever that part occurs."""
-    part = tsql.last_part("address")
+    part = F.col("_part")
     stripped = tsql.replace_all("address", part, tsql.drop_padding_zero(part), rules.case_sensitive)
-    address = F.when(F.locate(",", F.col("address")) == 0, F.col("address")).otherwise(stripped)
-    return settle(df.withColumn("address", tsql.delete_chars(address, "\t")), ["address", "town"])
+    address = F.when(F.contains("address", F.lit(",")), stripped).otherwise(F.col("address"))
+    df = df.withColumn("_part", tsql.last_part("address")).withColumn(
+        "address", tsql.delete_chars(address, "\t")
+    )
+    return settle(df.drop("_part"), ["address", "town"])
 
 
 def remove_town(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
@@ -127,27 +130,32 @@ def _cut_word(text: Column, word: Column, rules: Rules) -> Column:
 
 def strip_trailing_commas(df: DataFrame) -> DataFrame:
     """Up to two trailing commas go, then all dots."""
-    text = tsql.drop_trailing_comma(F.trim(tsql.drop_trailing_comma("cln_address")))
-    return df.withColumn("cln_address", tsql.delete_chars(F.rtrim(text), "."))
+    once = df.withColumn("cln_address", F.trim(tsql.drop_trailing_comma("cln_address")))
+    text = F.rtrim(tsql.drop_trailing_comma("cln_address"))
+    return once.withColumn("cln_address", tsql.delete_chars(text, "."))
 
 
 def extract_street(df: DataFrame) -> DataFrame:
     """Add ``street``: from the last comma to the end, empty without a comma."""
     text = F.col("cln_address")
-    street = F.when(F.locate(",", text) > 0, tsql.last_part(text)).when(text.isNotNull(), F.lit(""))
+    street = F.when(F.contains(text, F.lit(",")), tsql.last_part(text)).when(text.isNotNull(), F.lit(""))
     return df.withColumn("street", street)
 
 
 def finish_street(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """Take the street out of ``cln_address`` and tidy both; add ``has_street``."""
     rest = F.trim(tsql.replace_all("cln_address", F.col("street"), "", rules.case_sensitive))
-    street = F.substr(tsql.blank_to_null("street"), F.lit(2))
-    df = df.withColumns(
-        {
-            "cln_address": _without_breaks(tsql.drop_trailing_comma(rest)),
-            "street": _without_breaks(street),
-        }
-    ).withColumn("has_street", F.when(tsql.trimmed_length("street") > 0, "Y").otherwise("N"))
+    street = F.when(F.col("street") != "", F.substr("street", F.lit(2)))
+    df = (
+        df.withColumn("cln_address", rest)
+        .withColumns(
+            {
+                "cln_address": _without_breaks(tsql.drop_trailing_comma("cln_address")),
+                "street": _without_breaks(street),
+            }
+        )
+        .withColumn("has_street", F.when(tsql.trimmed_length("street") > 0, "Y").otherwise("N"))
+    )
     return settle(df, ["cln_address", "street", "has_street"])
 
 
@@ -182,7 +190,7 @@ def assign_fields(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     last_two = tsql.concat_blank(third, space, last)
 
     separate_street = F.col("has_street") == "Y"
-    joined = tsql.concat_blank(last, space, street)
+    joined = F.col("_joined")
     fits = tsql.trimmed_length(joined) <= JOINED_STREET_LIMIT
 
     only_first = (
@@ -190,7 +198,7 @@ def assign_fields(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
         & (tsql.trimmed_length(third) == 0)
         & (tsql.trimmed_length(last) == 0)
     )
-    numbered_first, numbered_second = tsql.has_digit(first), tsql.has_digit(second)
+    numbered_first, numbered_second = F.col("_numbered1"), F.col("_numbered2")
     no_number = ~numbered_first & ~numbered_second
     short_second = tsql.trimmed_length(second) <= 1
     named_second = tsql.is_one_of(second, BUILDING_WORDS, rules.case_sensitive)
@@ -216,8 +224,15 @@ def assign_fields(df: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
         .when(two_off_street, last_two)
         .otherwise(F.concat(F.trim(tsql.concat_blank(second, space, third)), space, last))
     )
-    df = df.withColumns({"building": building, "street": F.trim(final_street)})
-    return settle(df.withColumnRenamed("town", "city"), ["building", "street", "city"])
+    df = df.withColumns(
+        {
+            "_joined": tsql.concat_blank(last, space, street),
+            "_numbered1": tsql.has_digit(first),
+            "_numbered2": tsql.has_digit(second),
+        }
+    ).withColumns({"building": building, "street": F.trim(final_street)})
+    df = df.drop("_joined", "_numbered1", "_numbered2").withColumnRenamed("town", "city")
+    return settle(df, ["building", "street", "city"])
 
 
 FIELDS = [

@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lading.sources.tables import LEDGER
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at ``path``, or no rows when nothing has been written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table at ``path``, unless there is something already."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, LEDGER)
+    """The ledger at ``path``, created empty on first use."""
+    create_if_missing(spark, path, LEDGER)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def new_entries(written: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -41,9 +41,13 @@ class Paths:
     def quarantine(self, run: str) -> str:
         return f"{self.work}/quarantine/run={run}"
 
-    def receipts(self, run: str = "*") -> str:
+    def receipts(self, run: str) -> str:
         return f"{self.work}/receipts/run={run}"
 
+    @property
+    def all_receipts(self) -> str:
+        return f"{self.work}/receipts"
+
 
 @dataclass(frozen=True)
 class ExportResult:
@@ -99,8 +103,9 @@ def _run(
     batch_size: int,
 ) -> ExportResult:
     register_blobfiles(spark)
-    run = uuid.uuid4().hex
     recovered = recover(spark, paths)
+    run = uuid.uuid4().hex
+    ledger.create_if_missing(spark, paths.receipts(run), RECEIPT)
 
     # Keys and names first, written once: later steps then agree on them (random
     # names too) and Spark knows the manifest's true size when it plans the join
@@ -135,7 +140,7 @@ def _run(
         .save(paths.root)
     )
 
-    receipts = ledger.read_or_empty(spark, paths.receipts(run), RECEIPT)
+    receipts = spark.read.schema(RECEIPT).parquet(paths.receipts(run))
     files = receipts.count()
     if files != written.get["files"]:
         raise RuntimeError(f"run {run}: {written.get['files']} files sent, {files} receipts found")
@@ -156,7 +161,10 @@ def recover(spark: SparkSession, paths: Paths) -> int:
     Tasks leave their receipts after their files, so a crash costs only the
     tasks that were running.
     """
-    receipts = ledger.read_or_empty(spark, paths.receipts(), RECEIPT)
+    ledger.create_if_missing(spark, paths.all_receipts, RECEIPT)
+    receipts = (
+        spark.read.schema(RECEIPT).option("recursiveFileLookup", "true").parquet(paths.all_receipts)
+    )
     missing = ledger.new_entries(receipts, ledger.read_ledger(spark, paths.ledger)).count()
     if missing:
         ledger.append_entries(spark, paths.ledger, receipts)
