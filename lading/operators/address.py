@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
+from lading.operators.spread import hot_keys, spread_join
 
 # Words that belong to the building although they carry no number.
 BUILDING_WORDS = ("FLOOR", "TOWER", "LANE")
@@ -44,20 +45,30 @@ class Rules:
 DEFAULT = Rules()
 
 
-def resolve_source(pickups: DataFrame, customers: DataFrame) -> DataFrame:
+def resolve_source(pickups: DataFrame, customers: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Pickups with the customer's address or town where their own is missing.
 
     Address and town fall back independently and only from NULL. Pickups without
     a customer stay, with ``customer_found`` false. ``customer_id`` must be unique
     in ``customers``.
+
+    It is the only join of the cleaning, so the adaptive skew join can split a
+    customer with very many pickups. With ``hot_rows``, customers with that many
+    are found by a count and salted instead.
     """
-    owner = customers.select(
+    owner = customers.filter("customer_id IS NOT NULL").select(
+        "customer_id",
         F.col("customer_id").alias("_owner_id"),
         "customer_name",
         F.col("address").alias("_owner_address"),
         F.col("town").alias("_owner_town"),
     )
-    return pickups.join(owner, F.col("customer_id") == F.col("_owner_id"), "left").select(
+    if hot_rows is None:
+        joined = pickups.join(owner, "customer_id", "left")
+    else:
+        hot = hot_keys(pickups, ["customer_id"], hot_rows)
+        joined = spread_join(pickups, owner, ["customer_id"], hot, spread_by=["pickup_id"])
+    return joined.select(
         "pickup_id",
         "customer_id",
         "customer_name",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
-from lading.operators.spread import HOT_ROWS, spread_join
+from lading.operators.spread import HOT_ROWS
 
 # Status texts of the source tables.
 PRINTED = "YES"
@@ -45,30 +45,75 @@ def not_exported(df: DataFrame, ledger: DataFrame) -> DataFrame:
     return df.join(ledger.select("id"), "id", "left_anti")
 
 
+def open_headers(headers: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``id, created_date`` of the headers whose attachments are still to export.
+
+    The ledger is taken off the headers, where an id occurs once, and not off the
+    attachments: those then go through one join only.
+    """
+    return not_exported(headers.select(F.col("detain_hawb_id").alias("id"), "created_date"), ledger)
+
+
 def attachment_candidates(
     attachments: DataFrame, headers: DataFrame, ledger: DataFrame, case_sensitive: bool = True
 ) -> DataFrame:
-    """``id, created_date, folder, file_name`` of the attachments still to export."""
+    """``id, created_date, folder, file_name`` of every attachment still to export."""
     printed = printed_attachments(attachments, case_sensitive).select("id", "atchmnt_name")
-    dated = headers.select(F.col("detain_hawb_id").alias("id"), "created_date")
-    return (
-        not_exported(printed, ledger)
-        .join(dated, "id")
-        .select("id", "created_date", month_folder("created_date"), attachment_name("atchmnt_name", "id"))
+    return printed.join(open_headers(headers, ledger), "id").select(
+        "id", "created_date", month_folder("created_date"), attachment_name("atchmnt_name", "id")
     )
 
 
-def signature_candidates(
+def signature_candidates(shipments: DataFrame, ledger: DataFrame, case_sensitive: bool = True) -> DataFrame:
+    """``id, created_date, folder, file_name`` of every signature still to export."""
+    delivered = delivered_shipments(shipments, case_sensitive).select("id", "created_date")
+    return not_exported(delivered, ledger).select(
+        "id", "created_date", month_folder("created_date"), signature_name("id")
+    )
+
+
+def attachment_ids(
+    attachments: DataFrame, headers: DataFrame, ledger: DataFrame, case_sensitive: bool = True
+) -> DataFrame:
+    """The attachment candidates with one row per id: ``id, n_rows, folder, file_name``.
+
+    Counting comes first: it combines before the shuffle, so an id with very many
+    rows reaches the join as a single one. Folder and name mean something only
+    where ``n_rows`` is 1.
+    """
+    printed = (
+        printed_attachments(attachments, case_sensitive)
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("_attachments"), F.min("atchmnt_name").alias("atchmnt_name"))
+    )
+    dated = (
+        open_headers(headers, ledger)
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("_headers"), F.min("created_date").alias("created_date"))
+    )
+    return printed.join(dated, "id").select(
+        "id",
+        (F.col("_attachments") * F.col("_headers")).alias("n_rows"),
+        month_folder("created_date"),
+        attachment_name("atchmnt_name", "id"),
+    )
+
+
+def signature_ids(
     shipments: DataFrame, ledger: DataFrame, random_names: bool = False, case_sensitive: bool = True
 ) -> DataFrame:
-    """``id, created_date, folder, file_name`` of the signatures still to export.
+    """The signature candidates with one row per id: ``id, n_rows, folder, file_name``.
 
     With ``random_names`` the result must be written once before it is used:
     the names change with every evaluation.
     """
-    delivered = delivered_shipments(shipments, case_sensitive).select("id", "created_date")
+    delivered = (
+        delivered_shipments(shipments, case_sensitive)
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.min("created_date").alias("created_date"))
+    )
     name = F.concat(F.upper(F.uuid()), F.lit(".jpg")).alias("file_name") if random_names else signature_name("id")
-    return not_exported(delivered, ledger).select("id", "created_date", month_folder("created_date"), name)
+    return not_exported(delivered, ledger).select("id", "n_rows", month_folder("created_date"), name)
 
 
 def month_folder(created: str) -> Column:
@@ -106,48 +151,48 @@ def signature_payload(shipments: DataFrame, case_sensitive: bool = True) -> Data
     return delivered.select("id", decode_base64("signature").alias("content"))
 
 
-def accepted(candidates: DataFrame, name_limit: int = NAME_LIMIT) -> DataFrame:
-    """``id, folder, file_name`` of the candidates that can be written and recorded.
+def attachment_names(attachments: DataFrame, case_sensitive: bool = True) -> DataFrame:
+    """``id, file_name`` of every printed attachment."""
+    printed = printed_attachments(attachments, case_sensitive)
+    return printed.select("id", attachment_name("atchmnt_name", "id"))
+
 
-    One aggregation keeps ids that occur once. It combines before the shuffle, so
-    an id with very many rows arrives as one row per task.
-    """
-    single = candidates.groupBy("id").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.min("folder").alias("folder"),
-        F.min("file_name").alias("file_name"),
-    )
-    fits = F.octet_length("file_name") <= name_limit
-    return single.filter((F.col("_rows") == 1) & F.col("folder").isNotNull() & fits).drop("_rows")
+def signature_names(shipments: DataFrame, case_sensitive: bool = True) -> DataFrame:
+    """``id, file_name`` of every delivered shipment."""
+    return delivered_shipments(shipments, case_sensitive).select("id", signature_name("id"))
 
 
-def id_counts(df: DataFrame) -> DataFrame:
-    """Ids that occur more than once and how often."""
-    return df.groupBy("id").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+def accepted(ids: DataFrame, name_limit: int = NAME_LIMIT) -> DataFrame:
+    """``id, folder, file_name`` of the ids that can be written and recorded."""
+    fits = F.octet_length("file_name") <= name_limit
+    return ids.filter((F.col("n_rows") == 1) & F.col("folder").isNotNull() & fits).drop("n_rows")
 
 
 def rejected(
-    candidates: DataFrame, name_limit: int = NAME_LIMIT, hot_rows: int = HOT_ROWS
+    ids: DataFrame, names: DataFrame, name_limit: int = NAME_LIMIT, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``id, folder, file_name, reason`` of every candidate row held back before reading payloads."""
-    repeated = id_counts(candidates)
-    flagged = spread_join(
-        candidates,
-        repeated,
-        ["id"],
-        hot=repeated.filter(F.col("n_rows") >= hot_rows),
-        spread_by=["file_name", "created_date"],
-    )
-    reason = (
-        F.when(F.col("n_rows") > 1, DUPLICATE)
-        .when(F.col("created_date").isNull(), UNDATED)
-        .when(F.octet_length("file_name") > name_limit, LONG_NAME)
-    )
-    return (
-        flagged.withColumn("reason", reason)
-        .filter(F.col("reason").isNotNull())
-        .select("id", "folder", "file_name", "reason")
-    )
+    """``id, folder, file_name, reason`` of every row held back before reading payloads.
+
+    Every row of a repeated id is listed, with its own name from ``names``. Ids
+    with at least ``hot_rows`` rows, of which N rows have at most N / ``hot_rows``,
+    are matched by broadcast, and their rows never shuffled.
+    """
+    reason = F.when(F.col("folder").isNull(), UNDATED).when(F.octet_length("file_name") > name_limit, LONG_NAME)
+    single = ids.filter("n_rows = 1").withColumn("reason", reason).filter("reason IS NOT NULL")
+
+    repeated = ids.filter("n_rows > 1").select("id", "n_rows", "folder")
+    hot = F.broadcast(repeated.filter(F.col("n_rows") >= hot_rows))
+    cold = repeated.filter(F.col("n_rows") < hot_rows)
+    rows = names.join(hot, "id").unionByName(without_hot(names, hot).join(cold, "id"))
+    duplicates = rows.withColumn("reason", F.lit(DUPLICATE))
+
+    columns = ["id", "folder", "file_name", "reason"]
+    return single.select(columns).unionAll(duplicates.select(columns))
+
+
+def without_hot(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """``df`` without the ids in ``hot``, which must be few enough to broadcast."""
+    return df.join(F.broadcast(hot.select("id")), "id", "left_anti")
 
 
 def with_payload(manifest: DataFrame, payload: DataFrame) -> DataFrame:

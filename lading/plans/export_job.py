@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from lading.operators import export, ledger
 from lading.operators.numbering import BATCH_SIZE, assign_batches
+from lading.operators.spread import hot_keys
 from lading.sources.register import register_blobfiles
 
 RECEIPT = T.StructType(
@@ -68,12 +69,16 @@ def export_attachments(
 ) -> ExportResult:
     """Write every printed attachment that the ledger does not hold."""
 
-    def candidates(done: DataFrame) -> DataFrame:
-        return export.attachment_candidates(attachments, headers, done, case_sensitive)
+    def open_ids(done: DataFrame) -> DataFrame:
+        return export.attachment_ids(attachments, headers, done, case_sensitive)
 
-    payload = export.attachment_payload(attachments, case_sensitive)
-    rows = export.attachment_rows(attachments, headers, case_sensitive)
-    return _run(spark, candidates, payload, rows, paths, batch_size)
+    source = _Source(
+        open_ids,
+        export.attachment_names(attachments, case_sensitive),
+        export.attachment_payload(attachments, case_sensitive),
+        export.attachment_rows(attachments, headers, case_sensitive),
+    )
+    return _run(spark, source, paths, batch_size)
 
 
 def export_signatures(
@@ -86,22 +91,33 @@ def export_signatures(
 ) -> ExportResult:
     """Decode and write the signature of every delivered shipment not in the ledger."""
 
-    def candidates(done: DataFrame) -> DataFrame:
-        return export.signature_candidates(shipments, done, random_names, case_sensitive)
+    def open_ids(done: DataFrame) -> DataFrame:
+        return export.signature_ids(shipments, done, random_names, case_sensitive)
 
-    payload = export.signature_payload(shipments, case_sensitive)
-    rows = None if random_names else export.signature_rows(shipments, case_sensitive)
-    return _run(spark, candidates, payload, rows, paths, batch_size)
+    source = _Source(
+        open_ids,
+        export.signature_names(shipments, case_sensitive),
+        export.signature_payload(shipments, case_sensitive),
+        None if random_names else export.signature_rows(shipments, case_sensitive),
+    )
+    return _run(spark, source, paths, batch_size)
 
 
-def _run(
-    spark: SparkSession,
-    candidates_for: Callable[[DataFrame], DataFrame],
-    payload: DataFrame,
-    rows: DataFrame | None,
-    paths: Paths,
-    batch_size: int,
-) -> ExportResult:
+@dataclass(frozen=True)
+class _Source:
+    """What a job reads: ids to export given the ledger, names and payloads of all rows.
+
+    ``rows`` has names and payload together, where a row's name does not depend
+    on the run.
+    """
+
+    open_ids: Callable[[DataFrame], DataFrame]
+    names: DataFrame
+    payload: DataFrame
+    rows: DataFrame | None
+
+
+def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) -> ExportResult:
     register_blobfiles(spark)
     recovered = recover(spark, paths)
     run = uuid.uuid4().hex
@@ -111,12 +127,9 @@ def _run(
     # names too) and Spark knows the manifest's true size when it plans the join
     # with the payload.
     done = ledger.read_ledger(spark, paths.ledger)
-    candidates = candidates_for(done)
-    manifest = assign_batches(export.accepted(candidates), ["id"], batch_size)
-    manifest.write.parquet(paths.manifest(run))
-    # With random names only names of held-back rows differ from another evaluation.
-    export.rejected(candidates).write.parquet(paths.quarantine(run))
-
+    ids = source.open_ids(done)
+    assign_batches(export.accepted(ids), ["id"], batch_size).write.parquet(paths.manifest(run))
+    export.rejected(ids, source.names).write.parquet(paths.quarantine(run))
     manifest = spark.read.parquet(paths.manifest(run))
     planned = manifest.count()
     if planned == 0:
@@ -124,11 +137,14 @@ def _run(
 
     # Select the payloads by the shorter list, so that it can be broadcast as often
     # as possible: on a first run nearly everything is exported, later very little.
-    held_back = spark.read.parquet(paths.quarantine(run))
-    excluded = done.select("id").unionAll(held_back.select("id"))
-    if rows is not None and excluded.count() < planned:
-        selected = export.without_ids(rows, excluded)
+    # Payloads of ids with very many rows go first, before any shuffle.
+    held_back = spark.read.parquet(paths.quarantine(run)).select("id")
+    hot = hot_keys(held_back, ["id"])
+    excluded = done.select("id").unionAll(held_back)
+    if source.rows is not None and excluded.count() < planned:
+        selected = export.without_ids(export.without_hot(source.rows, hot), excluded)
     else:
+        payload = export.without_hot(source.payload, hot)
         selected = export.with_payload(manifest.select("id", "folder", "file_name"), payload)
     written = Observation("written")
     (

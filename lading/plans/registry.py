@@ -146,41 +146,50 @@ def _all_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "attachment_input").unionAll(view(spark, sf_dir, "attachment_twin_input"))
 
 
-@query
-def duplicate_id_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candidates = export.attachment_candidates(
+def _twin_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.attachment_ids(
         _all_attachments(spark, sf_dir),
         view(spark, sf_dir, "header_input"),
         view(spark, sf_dir, "attachment_ledger"),
     )
-    return export.rejected(candidates)
+
+
+@query
+def duplicate_id_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = export.attachment_names(_all_attachments(spark, sf_dir))
+    return export.rejected(_twin_ids(spark, sf_dir), names)
 
 
 @query
 def single_id_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candidates = export.attachment_candidates(
-        _all_attachments(spark, sf_dir),
-        view(spark, sf_dir, "header_input"),
-        view(spark, sf_dir, "attachment_ledger"),
+    return export.accepted(_twin_ids(spark, sf_dir))
+
+
+def _jpeg_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.signature_ids(
+        view(spark, sf_dir, "shipment_input"), view(spark, sf_dir, "shipment_ledger")
     )
-    return export.accepted(candidates)
+
+
+def _jpeg_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = export.signature_names(view(spark, sf_dir, "shipment_input"))
+    return export.rejected(_jpeg_ids(spark, sf_dir), names)
 
 
 @query
 def signature_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    candidates = _jpeg_candidates(spark, sf_dir)
     payload = export.signature_payload(view(spark, sf_dir, "shipment_input"))
     unreadable = (
-        export.accepted(candidates)
+        export.accepted(_jpeg_ids(spark, sf_dir))
         .join(payload.filter(F.col("content").isNull()).select("id"), "id", "left_semi")
         .withColumn("reason", F.lit(export.NO_PAYLOAD))
     )
-    return export.rejected(candidates).unionByName(unreadable)
+    return _jpeg_rejected(spark, sf_dir).unionByName(unreadable)
 
 
 @query
 def export_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.folder_counts(export.accepted(_jpeg_candidates(spark, sf_dir)))
+    return export.folder_counts(export.accepted(_jpeg_ids(spark, sf_dir)))
 
 
 @query
@@ -190,7 +199,7 @@ def candidate_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_batches(export.accepted(_jpeg_candidates(spark, sf_dir)), ["id"])
+    return assign_batches(export.accepted(_jpeg_ids(spark, sf_dir)), ["id"])
 
 
 def _digest(df: DataFrame) -> DataFrame:
@@ -205,15 +214,19 @@ def _digest(df: DataFrame) -> DataFrame:
 
 @query
 def pdf_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = export.accepted(_pdf_candidates(spark, sf_dir))
+    ids = export.attachment_ids(
+        view(spark, sf_dir, "attachment_input"),
+        view(spark, sf_dir, "header_input"),
+        view(spark, sf_dir, "attachment_ledger"),
+    )
     payload = export.attachment_payload(view(spark, sf_dir, "attachment_input"))
-    return _digest(export.with_payload(manifest, payload))
+    return _digest(export.with_payload(export.accepted(ids), payload))
 
 
 def _jpeg_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = export.signature_rows(view(spark, sf_dir, "shipment_input"))
     done = view(spark, sf_dir, "shipment_ledger").select("id")
-    held_back = export.rejected(_jpeg_candidates(spark, sf_dir)).select("id")
+    held_back = _jpeg_rejected(spark, sf_dir).select("id")
     selected = export.without_ids(rows, done.unionAll(held_back))
     return selected.filter(F.col("content").isNotNull())
 
@@ -241,7 +254,7 @@ def export_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left after a run that got through the first batch only."""
     done = view(spark, sf_dir, "shipment_ledger").select("id")
-    batches = assign_batches(export.accepted(_jpeg_candidates(spark, sf_dir)), ["id"])
+    batches = assign_batches(export.accepted(_jpeg_ids(spark, sf_dir)), ["id"])
     first = batches.filter(F.col("batch_id") == 0).select("id")
     left = export.signature_candidates(view(spark, sf_dir, "shipment_input"), done.unionAll(first))
     return left.select("id", "folder", "file_name")

@@ -95,6 +95,8 @@ def test_fallback_is_per_field_and_only_from_null(spark):
     assert [(r.address, r.town, r.customer_found) for r in source.collect()] == [
         ("CA", "T1", True), ("", "CT", True), ("A3", None, False), (None, None, False),
     ]
+    salted = address.resolve_source(left, right, hot_rows=1).orderBy("pickup_id")
+    assert salted.collect() == source.collect()
     assert [r.pickup_id for r in address.clean_pickups(left, right).orderBy("pickup_id").collect()] == [1, 2]
 
 

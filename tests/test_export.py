@@ -78,13 +78,26 @@ def test_held_back_rows(spark):
         (3, "YES", "x" * 300, b"3"), (4, "YES", "undated", b"4"), (5, "YES", "twin", b"5"), (5, "NO", "twin", b"5"),
     ]
     dated = headers(spark, [(1, JUNE), (2, JUNE), (3, JUNE), (4, None), (5, JUNE)])
-    candidates = export.attachment_candidates(attachments(spark, rows), dated, done(spark))
+    ids = export.attachment_ids(attachments(spark, rows), dated, done(spark))
+    names = export.attachment_names(attachments(spark, rows))
     for hot_rows in (1, 10**6):
-        held = export.rejected(candidates, hot_rows=hot_rows).collect()
+        held = export.rejected(ids, names, hot_rows=hot_rows).collect()
         assert sorted((r.id, r.reason) for r in held) == [
             (2, "duplicate_id"), (2, "duplicate_id"), (3, "name_too_long"), (4, "no_created_date"),
         ]
-    assert sorted(r.id for r in export.accepted(candidates).collect()) == [1, 5]
+        assert {r.file_name for r in held if r.id == 2} == {"a-2.pdf", "b-2.pdf"}
+    assert sorted(r.id for r in export.accepted(ids).collect()) == [1, 5]
+    twice = dated.unionAll(headers(spark, [(1, JUNE)]))
+    ids = export.attachment_ids(attachments(spark, rows), twice, done(spark, 5))
+    assert export.accepted(ids).count() == 0
+
+
+def test_repeated_id_reaches_the_join_once(spark):
+    frame = attachments(spark, [(1, "YES", "n", b"x")] * 500)
+    ids = export.attachment_ids(frame, headers(spark, [(1, JUNE)]), done(spark))
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("partial_count(1)")
+    assert ids.select("id", "n_rows").collect() == [(1, 500)]
 
 
 def test_write_back(spark):
