@@ -59,3 +59,8 @@ def assign_batches(
     numbered = number_rows(df, order_by, "_row_number")
     batch = F.floor((F.col("_row_number") - 1) / batch_size).cast("long")
     return numbered.withColumn(name, batch).drop("_row_number")
+
+
+def number_range(numbered: DataFrame, first: int, last: int, name: str = "row_number") -> DataFrame:
+    """Rows numbered ``first`` to ``last``, both included."""
+    return numbered.filter(F.col(name).between(first, last))

@@ -27,36 +27,27 @@ RECEIPT = T.StructType(
 
 @dataclass(frozen=True)
 class Paths:
-    """Where a job keeps its tables; all reachable from every executor.
+    """Where a job keeps its files and tables; all reachable from every executor.
 
-    Manifests, quarantined rows and receipts get one folder per run below ``work``.
+    Each kind of export has its own ledger and, below ``work``, its own folder with
+    manifests, quarantined rows and receipts, one subfolder per run.
     """
 
     root: str
     ledger: str
     work: str
 
-    def manifest(self, run: str) -> str:
-        return f"{self.work}/manifest/run={run}"
-
-    def quarantine(self, run: str) -> str:
-        return f"{self.work}/quarantine/run={run}"
-
-    def receipts(self, run: str) -> str:
-        return f"{self.work}/receipts/run={run}"
-
-    @property
-    def all_receipts(self) -> str:
-        return f"{self.work}/receipts"
-
 
 @dataclass(frozen=True)
 class ExportResult:
-    run: str
+    """``planned`` files should have been written, ``files`` were; the rest is in quarantine."""
+
     planned: int
     files: int
     bytes: int
     recovered: int
+    manifest: str
+    quarantine: str
 
 
 def export_attachments(
@@ -73,6 +64,7 @@ def export_attachments(
         return export.attachment_ids(attachments, headers, done, case_sensitive)
 
     source = _Source(
+        "attachments",
         open_ids,
         export.attachment_names(attachments, case_sensitive),
         export.attachment_payload(attachments, case_sensitive),
@@ -95,6 +87,7 @@ def export_signatures(
         return export.signature_ids(shipments, done, random_names, case_sensitive)
 
     source = _Source(
+        "signatures",
         open_ids,
         export.signature_names(shipments, case_sensitive),
         export.signature_payload(shipments, case_sensitive),
@@ -111,6 +104,7 @@ class _Source:
     on the run.
     """
 
+    kind: str
     open_ids: Callable[[DataFrame], DataFrame]
     names: DataFrame
     payload: DataFrame
@@ -119,26 +113,29 @@ class _Source:
 
 def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) -> ExportResult:
     register_blobfiles(spark)
-    recovered = recover(spark, paths)
+    work = f"{paths.work.rstrip('/')}/{source.kind}"
+    recovered = recover(spark, paths.ledger, f"{work}/receipts")
     run = uuid.uuid4().hex
-    ledger.create_if_missing(spark, paths.receipts(run), RECEIPT)
+    manifest_path, quarantine_path, receipts_path = (
+        f"{work}/{table}/run={run}" for table in ("manifest", "quarantine", "receipts")
+    )
 
     # Keys and names first, written once: later steps then agree on them (random
     # names too) and Spark knows the manifest's true size when it plans the join
     # with the payload.
     done = ledger.read_ledger(spark, paths.ledger)
     ids = source.open_ids(done)
-    assign_batches(export.accepted(ids), ["id"], batch_size).write.parquet(paths.manifest(run))
-    export.rejected(ids, source.names).write.parquet(paths.quarantine(run))
-    manifest = spark.read.parquet(paths.manifest(run))
+    assign_batches(export.accepted(ids), ["id"], batch_size).write.parquet(manifest_path)
+    export.rejected(ids, source.names).write.parquet(quarantine_path)
+    manifest = spark.read.parquet(manifest_path)
     planned = manifest.count()
     if planned == 0:
-        return ExportResult(run, 0, 0, 0, recovered)
+        return ExportResult(0, 0, 0, recovered, manifest_path, quarantine_path)
 
     # Select the payloads by the shorter list, so that it can be broadcast as often
     # as possible: on a first run nearly everything is exported, later very little.
     # Payloads of ids with very many rows go first, before any shuffle.
-    held_back = spark.read.parquet(paths.quarantine(run)).select("id")
+    held_back = spark.read.parquet(quarantine_path).select("id")
     hot = hot_keys(held_back, ["id"])
     excluded = done.select("id").unionAll(held_back)
     if source.rows is not None and excluded.count() < planned:
@@ -147,43 +144,44 @@ def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) ->
         payload = export.without_hot(source.payload, hot)
         selected = export.with_payload(manifest.select("id", "folder", "file_name"), payload)
     written = Observation("written")
+    ledger.create_if_missing(spark, receipts_path, RECEIPT)
     (
         selected.filter(F.col("content").isNotNull())
         .observe(written, F.count(F.lit(1)).alias("files"), F.sum(F.octet_length("content")).alias("bytes"))
         .write.format("blobfiles")
         .mode("append")
-        .option("receipts", paths.receipts(run))
+        .option("receipts", receipts_path)
         .save(paths.root)
     )
 
-    receipts = spark.read.schema(RECEIPT).parquet(paths.receipts(run))
+    receipts = spark.read.schema(RECEIPT).parquet(receipts_path)
     files = receipts.count()
     if files != written.get["files"]:
-        raise RuntimeError(f"run {run}: {written.get['files']} files sent, {files} receipts found")
+        raise RuntimeError(f"{written.get['files']} files sent, {files} receipts in {receipts_path}")
     ledger.append_entries(spark, paths.ledger, receipts)
     if files < planned:
         (
             manifest.join(receipts.select("id"), "id", "left_anti")
             .select("id", "folder", "file_name", F.lit(export.NO_PAYLOAD).alias("reason"))
             .write.mode("append")
-            .parquet(paths.quarantine(run))
+            .parquet(quarantine_path)
         )
-    return ExportResult(run, planned, files, written.get["bytes"] or 0, recovered)
+    return ExportResult(
+        planned, files, written.get["bytes"] or 0, recovered, manifest_path, quarantine_path
+    )
 
 
-def recover(spark: SparkSession, paths: Paths) -> int:
+def recover(spark: SparkSession, ledger_path: str, receipts_path: str) -> int:
     """Record files that an interrupted run wrote but did not get to record.
 
     Tasks leave their receipts after their files, so a crash costs only the
     tasks that were running.
     """
-    ledger.create_if_missing(spark, paths.all_receipts, RECEIPT)
-    receipts = (
-        spark.read.schema(RECEIPT).option("recursiveFileLookup", "true").parquet(paths.all_receipts)
-    )
-    missing = ledger.new_entries(receipts, ledger.read_ledger(spark, paths.ledger)).count()
+    ledger.create_if_missing(spark, receipts_path, RECEIPT)
+    receipts = spark.read.schema(RECEIPT).option("recursiveFileLookup", "true").parquet(receipts_path)
+    missing = ledger.new_entries(receipts, ledger.read_ledger(spark, ledger_path)).count()
     if missing:
-        ledger.append_entries(spark, paths.ledger, receipts)
+        ledger.append_entries(spark, ledger_path, receipts)
     return missing
 
 

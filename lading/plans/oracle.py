@@ -189,6 +189,10 @@ _FINAL = {
     "export_folders": "SELECT folder, count(*) AS n_files FROM jpeg_accepted GROUP BY folder",
     "candidate_numbers": """
         SELECT id, folder, row_number() OVER (ORDER BY id) AS row_number FROM jpeg_named""",
+    "batch_range": """
+        SELECT * FROM (SELECT id, folder, row_number() OVER (ORDER BY id) AS row_number FROM jpeg_named)
+        WHERE row_number BETWEEN 1 AND 500""",
+    "export_paths": "SELECT id, concat('/exports/', folder, '/', file_name) AS path FROM jpeg_accepted",
     "export_batches": "SELECT id, folder, file_name, batch_id FROM jpeg_batched",
     "pdf_payload": """
         SELECT id, folder, file_name, octet_length(content) AS n_bytes, md5(content) AS md5 FROM pdf_named""",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lading.operators import address, dedup, export
-from lading.operators.numbering import assign_batches, number_rows
+from lading.operators.numbering import BATCH_SIZE, assign_batches, number_range, number_rows
 from lading.plans import export_job
 from lading.plans.derived import AS_OF, view
 from lading.session import run_folder
@@ -197,6 +197,19 @@ def candidate_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_rows(_jpeg_candidates(spark, sf_dir).select("id", "folder"), ["id"])
 
 
+@query
+def batch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch, taken by row numbers."""
+    numbered = number_rows(_jpeg_candidates(spark, sf_dir).select("id", "folder"), ["id"])
+    return number_range(numbered, 1, BATCH_SIZE)
+
+
+@query
+def export_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = export.accepted(_jpeg_ids(spark, sf_dir))
+    return manifest.select("id", export.target_path("/exports/").alias("path"))
+
+
 @query
 def export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_batches(export.accepted(_jpeg_ids(spark, sf_dir)), ["id"])

@@ -126,7 +126,7 @@ def test_attachment_job_and_second_run(spark, tmp_path):
     recorded = spark.read.parquet(where.ledger)
     assert recorded.count() == recorded.select("id").distinct().count() == 29
     assert recorded.filter(F.col("migrated_at").isNull()).count() == 0
-    held = spark.read.parquet(where.quarantine(first.run)).collect()
+    held = spark.read.parquet(first.quarantine).collect()
     assert sorted((r.id, r.reason) for r in held) == [(2, "duplicate_id"), (2, "duplicate_id"), (41, "no_payload")]
 
     second = export_job.export_attachments(spark, frame, dated, where)
@@ -147,7 +147,7 @@ def test_signature_job(spark, tmp_path, random_names):
     frame = shipments(spark, rows + [(99, JUNE, "DE", "!!!"), (98, None, "DE", "AQID")])
     result = export_job.export_signatures(spark, frame, where, random_names=random_names, batch_size=15)
     assert (result.planned, result.files) == (41, 40)
-    manifest = spark.read.parquet(where.manifest(result.run))
+    manifest = spark.read.parquet(result.manifest)
     assert {r.batch_id: r["count"] for r in manifest.groupBy("batch_id").count().collect()} == {0: 15, 1: 15, 2: 11}
     names = {r.id: r.document_name for r in spark.read.parquet(where.ledger).collect()}
     assert set(names) == set(contents)
