@@ -222,6 +222,9 @@ _FINAL = {
     "customer_survivors": """
         SELECT customer_id, customer_name, match_name, building, street, city
         FROM cust_walk WHERE customer_id = survivor_id""",
+    "customers_without_duplicates": """
+        SELECT customer_id, customer_name, address, town FROM customer_input
+        WHERE customer_id IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id)""",
     "pickup_repointed": "SELECT pickup_id, customer_id FROM repointed",
     "lost_pickups": """
         SELECT count(*) AS n_lost

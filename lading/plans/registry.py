@@ -11,7 +11,7 @@ from lading.operators import address, dedup, export
 from lading.operators.numbering import BATCH_SIZE, assign_batches, number_range, number_rows
 from lading.plans import export_job
 from lading.plans.derived import AS_OF, view
-from lading.session import run_folder
+from lading.session import run_folder, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -343,22 +343,25 @@ def customer_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.survivors(_resolved(spark, sf_dir))
 
 
-def _repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    walk = dedup.crosswalk(_resolved(spark, sf_dir))
-    return dedup.repoint(view(spark, sf_dir, "pickup_input"), walk)
-
-
 @query
 def pickup_repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _repointed(spark, sf_dir).select("pickup_id", "customer_id")
+    walk = dedup.crosswalk(_resolved(spark, sf_dir))
+    moved = dedup.repoint(view(spark, sf_dir, "pickup_input"), walk)
+    return moved.select("pickup_id", "customer_id")
 
 
 @query
 def lost_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lost = dedup.lost_pickups(
-        view(spark, sf_dir, "pickup_input"),
-        view(spark, sf_dir, "customer_input"),
-        _repointed(spark, sf_dir),
-        dedup.survivors(_resolved(spark, sf_dir)),
-    )
+    shared_folder(spark)
+    # Used by two sides of the check: stored once, so addresses are not cleaned again.
+    walk = dedup.crosswalk(_resolved(spark, sf_dir)).checkpoint()
+    pickups, customers = view(spark, sf_dir, "pickup_input"), view(spark, sf_dir, "customer_input")
+    moved, remaining = dedup.repoint(pickups, walk), dedup.remove_duplicates(customers, walk)
+    lost = dedup.lost_pickups(pickups, customers, moved, remaining)
     return lost.agg(F.count(F.lit(1)).alias("n_lost"))
+
+
+@query
+def customers_without_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    walk = dedup.crosswalk(_resolved(spark, sf_dir))
+    return dedup.remove_duplicates(view(spark, sf_dir, "customer_input"), walk)
