@@ -20,15 +20,17 @@ def number_rows(df: DataFrame, order_by: list[str], name: str = "row_number") ->
     Rows are range-partitioned and sorted, each gets its place within its
     partition, and the sizes of the partitions before it are added. The placed
     rows are checkpointed: sizes and places must come from one and the same
-    partitioning, also after an executor is lost. Give enough columns in
-    ``order_by`` to tell rows apart; equal rows land in one partition. Keep wide
-    columns out of ``df``.
+    partitioning, also after an executor is lost. Rows that agree in ``order_by``
+    are told apart by a hash of their other columns, so that a value with very
+    many rows fills more than one partition. Keep wide columns out of ``df``.
     """
     shared_folder(df.sparkSession)
     slot = F.col("_slot")
+    others = [c for c in df.columns if c not in order_by]
+    tie = [F.xxhash64(*others)] if others else []
     placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
+        df.repartitionByRange(*order_by, *tie)
+        .sortWithinPartitions(*order_by, *tie)
         .withColumn("_slot", F.monotonically_increasing_id())
         .checkpoint()
         .withColumns(

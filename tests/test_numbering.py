@@ -22,6 +22,18 @@ def test_numbers_with_repeated_ids(spark):
     assert [r.row_number for r in numbered] == list(range(1, 703))
 
 
+def test_frequent_value_fills_several_partitions(spark):
+    df = spark.range(4000).select(F.lit(1).alias("id"), F.col("id").alias("other"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        numbered = number_rows(df, ["id"])
+        parts = numbered.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(r["count"] for r in parts) < 2000
+    assert sorted(r.row_number for r in numbered.collect()) == list(range(1, 4001))
+
+
 @pytest.mark.parametrize("size", [0, 1])
 def test_tiny_inputs(spark, size):
     rows = assign_batches(spark.range(size), ["id"]).collect()
