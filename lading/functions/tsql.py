@@ -29,11 +29,6 @@ def trimmed_length(c: Column | str) -> Column:
     return F.length(F.rtrim(col(c)))
 
 
-def blank_to_null(c: Column | str) -> Column:
-    """NULL for the empty string: deleting at position 1 of '' gives NULL in SQL Server."""
-    return F.nullif(col(c), F.lit(""))
-
-
 def has_digit(c: Column | str) -> Column:
     return F.rlike(col(c), F.lit("[0-9]"))
 

@@ -135,8 +135,13 @@ def signature_name(key: str) -> Column:
 
 
 def decode_base64(c: str) -> Column:
-    """Bytes of a base64 text, NULL when it is not one."""
-    return F.try_to_binary(F.col(c), F.lit("base64"))
+    """Bytes of a base64 text, NULL when it is not one.
+
+    White space is allowed anywhere; Spark's decoder would also take a text
+    whose padding is missing.
+    """
+    padded = F.octet_length(tsql.delete_chars(c, " \t\r\n")) % 4 == 0
+    return F.when(padded, F.try_to_binary(F.col(c), F.lit("base64")))
 
 
 def attachment_payload(attachments: DataFrame, case_sensitive: bool = True) -> DataFrame:

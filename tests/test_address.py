@@ -124,6 +124,35 @@ def test_recency_reaches_the_scan_and_fields_stay_above(spark, data, tmp_path):
     assert "GreaterThanOrEqual(created_date" in physical
 
 
+def test_adaptive_join_splits_a_hot_customer(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    left = spark.range(0, 60_000, numPartitions=8).select(
+        F.col("id").alias("pickup_id"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).cast("long").alias("customer_id"),
+        F.concat(F.col("id"), F.lit(" MAIN RD")).alias("pickup_address"),
+        F.lit("X").alias("pickup_town"),
+        F.lit(NOW).alias("created_date"),
+    )
+    right = spark.range(5000).selectExpr("id customer_id", "string(id) customer_name", "'A' address", "'T' town")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        cleaned = address.clean_pickups(left, right)
+        assert len(cleaned.collect()) == 60_000
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_row_order_does_not_matter(spark, seed):
     pairs = [(g[1], g[2]) for g in GOLDEN]

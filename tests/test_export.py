@@ -72,6 +72,14 @@ def test_signature_candidates_and_decoding(spark):
     assert decoded == {5: bytearray(b"\x01\x02\x03"), 6: None, 8: None}
 
 
+def test_base64(spark):
+    cases = {"AQID": b"\x01\x02\x03", "AQ\r\nI D": b"\x01\x02\x03", "AQI=": b"\x01\x02", "": b""}
+    cases |= {"AQI": None, "AQI*": None, "!!!": None, "é===": None, None: None}
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    found = {r.c: r.d and bytes(r.d) if r.d != b"" else b"" for r in df.select("c", export.decode_base64("c").alias("d")).collect()}
+    assert found == cases
+
+
 def test_held_back_rows(spark):
     rows = [
         (1, "YES", "one", b"1"), (2, "YES", "a", b"2"), (2, "YES", "b", b"2"),
