@@ -23,6 +23,7 @@ RECEIPT = T.StructType(
         T.StructField("n_bytes", T.LongType()),
     ]
 )
+CLOSED_RUN = T.StructType([T.StructField("run", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,8 @@ class Paths:
     """Where a job keeps its files and tables; all reachable from every executor.
 
     Each kind of export has its own ledger and, below ``work``, its own folder with
-    manifests, quarantined rows and receipts, one subfolder per run.
+    manifests, quarantined rows and receipts, one subfolder per run. One run at a
+    time may use a ledger.
     """
 
     root: str
@@ -114,7 +116,7 @@ class _Source:
 def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) -> ExportResult:
     register_blobfiles(spark)
     work = f"{paths.work.rstrip('/')}/{source.kind}"
-    recovered = recover(spark, paths.ledger, f"{work}/receipts")
+    recovered = recover(spark, paths.ledger, work)
     run = uuid.uuid4().hex
     manifest_path, quarantine_path, receipts_path = (
         f"{work}/{table}/run={run}" for table in ("manifest", "quarantine", "receipts")
@@ -159,6 +161,7 @@ def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) ->
     if files != written.get["files"]:
         raise RuntimeError(f"{written.get['files']} files sent, {files} receipts in {receipts_path}")
     ledger.append_entries(spark, paths.ledger, receipts)
+    _close_runs(spark, work, [run])
     if files < planned:
         (
             manifest.join(receipts.select("id"), "id", "left_anti")
@@ -171,20 +174,29 @@ def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) ->
     )
 
 
-def recover(spark: SparkSession, ledger_path: str, receipts_path: str) -> int:
+def recover(spark: SparkSession, ledger_path: str, work: str) -> int:
     """Record files that an interrupted run wrote but did not get to record.
 
     Tasks leave their receipts after their files, so a crash costs only the
-    tasks that were running.
+    tasks that were running. Runs recorded before are pruned by their folder.
     """
-    ledger.create_if_missing(spark, receipts_path, RECEIPT)
-    receipts = spark.read.schema(RECEIPT).option("recursiveFileLookup", "true").parquet(receipts_path)
+    ledger.create_if_missing(spark, f"{work}/receipts/run=none", RECEIPT)
+    ledger.create_if_missing(spark, f"{work}/closed", CLOSED_RUN)
+    # One row per run ever made, not per file.
+    closed = [r.run for r in spark.read.schema(CLOSED_RUN).parquet(f"{work}/closed").collect()]
+    with_run = T.StructType([*RECEIPT.fields, *CLOSED_RUN.fields])
+    receipts = spark.read.schema(with_run).parquet(f"{work}/receipts").filter(~F.col("run").isin("none", *closed))
     missing = ledger.new_entries(receipts, ledger.read_ledger(spark, ledger_path)).count()
     if missing:
         ledger.append_entries(spark, ledger_path, receipts)
+        _close_runs(spark, work, [r.run for r in receipts.select("run").distinct().collect()])
     return missing
 
 
+def _close_runs(spark: SparkSession, work: str, runs: list[str]) -> None:
+    spark.createDataFrame([(run,) for run in runs], CLOSED_RUN).write.mode("append").parquet(f"{work}/closed")
+
+
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """``folder, file_name, n_bytes, content`` of every exported file (``root`` must exist)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

@@ -167,16 +167,27 @@ def test_signature_job(spark, tmp_path, random_names):
     assert {r.cour_delivery_id: r.signature for r in changed.collect()} == {**names, 99: "!!!", 98: "AQID"}
 
 
-def test_interrupted_run_is_recovered(spark, tmp_path):
+def test_interrupted_run_is_recovered(spark, tmp_path, monkeypatch):
     where = paths(tmp_path)
     frame = shipments(spark, [(i, JUNE, "DE", "AQID") for i in range(10)])
-    export_job.export_signatures(spark, frame.filter("cour_delivery_id < 6"), where)
-    crashed = export_job.Paths(where.root, f"{tmp_path}/other-ledger", where.work)
-    # Files and receipts are there, the ledger entries are not.
-    result = export_job.export_signatures(spark, frame, crashed)
-    assert (result.recovered, result.files) == (6, 4)
-    recorded = spark.read.parquet(crashed.ledger)
+    first = export_job.export_signatures(spark, frame.filter("cour_delivery_id < 3"), where)
+    assert first.files == 3
+
+    def crash(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "append_entries", crash)
+        with pytest.raises(InterruptedError):
+            export_job.export_signatures(spark, frame.filter("cour_delivery_id < 7"), where)
+    # Files and receipts of the second run are there, its ledger entries are not.
+    assert spark.read.parquet(where.ledger).count() == 3
+    result = export_job.export_signatures(spark, frame, where)
+    assert (result.recovered, result.files) == (4, 3)
+    recorded = spark.read.parquet(where.ledger)
     assert sorted(r.id for r in recorded.collect()) == list(range(10))
+    assert spark.read.parquet(f"{where.work}/signatures/closed").count() == 3
+    assert export_job.export_signatures(spark, frame, where).recovered == 0
 
 
 def test_ledger_keeps_ids_unique(spark, tmp_path):
