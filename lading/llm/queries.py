@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import simhash
+import public_tokenizers
+
+from lading.llm import mixing, packing, simhash, toxicity
 from lading.llm.common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES = {}
 
 
@@ -22,3 +26,22 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER)
+    return placed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
