@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lading.llm import mixing, packing, simhash, toxicity
+from lading.llm import mixing, packing, simhash, surrogates, toxicity
 from lading.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -45,3 +45,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replaced(table(spark, sf_dir, "documents"), counted="n_replaced")
+    return replaced.select("doc_id", "text", "n_replaced")
