@@ -181,3 +181,45 @@ def numbered(df: DataFrame, order_by: list[str], label: str, name: str = "place"
         .withColumn(name, F.col("_before") + F.col("_at"))
         .drop("_slot", "_part", "_at", "_before")
     )
+
+
+def passes(rows: int, width: int, agree: float, miss: float = 1e-4) -> int:
+    """Orderings by random bits after which a pair is missed with odds of ``miss`` at most.
+
+    The two agree in each bit with probability ``agree``; they meet in a window of ``width``
+    rows if they agree in the first bits that part ``rows`` rows into windows.
+    """
+    bits = max(1.0, np.log2(max(2.0, rows / width)))
+    return int(np.ceil(np.log(miss) / np.log1p(-(agree**bits))))
+
+
+def in_order(rows: DataFrame, order_by: list[str], n_rows: int, per_task: int = 50_000) -> DataFrame:
+    """``rows`` in range partitions, each sorted, for tasks that compare neighbours.
+
+    Neighbours on either side of a partition's border do not meet; several
+    orderings make up for that.
+    """
+    ordered = rows.repartitionByRange(tasks(rows.sparkSession, n_rows, per_task), *order_by)
+    return ordered.sortWithinPartitions(*order_by)
+
+
+def carried(batches, width: int, piece: int = 4096):
+    """(table, count) pieces of a sorted partition: ``count`` new rows and the ``width`` after them."""
+    held = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new]).combine_chunks()
+        at = 0
+        while held.num_rows - at >= piece + width:
+            yield held.slice(at, piece + width), piece
+            at += piece
+        held = held.slice(at)
+    if held is not None and held.num_rows:
+        yield held, held.num_rows
+
+
+def forest_batch(src: list[np.ndarray], dst: list[np.ndarray]):
+    """The links of a task as the edges of a forest."""
+    if src and sum(map(len, src)):
+        node, root = local_forest(np.concatenate(src), np.concatenate(dst))
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["src", "dst"])

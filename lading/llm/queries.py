@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lading.llm import mixing, packing, simhash, surrogates, toxicity
+from lading.llm import mixing, packing, simhash, surrogates, toxicity, warc
 from lading.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -51,3 +51,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = surrogates.replaced(table(spark, sf_dir, "documents"), counted="n_replaced")
     return replaced.select("doc_id", "text", "n_replaced")
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived(spark, table(spark, sf_dir, "pages"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
+    )

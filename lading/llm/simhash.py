@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import components, stored
+from lading.llm.common import carried, components, forest_batch, in_order, passes, stored
 
 # Seed of the shingle hash, bits of a fingerprint.
 SEED = 42
@@ -35,15 +35,22 @@ BUCKET_LIMIT = 256
 # Shingles that are counted at a time.
 COUNT_CHUNK = 1 << 18
 
+# Fingerprints for a share of common shingles: 64-bit words, window of the orderings, bits of
+# their keys.
+WIDE_WORDS = 8
+WIDE_BITS = 64 * WIDE_WORDS
+WINDOW = 32
+KEY_BITS = 63
+
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, shingle_words: int) -> int:
-    """SimHash of one text over its word shingles; zero without words."""
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """XXH64 of every word shingle of a text, repeats included."""
     # bytes.split() without an argument splits at exactly the six ASCII white-space bytes.
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -53,13 +60,22 @@ def fingerprint(text: str | None, shingle_words: int) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     digest, view = xxhash.xxh64_intdigest, memoryview(joined)
+    spans = zip(starts.tolist(), ends.tolist(), strict=True)
+    return np.array([digest(view[i:j], SEED) for i, j in spans], "<u8")
+
+
+def majority(hashes: np.ndarray) -> bytes:
+    """Eight bytes, little-endian: the bits that are set in over half the hashes."""
     counts = np.zeros(BITS, np.int64)
-    for at in range(0, len(starts), COUNT_CHUNK):
-        a, b = starts[at : at + COUNT_CHUNK].tolist(), ends[at : at + COUNT_CHUNK].tolist()
-        hashes = np.array([digest(view[i:j], SEED) for i, j in zip(a, b, strict=True)], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(starts), bitorder="little").tobytes(), "little")
+    for at in range(0, len(hashes), COUNT_CHUNK):
+        some = hashes[at : at + COUNT_CHUNK].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes()
+
+
+def fingerprint(text: str | None, shingle_words: int) -> int:
+    """SimHash of one text over its word shingles; zero without words."""
+    return int.from_bytes(majority(shingle_hashes(text, shingle_words)), "little")
 
 
 def fingerprints(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -190,3 +206,109 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 2) ->
     return known.join(stored(classes, "classes"), "fp").unionByName(
         marked.filter("doc_id is null").withColumn("component_id", F.lit(None).cast("long"))
     )
+
+
+def _wide(hashes: np.ndarray) -> bytes:
+    """A fingerprint of ``WIDE_BITS`` over the distinct shingles."""
+    hashes = np.unique(hashes)
+    words = []
+    for word in range(WIDE_WORDS):
+        with np.errstate(over="ignore"):
+            mixed = hashes * np.uint64(2 * (0x9E3779B97F4A7C15 * (word + 1) % (1 << 63)) + 1)
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(32)
+        words.append(majority(mixed))
+    return b"".join(words)
+
+
+def differing_bits(similarity: float) -> float:
+    """Expected share of differing bits of two sets with this Jaccard similarity."""
+    cosine = 2 * similarity / (1 + similarity)
+    return float(np.arccos(cosine) / np.pi)
+
+
+def similar(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Rows (doc_id, component_id) for documents that share ``similarity`` of their shingles.
+
+    The share is the Jaccard similarity of the shingle sets as estimated from wide fingerprints;
+    pairs up to one standard error below it are linked too. At such
+    distances pivots discard nothing (unrelated fingerprints are as near in every coordinate as
+    similar ones), so candidates are the neighbours in orderings by randomly chosen bits, as many
+    as make a miss unlikely for the number of rows. Equal fingerprints are one candidate.
+    Texts without words have equal fingerprints. Rows without doc_id are left out.
+    """
+    share = differing_bits(similarity)
+    most = int(WIDE_BITS * share + np.sqrt(WIDE_BITS * share * (1 - share)))
+
+    def wide(batches):
+        for batch in batches:
+            made = [_wide(shingle_hashes(t.as_py(), shingle_words)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "wide"]
+            )
+
+    known = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    marked = stored(known.mapInArrow(wide, "doc_id long, wide binary"), "wide")
+    distinct = stored(marked.groupBy("wide").agg(F.min("doc_id").alias("first_doc")), "distinct")
+    n_rows = distinct.count()
+    n_passes = passes(n_rows, WINDOW, 1 - share, 0.02)
+
+    def keyed(batches):
+        chosen = np.random.default_rng(SEED)
+        picks = [chosen.choice(WIDE_BITS, KEY_BITS, replace=False) for _ in range(n_passes)]
+        for batch in batches:
+            words = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
+            bits = np.unpackbits(words.reshape(-1, WIDE_BITS // 8), axis=1)
+            for number, pick in enumerate(picks):
+                key = np.zeros(len(bits), np.int64)
+                for bit in pick:
+                    key = (key << 1) | bits[:, bit]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(bits), number, np.int32)), pa.array(key), batch.column(1), batch.column(0)],
+                    names=["pass", "key", "first_doc", "wide"],
+                )
+
+    def near(batches):
+        src, dst = [], []
+        for piece, count in carried(batches, WINDOW):
+            number = piece.column("pass").to_numpy()
+            doc = piece.column("first_doc").to_numpy()
+            words = np.frombuffer(b"".join(piece.column("wide").to_pylist()), "<u8")
+            words = words.reshape(-1, WIDE_WORDS)
+            for step in range(1, WINDOW + 1):
+                a = slice(0, min(count, len(doc) - step))
+                b = slice(step, a.stop + step)
+                if a.stop <= 0:
+                    break
+                apart = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
+                hit = (apart <= most) & (number[a] == number[b])
+                src.append(doc[a][hit])
+                dst.append(doc[b][hit])
+        yield from forest_batch(src, dst)
+
+    rows = distinct.mapInArrow(keyed, "pass int, key long, first_doc long, wide binary")
+    ordered = in_order(rows, ["pass", "key", "first_doc"], n_rows * n_passes)
+    # One document may have several rows: these belong together.
+    ties = (
+        marked.join(distinct, "wide")
+        .filter("doc_id <> first_doc")
+        .select(F.col("doc_id").alias("src"), F.col("first_doc").alias("dst"))
+    )
+    found = components(ordered.mapInArrow(near, "src long, dst long").unionByName(ties), "similar")
+    return (
+        marked.select("doc_id")
+        .distinct()
+        .join(found, F.col("doc_id") == F.col("node"), "left")
+        .select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))
+    )
+
+
+def representatives(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the smallest doc_id stays.
+
+    Rows without doc_id are kept, and all rows of an id that stays.
+    """
+    groups = similar(docs.select("doc_id", "text"), shingle_words, similarity)
+    away = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dup_id"))
+    return docs.join(away, docs["doc_id"] == F.col("_dup_id"), "left_anti")
