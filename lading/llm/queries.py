@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lading.llm import mixing, packing, simhash, surrogates, toxicity, warc
+from lading.llm import embeddings, extraction, mixing, neighbours, packing, simhash, surrogates, toxicity, warc
 from lading.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -59,3 +59,18 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"
     )
+
+
+@query
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
