@@ -7,7 +7,11 @@ sequence whose residual vector it fills best.
 
 from __future__ import annotations
 
+import functools
+import struct
+import unicodedata
 import zlib
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +26,10 @@ SEQUENCE_TOKENS = 2048
 GROUP_PIECES = 20_000
 
 # Spellings a Python worker remembers, and texts it looks up together.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 LEARN_WORDS = 20_000
+# Letters up to the end of the Cyrillic block are taken to be the same for all libraries.
+LAST_LETTER = "\u052f"
 # Signs that are split off the end of a word when they follow a letter.
 SIGNS = b".,;:!?%$&#*|)"
 TEXT_CHUNK = 2_000_000
@@ -49,24 +55,62 @@ class Encoder:
         self.mark = mark.content
         # A word that holds a special token's string is encoded alone.
         self.specials = [token.content.encode() for token in special.values()]
-        self.words, self.stems = Remembered(), Remembered()
+        # The usual stand-in letters for bytes: printable ones stand for themselves.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.byte_letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.direct = True
+        self.direct = self._takes_letters()
+        self.words: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _encode_stems(self, stems: list[bytes]) -> None:
-        for at in range(0, len(stems), LEARN_WORDS):
-            some = stems[at : at + LEARN_WORDS]
+    def _encode_stems(self, stems: list[bytes]) -> dict[bytes, bytes]:
+        found, others = {}, []
+        for stem in stems:
+            letters = self._letters(stem)
+            if letters is None:
+                others.append(stem)
+            else:
+                ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+                found[stem] = struct.pack(f"<{len(ids)}I", *ids)
+        for at in range(0, len(others), LEARN_WORDS):
+            some = others[at : at + LEARN_WORDS]
             ids = self._ids(self.mark.join([w.decode() for w in some]))
             cuts = [0, *(np.flatnonzero(ids == self.mark_id) + 1).tolist(), len(ids) + 1]
             for word, i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
-                self.stems.now[word] = ids[i : j - 1].tobytes()
-
-    def _learn(self, words: list[bytes]) -> None:
-        halves, stems = [], set()
+                found[word] = ids[i : j - 1].tobytes()
+        return found
+
+    def _letters(self, stem: bytes) -> str | None:
+        """What the model itself gets for a stem of letters alone; None if that is not certain."""
+        if not self.direct:
+            return None
+        text = stem.decode()
+        if text.isascii():
+            return text.lower() if text.isalpha() else None
+        # Letter by letter: the library knows no final sigma.
+        text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        if not text.isalpha() or max(text) > LAST_LETTER:
+            return None
+        return text.encode().decode("latin-1").translate(self.byte_letters)
+
+    def _takes_letters(self) -> bool:
+        """Whether a word of letters reaches the model as one piece, its bytes as letters."""
+        probes = ["word", "Über", "ÉTÉ", "ñandú", "слово", "λόγος", "x"]
+        for probe in probes:
+            ids = [token.id for token in self.tokenizer.model.tokenize(self._letters(probe.encode()))]
+            if ids != self._ids(probe).tolist():
+                return False
+        return True
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        found, halves, stems = {}, [], set()
         for word in words:
             if b"<|" in word and any(s in word for s in self.specials):
-                self.words.now[word] = self._ids(word.decode()).tobytes()
+                found[word] = self._ids(word.decode()).tobytes()
                 continue
             stem, tail = word, b""
             if word[-1] in SIGNS:
@@ -79,38 +123,43 @@ class Encoder:
             stems.add(stem)
             if tail:
                 stems.add(tail)
-        self._encode_stems(sorted(self.stems.missing(stems)))
-        ids = self.stems.now
+        made = self._encode_stems(sorted(stems.difference(self.stems)))
+        ids = ChainMap(made, self.stems)
         for word, stem, tail in halves:
-            self.words.now[word] = ids[stem] + ids[tail] if tail else ids[stem]
+            found[word] = ids[stem] + ids[tail] if tail else ids[stem]
+        remember(self.stems, made)
+        return found
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of every text, each followed by the id 0."""
         # bytes.split() without an argument splits at the six ASCII white-space bytes.
-        split = [t.split() for t in texts]
+        # Case does not matter, unless lower case could spell a special token.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         used = set()
         for words in split:
             used.update(words)
-        self._learn(list(self.words.missing(used)))
-        get, end = self.words.now.__getitem__, bytes(4)
+        learned = self._learn(list(used.difference(self.words)))
+        known, end = self.words, bytes(4)
+        if remember(known, learned):
+            get = known.__getitem__
+        else:
+            # Full: this call's own words are looked up beside the remembered ones.
+            get = ({w: known[w] for w in used.intersection(known)} | learned).__getitem__
         return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in split]
 
 
-class Remembered:
-    """A bounded memory: what is not asked for while it fills twice is forgotten."""
+def remember(known: dict[bytes, bytes], new: dict[bytes, bytes]) -> bool:
+    """Add ``new`` while there is room; frequent words come early and so stay. True if all fit."""
+    if len(known) + len(new) > CACHE_WORDS:
+        return not new
+    known.update(new)
+    return True
 
-    def __init__(self) -> None:
-        self.now: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
 
-    def missing(self, keys: set[bytes]) -> set[bytes]:
-        """The keys that are not known; all others are in ``now`` afterwards."""
-        if len(self.now) > CACHE_WORDS:
-            self.now, self.before = {}, self.now
-        unknown = keys.difference(self.now)
-        again = unknown.intersection(self.before)
-        self.now.update((k, self.before[k]) for k in again)
-        return unknown - again
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: what it remembers serves all tasks the worker runs."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE_TOKENS) -> DataFrame:
@@ -122,7 +171,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE_TOKENS) ->
     """
 
     def run(batches):
-        encoder = Encoder(tokenizer_path)
+        encode = encoder(tokenizer_path).encode
         for batch in batches:
             ids, rows, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             at = 0
@@ -133,7 +182,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE_TOKENS) ->
                     size += len(chunk[-1])
                     stop += 1
                 made = []
-                for place, found in zip(range(at, stop), encoder.encode(chunk), strict=True):
+                for place, found in zip(range(at, stop), encode(chunk), strict=True):
                     for piece, start in enumerate(range(0, len(found), most)):
                         part = found[start : start + most]
                         crc = zlib.crc32(part.tobytes())

@@ -14,7 +14,7 @@ import re
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm.common import stored
@@ -66,8 +66,9 @@ _SECRET_HEAD = re.compile(r"(?i:[a-z_]+)[ \t]?[=:][ \t]?[\"']?")
 _NAME_PARTS = re.compile(rf"(?P<title>{_TITLE})\.?[ ](?P<one>{_NAME})(?:[ ](?P<two>{_NAME}))?")
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 
-# Every text with an entity matches this; the others are not looked at further.
-POSSIBLE = rf"[0-9@]|AKIA|(?i:passw|secret|token|api_?key)|(?:{_TITLE})\.? "
+# Every text with an entity has one of these signs or words; the others are not looked at further.
+SIGNS = r"[0-9@=:]"
+MARKS = ["AKIA", *(title for titles in TITLES.values() for title in titles)]
 
 
 def script_of(word: str) -> str:
@@ -218,6 +219,13 @@ def shaped(original: str, kind: str, made: str) -> str:
     return made
 
 
+def _possible(text: Column) -> Column:
+    some = text.rlike(SIGNS)
+    for mark in MARKS:
+        some = some | text.contains(mark)
+    return some
+
+
 def _found(docs: DataFrame) -> DataFrame:
     """Rows (text_key, kind, value): the distinct entities of every text that can have any."""
 
@@ -234,7 +242,7 @@ def _found(docs: DataFrame) -> DataFrame:
                 )
 
     return (
-        docs.filter(F.col("text").rlike(POSSIBLE))
+        docs.filter(_possible(F.col("text")))
         .select(F.xxhash64("text").alias("text_key"), "text")
         .mapInArrow(run, "text_key long, kind string, value string")
         .distinct()
@@ -329,7 +337,7 @@ def replaced(docs: DataFrame, key: bytes = b"lading-surrogates", counted: str |
                 columns.append(pa.array(numbers, pa.int32()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    possible = F.col("text").rlike(POSSIBLE)
+    possible = _possible(F.col("text"))
     touched = (
         docs.filter(possible)
         .withColumn("_pii_key", F.xxhash64("text"))
