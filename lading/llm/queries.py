@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lading.llm import embeddings, extraction, mixing, neighbours, packing, simhash, surrogates, toxicity, warc
+from lading.llm import embeddings, extraction, mixing, neighbours, packing, passages, simhash, surrogates, toxicity, warc
 from lading.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -74,3 +74,16 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = passages.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
