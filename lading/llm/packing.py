@@ -11,7 +11,6 @@ import functools
 import struct
 import unicodedata
 import zlib
-from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +24,31 @@ SEQUENCE_TOKENS = 2048
 # Pieces that are packed together: large enough that part-filled sequences at its end do not count.
 GROUP_PIECES = 20_000
 
-# Spellings a Python worker remembers, and texts it looks up together.
+# Spellings a Python worker remembers.
 CACHE_WORDS = 200_000
-LEARN_WORDS = 20_000
 # Letters up to the end of the Cyrillic block are taken to be the same for all libraries.
 LAST_LETTER = "\u052f"
 # Signs that are split off the end of a word when they follow a letter.
 SIGNS = b".,;:!?%$&#*|)"
-TEXT_CHUNK = 2_000_000
+# Ids that leave a task together.
+BATCH_IDS = 2_000_000
+
+
+class Known(dict):
+    """What is found by ``learn`` on first use and remembered while there is room.
+
+    Frequent words come early and so stay.
+    """
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key: bytes) -> bytes:
+        found = self.learn(key)
+        if len(self) < CACHE_WORDS:
+            self[key] = found
+        return found
 
 
 class Encoder:
@@ -40,8 +56,7 @@ class Encoder:
 
     Only for tokenizers that split at white space and between letters and signs, drop white space
     and ignore case, so that the ids of a text are those of its words in turn, and those of a word
-    the ids of its letters and of the signs after them. New spellings are encoded together,
-    parted by a special token.
+    the ids of its letters and of the signs after them.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,39 +65,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.mark_id, mark = next(iter(special.items()))
-        self.mark = mark.content
-        # A word that holds a special token's string is encoded alone.
-        self.specials = [token.content.encode() for token in special.values()]
         # The usual stand-in letters for bytes: printable ones stand for themselves.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.byte_letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.direct = True
         self.direct = self._takes_letters()
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _encode_stems(self, stems: list[bytes]) -> dict[bytes, bytes]:
-        found, others = {}, []
-        for stem in stems:
-            letters = self._letters(stem)
-            if letters is None:
-                others.append(stem)
-            else:
-                ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
-                found[stem] = struct.pack(f"<{len(ids)}I", *ids)
-        for at in range(0, len(others), LEARN_WORDS):
-            some = others[at : at + LEARN_WORDS]
-            ids = self._ids(self.mark.join([w.decode() for w in some]))
-            cuts = [0, *(np.flatnonzero(ids == self.mark_id) + 1).tolist(), len(ids) + 1]
-            for word, i, j in zip(some, cuts[:-1], cuts[1:], strict=True):
-                found[word] = ids[i : j - 1].tobytes()
-        return found
+        self.stems = Known(self._stem)
+        self.words = Known(self._word)
+
+    def _ids(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _stem(self, stem: bytes) -> bytes:
+        letters = self._letters(stem)
+        if letters is None:
+            return self._ids(stem.decode())
+        ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _letters(self, stem: bytes) -> str | None:
         """What the model itself gets for a stem of letters alone; None if that is not certain."""
@@ -99,61 +100,25 @@ class Encoder:
 
     def _takes_letters(self) -> bool:
         """Whether a word of letters reaches the model as one piece, its bytes as letters."""
-        probes = ["word", "Über", "ÉTÉ", "ñandú", "слово", "λόγος", "x"]
-        for probe in probes:
-            ids = [token.id for token in self.tokenizer.model.tokenize(self._letters(probe.encode()))]
-            if ids != self._ids(probe).tolist():
+        for probe in ("word", "Über", "ÉTÉ", "ñandú", "слово", "λόγος", "x"):
+            if self._stem(probe.encode()) != self._ids(probe):
                 return False
         return True
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found, halves, stems = {}, [], set()
-        for word in words:
-            if b"<|" in word and any(s in word for s in self.specials):
-                found[word] = self._ids(word.decode()).tobytes()
-                continue
-            stem, tail = word, b""
-            if word[-1] in SIGNS:
-                stem = word.rstrip(SIGNS)
-                tail = word[len(stem) :]
-                if not stem or not stem.decode()[-1].isalpha():
-                    stem, tail = word, b""
-            stem = stem.lower()
-            halves.append((word, stem, tail))
-            stems.add(stem)
-            if tail:
-                stems.add(tail)
-        made = self._encode_stems(sorted(stems.difference(self.stems)))
-        ids = ChainMap(made, self.stems)
-        for word, stem, tail in halves:
-            found[word] = ids[stem] + ids[tail] if tail else ids[stem]
-        remember(self.stems, made)
-        return found
+    def _word(self, word: bytes) -> bytes:
+        # A word that may hold a special token's string is encoded as it is.
+        if word[-1] in SIGNS and b"<|" not in word:
+            stem = word.rstrip(SIGNS)
+            if stem and stem.decode()[-1].isalpha():
+                return self.stems[stem] + self.stems[word[len(stem) :]]
+        return self._ids(word.decode()) if b"<|" in word else self.stems[word]
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of every text, each followed by the id 0."""
-        # bytes.split() without an argument splits at the six ASCII white-space bytes.
-        # Case does not matter, unless lower case could spell a special token.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        used = set()
-        for words in split:
-            used.update(words)
-        learned = self._learn(list(used.difference(self.words)))
-        known, end = self.words, bytes(4)
-        if remember(known, learned):
-            get = known.__getitem__
-        else:
-            # Full: this call's own words are looked up beside the remembered ones.
-            get = ({w: known[w] for w in used.intersection(known)} | learned).__getitem__
-        return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in split]
-
-
-def remember(known: dict[bytes, bytes], new: dict[bytes, bytes]) -> bool:
-    """Add ``new`` while there is room; frequent words come early and so stay. True if all fit."""
-    if len(known) + len(new) > CACHE_WORDS:
-        return not new
-    known.update(new)
-    return True
+    def encode(self, text: bytes) -> np.ndarray:
+        """The ids of a text, followed by the id 0."""
+        # bytes.split() without an argument splits at the six ASCII white-space bytes. Case does
+        # not matter, unless lower case could spell a special token.
+        words = (text if b"<|" in text else text.lower()).split()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)) + bytes(4), "<u4")
 
 
 @functools.cache
@@ -174,36 +139,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE_TOKENS) ->
         encode = encoder(tokenizer_path).encode
         for batch in batches:
             ids, rows, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
-            at = 0
-            while at < len(rows):
-                stop, size, chunk = at, 0, []
-                while stop < len(rows) and (not chunk or size < TEXT_CHUNK):
-                    chunk.append((texts[stop].as_py() or "").encode("utf-8", "replace"))
-                    size += len(chunk[-1])
-                    stop += 1
-                made = []
-                for place, found in zip(range(at, stop), encode(chunk), strict=True):
-                    for piece, start in enumerate(range(0, len(found), most)):
-                        part = found[start : start + most]
-                        crc = zlib.crc32(part.tobytes())
-                        made.append((place, rows[place], piece, start, len(part), crc, part))
-                places, *plain, parts = zip(*made, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(places)),
-                        *(
-                            pa.array(v, t)
-                            for v, t in zip(
-                                plain,
-                                (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()),
-                                strict=True,
-                            )
-                        ),
-                        pa.array([p.tobytes() for p in parts], pa.binary()),
-                    ],
-                    names=["doc_id", "row", "piece", "start", "length", "ids_crc32", "ids"],
-                )
-                at = stop
+            made, size = [], 0
+            for place, row in enumerate(rows):
+                found = encode((texts[place].as_py() or "").encode("utf-8", "replace"))
+                for piece, start in enumerate(range(0, len(found), most)):
+                    part = found[start : start + most]
+                    made.append((place, row, piece, start, len(part), zlib.crc32(part), part.tobytes()))
+                size += len(found)
+                if size > BATCH_IDS:
+                    yield _piece_batch(ids, made)
+                    made, size = [], 0
+            if made:
+                yield _piece_batch(ids, made)
 
     return docs.select(
         F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("row"), "text"
@@ -213,6 +160,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE_TOKENS) ->
     )
 
 
+def _piece_batch(ids: pa.Array, made: list[tuple]) -> pa.RecordBatch:
+    places, *columns = zip(*made, strict=True)
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [ids.take(pa.array(places)), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+        names=["doc_id", "row", "piece", "start", "length", "ids_crc32", "ids"],
+    )
+
+
 def best_fit(
     lengths: np.ndarray, tokens: int, documents: int, cost: float, by: str = "residual"
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -230,13 +186,16 @@ def best_fit(
     room = np.zeros((1024, 3))
     number = np.zeros(1024, np.int64)
     filled = np.zeros(1024, np.int64)
+    # Longest first: an open sequence holds a piece at least as long as the next one, so one of
+    # more than half the tokens fits in none.
+    half = tokens // 2
     n_open = n_made = 0
     least = lengths.min() if len(lengths) else 0
     for i in order.tolist():
         size = int(lengths[i])
         need = np.array([size / tokens, 1 / documents, size * size / cost])
         best = -1
-        if n_open:
+        if n_open and size <= half:
             left = room[:n_open] - need
             fits = (left > -1e-9).all(axis=1)
             if fits.any():
