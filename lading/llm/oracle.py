@@ -1,5 +1,64 @@
-"""SQL counterparts of the training-data queries that SQL can express."""
+"""SQL counterparts of the training-data queries that SQL can express.
+
+Those that hash with XXH64, tokenize, draw at random, train or parse markup have none; they are
+tested against plain versions.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_USABLE = """
+    good AS (
+        SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    )
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_embeddings": f"""
+WITH RECURSIVE {_USABLE},
+    links AS (
+        SELECT a.vec_id AS src, b.vec_id AS dst
+        FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_inner_product(a.v, b.v)
+            / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.95
+    ),
+    reach AS (
+        SELECT vec_id, vec_id AS other FROM embeddings
+        UNION
+        SELECT r.vec_id, l.dst FROM reach r JOIN links l ON l.src = r.other
+    )
+SELECT e.vec_id,
+       (SELECT count(*) FROM links l WHERE l.src = e.vec_id) AS n_links,
+       r.component_id,
+       e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) r USING (vec_id)
+""",
+    "op3_warc": """
+WITH payloads AS (
+    SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT p.page_id, p.payload_bytes::BIGINT AS payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to, p.url
+FROM payloads p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest AND p.payload_bytes >= 100
+""",
+    "op9_neighbours": f"""
+WITH {_USABLE},
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+        FROM good q JOIN good c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+        WHERE q.vec_id % 20 = 0
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+    )
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM placed WHERE rank <= 20
+""",
+}
