@@ -8,9 +8,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lading.operators import address
 from lading.operators.address import Rules
-from lading.operators.numbering import BATCH_SIZE
-from lading.plans import clean_job, export_job, merge_job
+from lading.operators.spread import HOT_ROWS, checked_hot_rows
+from lading.plans import clean_job, export_job, merge_job, writeback_job
 from lading.session import build_session
 from lading.sources import tables
 
@@ -23,9 +24,10 @@ def parser() -> argparse.ArgumentParser:
 
     export = argparse.ArgumentParser(add_help=False)
     export.add_argument("--root", required=True, help="folder the files go to")
-    export.add_argument("--ledger", required=True)
+    export.add_argument("--ledger", required=True, help="folder, or table:<name> for a catalog table")
     export.add_argument("--work", required=True, help="folder for manifests, receipts and quarantine")
-    export.add_argument("--batch-size", type=int, default=BATCH_SIZE)
+    export.add_argument("--batch-size", type=int, help="number the files in batches of this size")
+    export.add_argument("--shared-mount", action="store_true", help="the folders are mounts that all machines share")
 
     job = jobs.add_parser("export-attachments", parents=[export])
     job.add_argument("--attachments", required=True)
@@ -35,6 +37,13 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--shipments", required=True)
     job.add_argument("--random-names", action="store_true")
 
+    for name, given in (("attachments", "--attachments"), ("signatures", "--shipments")):
+        job = jobs.add_parser(f"write-back-{name}")
+        job.add_argument(given, dest="base", required=True)
+        job.add_argument("--ledger", required=True, help="folder, or table:<name> for a catalog table")
+        job.add_argument("--out", required=True, help="folder for the new version of the table")
+        job.add_argument("--shared-mount", action="store_true")
+
     for name in ("clean-addresses", "merge-customers"):
         job = jobs.add_parser(name)
         job.add_argument("--pickups", required=True)
@@ -43,6 +52,11 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--repaired", action="store_true", help="use the repaired cleaning rules")
         if name == "clean-addresses":
             job.add_argument("--as-of", default=dt.date.today().isoformat())
+            job.add_argument("--months", type=int, default=address.REPORT_MONTHS, help="age of reported pickups")
+            fields = (address.BUILDING_LIMIT, address.STREET_LIMIT, address.CITY_LIMIT)
+            job.add_argument("--limits", type=int, nargs=3, default=fields, metavar=("BUILDING", "STREET", "CITY"))
+        default = None if name == "clean-addresses" else HOT_ROWS
+        job.add_argument("--hot-rows", type=checked_hot_rows, default=default, help="rows from which a key is salted")
     return main
 
 
@@ -53,7 +67,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
         return tables.read_table(spark, schema, path, args.format)
 
     if args.job in ("export-attachments", "export-signatures"):
-        paths = export_job.Paths(args.root, args.ledger, args.work)
+        paths = export_job.Paths(args.root, args.ledger, args.work, args.shared_mount)
         options = {"batch_size": args.batch_size, "case_sensitive": not args.ignore_case}
         if args.job == "export-attachments":
             attachments = table(args.attachments, tables.DETAINED_HAWB_ATCH)
@@ -62,11 +76,21 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
         shipments = table(args.shipments, tables.SHIPMENT_DELIVERY_COURIER)
         return export_job.export_signatures(spark, shipments, paths, args.random_names, **options)
 
+    if args.job in ("write-back-attachments", "write-back-signatures"):
+        attachments = args.job.endswith("attachments")
+        schema = tables.DETAINED_HAWB_ATCH if attachments else tables.SHIPMENT_DELIVERY_COURIER
+        columns = writeback_job.ATTACHMENTS if attachments else writeback_job.SIGNATURES
+        return writeback_job.write_back_to(
+            spark, table(args.base, schema), args.ledger, columns, args.out, args.shared_mount
+        )
+
     pickups, customers = table(args.pickups, tables.PICKUP), table(args.customers, tables.CUSTOMER)
     rules = Rules(repaired=args.repaired, case_sensitive=not args.ignore_case)
     if args.job == "clean-addresses":
-        return clean_job.clean_to(spark, pickups, customers, args.out, args.as_of, rules=rules)
-    return merge_job.merge_to(spark, customers, pickups, args.out, rules=rules)
+        return clean_job.clean_to(
+            spark, pickups, customers, args.out, args.as_of, args.months, rules, args.hot_rows, tuple(args.limits)
+        )
+    return merge_job.merge_to(spark, customers, pickups, args.out, rules=rules, hot_rows=args.hot_rows)
 
 
 if __name__ == "__main__":

@@ -90,10 +90,19 @@ def repoint(
     return joined.select(*[new_id if c == "customer_id" else F.col(c) for c in pickups.columns])
 
 
-def lost_pickups(
-    pickups: DataFrame, customers: DataFrame, repointed: DataFrame, remaining: DataFrame
-) -> DataFrame:
-    """Pickups that had a customer before and have none now; must be empty."""
-    had = pickups.join(customers.select("customer_id"), "customer_id", "left_semi").select("pickup_id")
-    lost = repointed.join(remaining.select("customer_id"), "customer_id", "left_anti")
-    return lost.join(had, "pickup_id", "left_semi")
+def lost_customers(customers: DataFrame, walk: DataFrame, remaining: DataFrame) -> DataFrame:
+    """``customer_id`` of the customers whose survivor is not among the remaining; must be empty.
+
+    One row per customer on either side, however many pickups there are.
+    """
+    moved = customers.select("customer_id").join(
+        walk.withColumnRenamed("old_id", "customer_id"), "customer_id", "left"
+    )
+    survivor = F.coalesce("survivor_id", "customer_id").alias("_survivor_id")
+    kept = remaining.select(F.col("customer_id").alias("_survivor_id"))
+    return moved.select("customer_id", survivor).join(kept, "_survivor_id", "left_anti").select("customer_id")
+
+
+def lost_pickups(pickups: DataFrame, lost: DataFrame) -> DataFrame:
+    """The pickups of lost customers; ``lost`` should be stored, so that a short list is broadcast."""
+    return pickups.join(lost.select("customer_id"), "customer_id", "left_semi")

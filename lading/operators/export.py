@@ -25,6 +25,7 @@ DUPLICATE = "duplicate_id"
 UNDATED = "no_created_date"
 LONG_NAME = "name_too_long"
 NO_PAYLOAD = "no_payload"
+NO_ID = "no_id"
 
 
 def printed_attachments(attachments: DataFrame, case_sensitive: bool = True) -> DataFrame:
@@ -40,6 +41,11 @@ def delivered_shipments(shipments: DataFrame, case_sensitive: bool = True) -> Da
     )
 
 
+def identified(df: DataFrame) -> DataFrame:
+    """Rows that have an ``id``; the others cannot be named or recorded and go to quarantine."""
+    return df.filter(F.col("id").isNotNull())
+
+
 def not_exported(df: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows whose ``id`` the ledger does not hold."""
     return df.join(ledger.select("id"), "id", "left_anti")
@@ -66,7 +72,7 @@ def attachment_candidates(
 
 def signature_candidates(shipments: DataFrame, ledger: DataFrame, case_sensitive: bool = True) -> DataFrame:
     """``id, created_date, folder, file_name`` of every signature still to export."""
-    delivered = delivered_shipments(shipments, case_sensitive).select("id", "created_date")
+    delivered = identified(delivered_shipments(shipments, case_sensitive)).select("id", "created_date")
     return not_exported(delivered, ledger).select(
         "id", "created_date", month_folder("created_date"), signature_name("id")
     )
@@ -82,7 +88,7 @@ def attachment_ids(
     where ``n_rows`` is 1.
     """
     printed = (
-        printed_attachments(attachments, case_sensitive)
+        identified(printed_attachments(attachments, case_sensitive))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("_attachments"), F.min("atchmnt_name").alias("atchmnt_name"))
     )
@@ -108,7 +114,7 @@ def signature_ids(
     the names change with every evaluation.
     """
     delivered = (
-        delivered_shipments(shipments, case_sensitive)
+        identified(delivered_shipments(shipments, case_sensitive))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.min("created_date").alias("created_date"))
     )
@@ -121,8 +127,12 @@ def month_folder(created: str) -> Column:
 
 
 def attachment_name(name: str, key: str) -> Column:
-    """``<name>-<id>.pdf``; path separators and control characters become underscores."""
-    safe = F.regexp_replace(name, "[/\\\\\\x00-\\x1f]", "_")
+    """``<name>-<id>.pdf``; path separators and control characters become underscores.
+
+    File readers take names with a leading underscore or dot for hidden files, so
+    those get a dash in front.
+    """
+    safe = F.regexp_replace(F.regexp_replace(name, "[/\\\\\\x00-\\x1f]", "_"), "^(?=[_.])", "-")
     return tsql.concat_blank(safe, F.lit("-"), F.col(key), F.lit(".pdf")).alias("file_name")
 
 
@@ -130,8 +140,10 @@ def signature_name(key: str) -> Column:
     """``<guid>.jpg`` with a guid made from the key, so that a retry writes the same file."""
     digest = F.upper(F.md5(F.concat(F.lit("signature-"), F.col(key).cast("string")).cast("binary")))
     groups = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    guid = F.concat_ws("-", *[F.substring(digest, start, length) for start, length in groups])
-    return F.concat(guid, F.lit(".jpg")).alias("file_name")
+    parts = [F.substring(digest, start, length) for start, length in groups]
+    # Plain concatenation: without a key there is no name.
+    dashed = [c for part in parts for c in (part, F.lit("-"))][:-1]
+    return F.concat(*dashed, F.lit(".jpg")).alias("file_name")
 
 
 def decode_base64(c: str) -> Column:
@@ -146,13 +158,13 @@ def decode_base64(c: str) -> Column:
 
 def attachment_payload(attachments: DataFrame, case_sensitive: bool = True) -> DataFrame:
     """``id, content``; the printed filter holds here too, so an unprinted twin is not exported."""
-    printed = printed_attachments(attachments, case_sensitive)
+    printed = identified(printed_attachments(attachments, case_sensitive))
     return printed.select("id", F.col("atchmnt_data").alias("content"))
 
 
 def signature_payload(shipments: DataFrame, case_sensitive: bool = True) -> DataFrame:
     """``id, content`` of delivered shipments."""
-    delivered = delivered_shipments(shipments, case_sensitive)
+    delivered = identified(delivered_shipments(shipments, case_sensitive))
     return delivered.select("id", decode_base64("signature").alias("content"))
 
 
@@ -174,13 +186,19 @@ def accepted(ids: DataFrame, name_limit: int = NAME_LIMIT) -> DataFrame:
 
 
 def rejected(
-    ids: DataFrame, names: DataFrame, name_limit: int = NAME_LIMIT, hot_rows: int = HOT_ROWS
+    ids: DataFrame,
+    names: DataFrame,
+    name_limit: int = NAME_LIMIT,
+    hot_rows: int = HOT_ROWS,
+    random_names: bool = False,
 ) -> DataFrame:
     """``id, folder, file_name, reason`` of every row held back before reading payloads.
 
-    Every row of a repeated id is listed, with its own name from ``names``. Ids
-    with at least ``hot_rows`` rows, of which N rows have at most N / ``hot_rows``,
-    are matched by broadcast, and their rows never shuffled.
+    ``ids`` should be stored: it is read once per kind of reason. Every row of a
+    repeated id is listed, with its own name from ``names``; with ``random_names``
+    there is no name to list. Rows without an id are listed with neither folder nor
+    name. Ids with at least ``hot_rows`` rows, of which N rows have at most
+    N / ``hot_rows``, are matched by broadcast, and their rows never shuffled.
     """
     reason = F.when(F.col("folder").isNull(), UNDATED).when(F.octet_length("file_name") > name_limit, LONG_NAME)
     single = ids.filter("n_rows = 1").withColumn("reason", reason).filter("reason IS NOT NULL")
@@ -188,11 +206,18 @@ def rejected(
     repeated = ids.filter("n_rows > 1").select("id", "n_rows", "folder")
     hot = F.broadcast(repeated.filter(F.col("n_rows") >= hot_rows))
     cold = repeated.filter(F.col("n_rows") < hot_rows)
-    rows = names.join(hot, "id").unionByName(without_hot(names, hot).join(cold, "id"))
+    known = identified(names)
+    rows = known.join(hot, "id").unionByName(without_hot(known, hot).join(cold, "id"))
     duplicates = rows.withColumn("reason", F.lit(DUPLICATE))
+    if random_names:
+        duplicates = duplicates.withColumn("file_name", F.lit(None).cast("string"))
+    nothing = F.lit(None).cast("string")
+    unnamed = names.filter(F.col("id").isNull()).select(
+        "id", nothing.alias("folder"), nothing.alias("file_name"), F.lit(NO_ID).alias("reason")
+    )
 
     columns = ["id", "folder", "file_name", "reason"]
-    return single.select(columns).unionAll(duplicates.select(columns))
+    return single.select(columns).unionAll(duplicates.select(columns)).unionAll(unnamed)
 
 
 def without_hot(df: DataFrame, hot: DataFrame) -> DataFrame:
@@ -209,21 +234,9 @@ def with_payload(manifest: DataFrame, payload: DataFrame) -> DataFrame:
     return payload.join(manifest, "id").select(*manifest.columns, "content")
 
 
-def attachment_rows(attachments: DataFrame, headers: DataFrame, case_sensitive: bool = True) -> DataFrame:
-    """``id, folder, file_name, content`` of every printed attachment, exported or not."""
-    printed = printed_attachments(attachments, case_sensitive)
-    dated = headers.select(F.col("detain_hawb_id").alias("id"), "created_date")
-    return printed.join(dated, "id").select(
-        "id",
-        month_folder("created_date"),
-        attachment_name("atchmnt_name", "id"),
-        F.col("atchmnt_data").alias("content"),
-    )
-
-
 def signature_rows(shipments: DataFrame, case_sensitive: bool = True) -> DataFrame:
     """``id, folder, file_name, content`` of every delivered shipment, exported or not."""
-    return delivered_shipments(shipments, case_sensitive).select(
+    return identified(delivered_shipments(shipments, case_sensitive)).select(
         "id",
         month_folder("created_date"),
         signature_name("id"),
@@ -244,20 +257,36 @@ def target_path(root: str) -> Column:
     return F.concat_ws("/", F.lit(root.rstrip("/")), F.col("folder"), F.col("file_name"))
 
 
-def write_back(base: DataFrame, ledger: DataFrame, key: str, payload: str) -> DataFrame:
+def open_keys(base: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
+    """The keys of ``base`` that the ledger does not hold, once each; a narrow scan."""
+    return base.select(key).filter(F.col(key).isNotNull()).join(
+        ledger.select(F.col("id").alias(key)), key, "left_anti"
+    ).distinct()
+
+
+def write_back(base: DataFrame, ledger: DataFrame, key: str, payload: str, open_: DataFrame) -> DataFrame:
     """``base`` with ``payload`` replaced by the document name for every id in the ledger.
 
-    A binary payload becomes a text column that holds only names: rows not
+    ``open_`` are the stored ``open_keys``. Exported rows are read without the payload
+    column and joined to the ledger; the others keep their payload, and while their list is short
+    it is broadcast, so that no payload is shuffled. Rows without a key keep their
+    payload. A binary payload becomes a text column that holds only names: rows not
     exported keep their bytes in ``<payload>_bytes``.
     """
-    names = ledger.select(F.col("id").alias("_ledger_id"), "document_name")
-    joined = base.join(names, F.col(key) == F.col("_ledger_id"), "left")
-    if dict(base.dtypes)[payload] == "binary":
-        rest = F.when(F.col("_ledger_id").isNull(), F.col(payload)).alias(f"{payload}_bytes")
-        changed = [F.col("document_name").alias(payload), rest]
-    else:
-        changed = [F.coalesce("document_name", payload).alias(payload)]
-    columns = []
-    for name in base.columns:
-        columns += changed if name == payload else [F.col(name)]
-    return joined.select(*columns)
+    names = ledger.select(F.col("id").alias("_ledger_id"), F.col("document_name").alias("_document_name"))
+    binary = dict(base.dtypes)[payload] == "binary"
+    exported = base.drop(payload).join(names, F.col(key) == F.col("_ledger_id"))
+    kept = base.join(open_, key, "left_semi").unionByName(base.filter(F.col(key).isNull()))
+
+    def columns(payload_columns: list[Column]) -> list[Column]:
+        out = []
+        for name in base.columns:
+            out += payload_columns if name == payload else [F.col(name)]
+        return out
+
+    name_only = [F.col("_document_name").alias(payload)]
+    bytes_only = [F.col(payload)]
+    if binary:
+        name_only.append(F.lit(None).cast("binary").alias(f"{payload}_bytes"))
+        bytes_only = [F.lit(None).cast("string").alias(payload), F.col(payload).alias(f"{payload}_bytes")]
+    return exported.select(columns(name_only)).unionByName(kept.select(columns(bytes_only)))

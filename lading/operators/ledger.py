@@ -9,21 +9,32 @@ from pyspark.sql import types as T
 from lading.sources.tables import LEDGER
 
 
+# A ledger place with this prefix is the name of a catalog table, otherwise a Parquet path.
+TABLE = "table:"
+
+
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table at ``path``, unless there is something already."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    empty = spark.createDataFrame([], schema).write.mode("ignore")
+    if path.startswith(TABLE):
+        empty.saveAsTable(path.removeprefix(TABLE))
+    else:
+        empty.parquet(path)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``, created empty on first use."""
+    """The ledger at ``path`` (or ``table:<name>``), created empty on first use."""
     create_if_missing(spark, path, LEDGER)
+    if path.startswith(TABLE):
+        return spark.table(path.removeprefix(TABLE))
     return spark.read.schema(LEDGER).parquet(path)
 
 
 def new_entries(written: DataFrame, ledger: DataFrame) -> DataFrame:
     """Ledger rows for written files whose id is not recorded yet."""
     return (
-        written.select("id", F.col("file_name").alias("document_name"))
+        written.filter(F.col("id").isNotNull())
+        .select("id", F.col("file_name").alias("document_name"))
         .join(ledger.select("id"), "id", "left_anti")
         .dropDuplicates(["id"])
     )
@@ -32,4 +43,8 @@ def new_entries(written: DataFrame, ledger: DataFrame) -> DataFrame:
 def append_entries(spark: SparkSession, path: str, written: DataFrame) -> None:
     """Record written files, with the current time, keeping ids unique."""
     entries = new_entries(written, read_ledger(spark, path))
-    entries.withColumn("migrated_at", F.current_timestamp()).write.mode("append").parquet(path)
+    stamped = entries.withColumn("migrated_at", F.current_timestamp()).write.mode("append")
+    if path.startswith(TABLE):
+        stamped.saveAsTable(path.removeprefix(TABLE))
+    else:
+        stamped.parquet(path)

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 # N / HOT_ROWS such keys, which bounds the broadcast: a million for 10^12 rows.
 HOT_ROWS = 1_000_000
 SALTS = 64
+# Smaller settings than this would let the broadcast lists grow with the data.
+LEAST_HOT_ROWS = 100_000
+
+
+def checked_hot_rows(value: int | str) -> int:
+    """A setting for hot rows that keeps the lists of hot keys short."""
+    if int(value) < LEAST_HOT_ROWS:
+        raise ValueError(f"hot rows must be {LEAST_HOT_ROWS} or more, so that few keys can be hot")
+    return int(value)
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> DataFrame:

@@ -26,6 +26,7 @@ def clean_to(
     months: int = address.REPORT_MONTHS,
     rules: address.Rules = address.DEFAULT,
     hot_rows: int | None = None,
+    limits: tuple[int, int, int] = (address.BUILDING_LIMIT, address.STREET_LIMIT, address.CITY_LIMIT),
 ) -> CleanResult:
     """Write ``<out>/cleaned`` and ``<out>/report``.
 
@@ -38,6 +39,6 @@ def clean_to(
     cleaned.write.parquet(cleaned_path)
 
     recent = address.recent_pickups(spark.read.parquet(cleaned_path), as_of, months)
-    report = address.tidy_for_report(address.too_long(recent), rules)
+    report = address.tidy_for_report(address.too_long(recent, *limits), rules)
     report.select(*address.CLEANED_COLUMNS).write.parquet(report_path)
     return CleanResult(cleaned_path, report_path, spark.read.parquet(report_path).count())

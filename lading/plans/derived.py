@@ -87,7 +87,9 @@ VIEWS = {
         SELECT page_id AS detain_hawb_id,
                CASE WHEN page_id % 30 = 0 THEN 'YES  ' WHEN page_id % 3 = 0 THEN 'YES'
                     WHEN page_id % 3 = 1 THEN 'NO' END AS atch_is_printed,
-               CASE WHEN page_id % 11 <> 0 THEN concat('page', page_id) END AS atchmnt_name,
+               CASE page_id % 11 WHEN 0 THEN NULL WHEN 1 THEN concat('_draft', page_id)
+                    WHEN 2 THEN concat('.', page_id) WHEN 3 THEN concat('/lead', page_id)
+                    ELSE concat('page', page_id) END AS atchmnt_name,
                {bytes_of_html} AS atchmnt_data
         FROM {pages}""",
     # A second attachment for pages with a query string.
@@ -101,7 +103,7 @@ VIEWS = {
         SELECT page_id AS id, concat('done-', page_id) AS document_name, {LEDGER_TIME} AS migrated_at
         FROM {{pages}} WHERE url LIKE '%.example.net/%'""",
     "shipment_input": """
-        SELECT event_id AS cour_delivery_id,
+        SELECT CASE WHEN event_id % 211 <> 7 THEN event_id END AS cour_delivery_id,
                CASE WHEN event_id % 103 <> 0 THEN ts + INTERVAL '1' MONTH * (event_id % 6) END AS created_date,
                CASE WHEN event_type = 'purchase' AND event_id % 13 = 0 THEN 'DE '
                     WHEN event_type = 'purchase' THEN 'DE' ELSE 'XX' END AS rec_status,

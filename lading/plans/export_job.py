@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lading.operators import export, ledger
-from lading.operators.numbering import BATCH_SIZE, assign_batches
-from lading.operators.spread import hot_keys
+from lading.operators.numbering import assign_batches
+from lading.operators.spread import HOT_ROWS
+from lading.session import qualified
 from lading.sources.register import register_blobfiles
 
 RECEIPT = T.StructType(
@@ -32,12 +33,14 @@ class Paths:
 
     Each kind of export has its own ledger and, below ``work``, its own folder with
     manifests, quarantined rows and receipts, one subfolder per run. One run at a
-    time may use a ledger.
+    time may use a ledger, which may also be a catalog table (``table:<name>``).
+    Outside local mode folders on local disks are refused unless they are a ``shared_mount``.
     """
 
     root: str
     ledger: str
     work: str
+    shared_mount: bool = False
 
 
 @dataclass(frozen=True)
@@ -57,7 +60,7 @@ def export_attachments(
     attachments: DataFrame,
     headers: DataFrame,
     paths: Paths,
-    batch_size: int = BATCH_SIZE,
+    batch_size: int | None = None,
     case_sensitive: bool = True,
 ) -> ExportResult:
     """Write every printed attachment that the ledger does not hold."""
@@ -70,7 +73,7 @@ def export_attachments(
         open_ids,
         export.attachment_names(attachments, case_sensitive),
         export.attachment_payload(attachments, case_sensitive),
-        export.attachment_rows(attachments, headers, case_sensitive),
+        None,
     )
     return _run(spark, source, paths, batch_size)
 
@@ -80,7 +83,7 @@ def export_signatures(
     shipments: DataFrame,
     paths: Paths,
     random_names: bool = False,
-    batch_size: int = BATCH_SIZE,
+    batch_size: int | None = None,
     case_sensitive: bool = True,
 ) -> ExportResult:
     """Decode and write the signature of every delivered shipment not in the ledger."""
@@ -94,6 +97,7 @@ def export_signatures(
         export.signature_names(shipments, case_sensitive),
         export.signature_payload(shipments, case_sensitive),
         None if random_names else export.signature_rows(shipments, case_sensitive),
+        random_names,
     )
     return _run(spark, source, paths, batch_size)
 
@@ -102,8 +106,8 @@ def export_signatures(
 class _Source:
     """What a job reads: ids to export given the ledger, names and payloads of all rows.
 
-    ``rows`` has names and payload together, where a row's name does not depend
-    on the run.
+    ``rows`` has names and payload together, where they stand in one row and the name
+    does not depend on the run.
     """
 
     kind: str
@@ -111,24 +115,45 @@ class _Source:
     names: DataFrame
     payload: DataFrame
     rows: DataFrame | None
+    random_names: bool = False
 
 
-def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) -> ExportResult:
+def selected_rows(
+    source: _Source, manifest: DataFrame, hot: DataFrame, excluded: DataFrame, by_exclusion: bool
+) -> DataFrame:
+    """The manifest's rows with their payload, selected by one of two lists.
+
+    Either by the manifest, or by what is not in it: ``excluded`` must hold every id of
+    ``source.rows`` that the manifest does not. Payloads of the ids in ``hot`` are dropped where
+    they are scanned, before any join.
+    """
+    if by_exclusion and source.rows is not None:
+        return export.without_ids(export.without_hot(source.rows, hot), excluded)
+    payload = export.without_hot(source.payload, hot)
+    return export.with_payload(manifest.select("id", "folder", "file_name"), payload)
+
+
+def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int | None) -> ExportResult:
     register_blobfiles(spark)
-    work = f"{paths.work.rstrip('/')}/{source.kind}"
+    root, work = (qualified(spark, p, paths.shared_mount) for p in (paths.root, paths.work))
+    work = f"{work.rstrip('/')}/{source.kind}"
     recovered = recover(spark, paths.ledger, work)
     run = uuid.uuid4().hex
-    manifest_path, quarantine_path, receipts_path = (
-        f"{work}/{table}/run={run}" for table in ("manifest", "quarantine", "receipts")
+    ids_path, manifest_path, quarantine_path, receipts_path = (
+        f"{work}/{table}/run={run}" for table in ("ids", "manifest", "quarantine", "receipts")
     )
 
     # Keys and names first, written once: later steps then agree on them (random
-    # names too) and Spark knows the manifest's true size when it plans the join
-    # with the payload.
+    # names too), nothing is counted twice, and Spark knows the manifest's true size when
+    # it plans the join with the payload.
     done = ledger.read_ledger(spark, paths.ledger)
-    ids = source.open_ids(done)
-    assign_batches(export.accepted(ids), ["id"], batch_size).write.parquet(manifest_path)
-    export.rejected(ids, source.names).write.parquet(quarantine_path)
+    source.open_ids(done).write.parquet(ids_path)
+    ids = spark.read.parquet(ids_path)
+    manifest = export.accepted(ids)
+    if batch_size:
+        manifest = assign_batches(manifest, ["id"], batch_size)
+    manifest.write.parquet(manifest_path)
+    export.rejected(ids, source.names, random_names=source.random_names).write.parquet(quarantine_path)
     manifest = spark.read.parquet(manifest_path)
     planned = manifest.count()
     if planned == 0:
@@ -136,15 +161,10 @@ def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) ->
 
     # Select the payloads by the shorter list, so that it can be broadcast as often
     # as possible: on a first run nearly everything is exported, later very little.
-    # Payloads of ids with very many rows go first, before any shuffle.
-    held_back = spark.read.parquet(quarantine_path).select("id")
-    hot = hot_keys(held_back, ["id"])
+    held_back = ids.join(manifest.select("id"), "id", "left_anti").select("id")
+    hot = ids.filter(F.col("n_rows") >= HOT_ROWS).select("id")
     excluded = done.select("id").unionAll(held_back)
-    if source.rows is not None and excluded.count() < planned:
-        selected = export.without_ids(export.without_hot(source.rows, hot), excluded)
-    else:
-        payload = export.without_hot(source.payload, hot)
-        selected = export.with_payload(manifest.select("id", "folder", "file_name"), payload)
+    selected = selected_rows(source, manifest, hot, excluded, excluded.count() < planned)
     written = Observation("written")
     ledger.create_if_missing(spark, receipts_path, RECEIPT)
     (
@@ -153,7 +173,7 @@ def _run(spark: SparkSession, source: _Source, paths: Paths, batch_size: int) ->
         .write.format("blobfiles")
         .mode("append")
         .option("receipts", receipts_path)
-        .save(paths.root)
+        .save(root)
     )
 
     receipts = spark.read.schema(RECEIPT).parquet(receipts_path)
@@ -182,14 +202,19 @@ def recover(spark: SparkSession, ledger_path: str, work: str) -> int:
     """
     ledger.create_if_missing(spark, f"{work}/receipts/run=none", RECEIPT)
     ledger.create_if_missing(spark, f"{work}/closed", CLOSED_RUN)
-    # One row per run ever made, not per file.
-    closed = [r.run for r in spark.read.schema(CLOSED_RUN).parquet(f"{work}/closed").collect()]
     with_run = T.StructType([*RECEIPT.fields, *CLOSED_RUN.fields])
-    receipts = spark.read.schema(with_run).parquet(f"{work}/receipts").filter(~F.col("run").isin("none", *closed))
+    receipts = spark.read.schema(with_run).parquet(f"{work}/receipts")
+    closed = spark.read.schema(CLOSED_RUN).parquet(f"{work}/closed")
+    # Only runs that were interrupted since the last one: their folders alone are read.
+    runs = receipts.select("run").distinct().filter("run <> 'none'").join(closed, "run", "left_anti")
+    open_runs = [r.run for r in runs.collect()]
+    if not open_runs:
+        return 0
+    receipts = receipts.filter(F.col("run").isin(*open_runs))
     missing = ledger.new_entries(receipts, ledger.read_ledger(spark, ledger_path)).count()
     if missing:
         ledger.append_entries(spark, ledger_path, receipts)
-        _close_runs(spark, work, [r.run for r in receipts.select("run").distinct().collect()])
+    _close_runs(spark, work, open_runs)
     return missing
 
 
@@ -198,7 +223,10 @@ def _close_runs(spark: SparkSession, work: str, runs: list[str]) -> None:
 
 
 def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """``folder, file_name, n_bytes, content`` of every exported file (``root`` must exist)."""
+    """``folder, file_name, n_bytes, content`` of every exported file (``root`` must exist).
+
+    The sink writes no names that this reader takes for hidden files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     parts = F.split("path", "/")
     return files.select(

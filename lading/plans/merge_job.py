@@ -27,22 +27,23 @@ def merge_to(
     rules: address.Rules = address.DEFAULT,
     hot_rows: int = HOT_ROWS,
 ) -> MergeResult:
-    """Write ``<out>/crosswalk``, ``<out>/customers`` and ``<out>/pickups``.
+    """Write ``<out>/matches``, ``<out>/crosswalk``, ``<out>/customers`` and ``<out>/pickups``.
 
-    The crosswalk is written first and read back: the later joins then use its
-    true size and addresses are cleaned once. Raises if a pickup lost its customer.
+    The cleaned customers are written first and read back: addresses, the costly step, are
+    cleaned once, and groups and joins work on narrow columns. The crosswalk is stored too, so that
+    the later joins know its size. Raises if a pickup would lose its customer.
     """
     paths = {name: f"{out}/{name}" for name in ("crosswalk", "customers", "pickups")}
-    resolved = dedup.with_survivor(dedup.match_frame(customers, rules), keys, hot_rows)
+    dedup.match_frame(customers, rules).write.parquet(f"{out}/matches")
+    resolved = dedup.with_survivor(spark.read.parquet(f"{out}/matches"), keys, hot_rows)
     dedup.crosswalk(resolved).write.parquet(paths["crosswalk"])
     walk = spark.read.parquet(paths["crosswalk"])
 
     dedup.remove_duplicates(customers, walk).write.parquet(paths["customers"])
-    dedup.repoint(pickups, walk).write.parquet(paths["pickups"])
-
-    lost = dedup.lost_pickups(
-        pickups, customers, spark.read.parquet(paths["pickups"]), spark.read.parquet(paths["customers"])
-    ).count()
+    remaining = spark.read.parquet(paths["customers"])
+    dedup.lost_customers(customers, walk, remaining).write.parquet(f"{out}/lost")
+    lost = dedup.lost_pickups(pickups, spark.read.parquet(f"{out}/lost")).count()
     if lost:
         raise RuntimeError(f"{lost} pickups would lose their customer; see {out}")
+    dedup.repoint(pickups, walk).write.parquet(paths["pickups"])
     return MergeResult(**paths, n_removed=walk.filter("old_id <> survivor_id").count())

@@ -92,7 +92,8 @@ _STEPS = {
     "pdf_named": """
         SELECT a.detain_hawb_id AS id, h.created_date,
                strftime(h.created_date, '%Y-%m') AS folder,
-               concat(a.atchmnt_name, '-', a.detain_hawb_id, '.pdf') AS file_name,
+               concat(CASE WHEN left(a.atchmnt_name, 1) IN ('_', '.', '/') THEN '-' END,
+                      replace(a.atchmnt_name, '/', '_'), '-', a.detain_hawb_id, '.pdf') AS file_name,
                a.atchmnt_data AS content
         FROM attachment_input a
         JOIN header_input h ON a.detain_hawb_id = h.detain_hawb_id
@@ -101,7 +102,8 @@ _STEPS = {
         WHERE l.id IS NULL""",
     "pdf_all_named": """
         SELECT a.detain_hawb_id AS id, strftime(h.created_date, '%Y-%m') AS folder,
-               concat(a.atchmnt_name, '-', a.detain_hawb_id, '.pdf') AS file_name,
+               concat(CASE WHEN left(a.atchmnt_name, 1) IN ('_', '.', '/') THEN '-' END,
+                      replace(a.atchmnt_name, '/', '_'), '-', a.detain_hawb_id, '.pdf') AS file_name,
                count(*) OVER (PARTITION BY a.detain_hawb_id) AS copies
         FROM (SELECT * FROM attachment_input UNION ALL SELECT * FROM attachment_twin_input) a
         JOIN header_input h ON a.detain_hawb_id = h.detain_hawb_id
@@ -116,7 +118,7 @@ _STEPS = {
                    upper(md5(concat('signature-', s.cour_delivery_id))) AS digest,
                    try(from_base64(s.signature)) AS content
             FROM shipment_input s LEFT JOIN shipment_ledger l ON l.id = s.cour_delivery_id
-            WHERE l.id IS NULL AND rtrim(s.rec_status) = 'DE'
+            WHERE l.id IS NULL AND rtrim(s.rec_status) = 'DE' AND s.cour_delivery_id IS NOT NULL
         )""",
     "jpeg_accepted": "SELECT * FROM jpeg_named WHERE folder IS NOT NULL",
     "jpeg_written": "SELECT * FROM jpeg_accepted WHERE content IS NOT NULL",
@@ -185,7 +187,10 @@ _FINAL = {
     "signature_quarantine": """
         SELECT id, folder, file_name,
                CASE WHEN folder IS NULL THEN 'no_created_date' ELSE 'no_payload' END AS reason
-        FROM jpeg_named WHERE folder IS NULL OR content IS NULL""",
+        FROM jpeg_named WHERE folder IS NULL OR content IS NULL
+        UNION ALL
+        SELECT NULL AS id, NULL AS folder, NULL AS file_name, 'no_id' AS reason
+        FROM shipment_input WHERE cour_delivery_id IS NULL AND rtrim(rec_status) = 'DE'""",
     "export_folders": "SELECT folder, count(*) AS n_files FROM jpeg_accepted GROUP BY folder",
     "candidate_numbers": """
         SELECT id, folder, row_number() OVER (ORDER BY id) AS row_number FROM jpeg_named""",
@@ -227,11 +232,13 @@ _FINAL = {
         WHERE customer_id IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id)""",
     "pickup_repointed": "SELECT pickup_id, customer_id FROM repointed",
     "lost_pickups": """
-        SELECT count(*) AS n_lost
+        SELECT count(*) FILTER (r.customer_id NOT IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id))
+                   AS n_lost,
+               count(*) FILTER (p.customer_id NOT IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id))
+                   AS n_lost_unmoved
         FROM pickup_input p
         JOIN customer_input c ON c.customer_id = p.customer_id
-        JOIN repointed r ON r.pickup_id = p.pickup_id
-        WHERE r.customer_id NOT IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id)""",
+        JOIN repointed r ON r.pickup_id = p.pickup_id""",
 }
 
 

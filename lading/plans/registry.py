@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.operators import address, dedup, export
+from lading.operators import address, dedup, export, ledger
 from lading.operators.numbering import BATCH_SIZE, assign_batches, number_range, number_rows
-from lading.plans import export_job
+from lading.plans import export_job, writeback_job
 from lading.plans.derived import AS_OF, view
-from lading.session import run_folder, shared_folder
+from lading.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,10 +154,17 @@ def _twin_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back, as the jobs do with what several steps use."""
+    path = f"{run_folder(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @query
 def duplicate_id_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = export.attachment_names(_all_attachments(spark, sf_dir))
-    return export.rejected(_twin_ids(spark, sf_dir), names)
+    return export.rejected(_stored(_twin_ids(spark, sf_dir), "ids"), names)
 
 
 @query
@@ -171,20 +178,20 @@ def _jpeg_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _jpeg_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = export.signature_names(view(spark, sf_dir, "shipment_input"))
-    return export.rejected(_jpeg_ids(spark, sf_dir), names)
+def _signature_run(spark: SparkSession, sf_dir: str) -> tuple[export_job.ExportResult, export_job.Paths]:
+    """A whole signature export into a fresh folder."""
+    base = run_folder(spark, "signatures")
+    # The folder all machines share, whatever it is called.
+    paths = export_job.Paths(f"{base}/files", f"{base}/ledger", f"{base}/work", shared_mount=True)
+    view(spark, sf_dir, "shipment_ledger").write.parquet(paths.ledger)
+    return export_job.export_signatures(spark, view(spark, sf_dir, "shipment_input"), paths), paths
 
 
 @query
 def signature_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = export.signature_payload(view(spark, sf_dir, "shipment_input"))
-    unreadable = (
-        export.accepted(_jpeg_ids(spark, sf_dir))
-        .join(payload.filter(F.col("content").isNull()).select("id"), "id", "left_semi")
-        .withColumn("reason", F.lit(export.NO_PAYLOAD))
-    )
-    return _jpeg_rejected(spark, sf_dir).unionByName(unreadable)
+    """What a real run held back."""
+    result, _ = _signature_run(spark, sf_dir)
+    return spark.read.parquet(result.quarantine)
 
 
 @query
@@ -236,31 +243,28 @@ def pdf_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(export.with_payload(export.accepted(ids), payload))
 
 
-def _jpeg_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def jpeg_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = export.signature_rows(view(spark, sf_dir, "shipment_input"))
+    ids = _stored(_jpeg_ids(spark, sf_dir), "ids")
+    held_back = ids.join(export.accepted(ids), "id", "left_anti").select("id")
     done = view(spark, sf_dir, "shipment_ledger").select("id")
-    held_back = _jpeg_rejected(spark, sf_dir).select("id")
     selected = export.without_ids(rows, done.unionAll(held_back))
-    return selected.filter(F.col("content").isNotNull())
-
-
-@query
-def jpeg_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest(_jpeg_payload(spark, sf_dir))
+    return _digest(selected.filter(F.col("content").isNotNull()))
 
 
 @query
 def export_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _jpeg_payload(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum(F.octet_length("content").cast("long")).alias("n_bytes")
-    )
+    """The counts that a real run reports."""
+    result, _ = _signature_run(spark, sf_dir)
+    return spark.createDataFrame([(result.files, result.bytes)], "n_files long, n_bytes long")
 
 
 @query
 def export_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = view(spark, sf_dir, "shipment_ledger").select("id", "document_name")
-    added = _jpeg_payload(spark, sf_dir).select("id", F.col("file_name").alias("document_name"))
-    return done.unionAll(added)
+    """The ledger after a real run."""
+    _, paths = _signature_run(spark, sf_dir)
+    return ledger.read_ledger(spark, paths.ledger).select("id", "document_name")
 
 
 @query
@@ -273,24 +277,24 @@ def resume_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("id", "folder", "file_name")
 
 
+def _written_back(spark: SparkSession, sf_dir: str, kind: str, columns: tuple[str, str]) -> DataFrame:
+    base = run_folder(spark, "write-back")
+    view(spark, sf_dir, f"{kind}_ledger").write.parquet(f"{base}/ledger")
+    result = writeback_job.write_back_to(
+        spark, view(spark, sf_dir, f"{kind}_input"), f"{base}/ledger", columns, f"{base}/out", shared_mount=True
+    )
+    return spark.read.parquet(result.table)
+
+
 @query
 def signature_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.write_back(
-        view(spark, sf_dir, "shipment_input"),
-        view(spark, sf_dir, "shipment_ledger"),
-        "cour_delivery_id",
-        "signature",
-    ).select("cour_delivery_id", "rec_status", "signature")
+    changed = _written_back(spark, sf_dir, "shipment", writeback_job.SIGNATURES)
+    return changed.select("cour_delivery_id", "rec_status", "signature")
 
 
 @query
 def attachment_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changed = export.write_back(
-        view(spark, sf_dir, "attachment_input"),
-        view(spark, sf_dir, "attachment_ledger"),
-        "detain_hawb_id",
-        "atchmnt_data",
-    )
+    changed = _written_back(spark, sf_dir, "attachment", writeback_job.ATTACHMENTS)
     return changed.select(
         "detain_hawb_id", "atchmnt_data", F.md5("atchmnt_data_bytes").alias("remaining_md5")
     )
@@ -306,7 +310,7 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
 def blob_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the attachment export and read its files back."""
     base = run_folder(spark, "attachments")
-    paths = export_job.Paths(f"{base}/files", f"{base}/ledger", f"{base}/work")
+    paths = export_job.Paths(f"{base}/files", f"{base}/ledger", f"{base}/work", shared_mount=True)
     view(spark, sf_dir, "attachment_ledger").write.parquet(paths.ledger)
     export_job.export_attachments(
         spark, view(spark, sf_dir, "attachment_input"), view(spark, sf_dir, "header_input"), paths
@@ -317,15 +321,13 @@ def blob_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def signature_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the signature export and read its files back."""
-    base = run_folder(spark, "signatures")
-    paths = export_job.Paths(f"{base}/files", f"{base}/ledger", f"{base}/work")
-    view(spark, sf_dir, "shipment_ledger").write.parquet(paths.ledger)
-    export_job.export_signatures(spark, view(spark, sf_dir, "shipment_input"), paths)
+    _, paths = _signature_run(spark, sf_dir)
     return _files(spark, paths.root)
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.with_survivor(dedup.match_frame(view(spark, sf_dir, "customer_input")))
+    # Addresses are cleaned once; groups and joins work on the stored narrow columns.
+    return dedup.with_survivor(_stored(dedup.match_frame(view(spark, sf_dir, "customer_input")), "matches"))
 
 
 @query
@@ -352,13 +354,17 @@ def pickup_repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lost_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shared_folder(spark)
-    # Used by two sides of the check: stored once, so addresses are not cleaned again.
-    walk = dedup.crosswalk(_resolved(spark, sf_dir)).checkpoint()
+    """Pickups without customer after the merge (none), and had they not been re-pointed."""
+    walk = _stored(dedup.crosswalk(_resolved(spark, sf_dir)), "crosswalk")
     pickups, customers = view(spark, sf_dir, "pickup_input"), view(spark, sf_dir, "customer_input")
-    moved, remaining = dedup.repoint(pickups, walk), dedup.remove_duplicates(customers, walk)
-    lost = dedup.lost_pickups(pickups, customers, moved, remaining)
-    return lost.agg(F.count(F.lit(1)).alias("n_lost"))
+    remaining = _stored(dedup.remove_duplicates(customers, walk).select("customer_id"), "remaining")
+    found = []
+    for moved in (walk, walk.filter("false")):
+        lost = _stored(dedup.lost_customers(customers, moved, remaining), "lost")
+        found.append(dedup.lost_pickups(pickups, lost).select(F.lit(moved is walk).alias("moved")))
+    return found[0].unionAll(found[1]).agg(
+        F.count_if("moved").alias("n_lost"), F.count_if(~F.col("moved")).alias("n_lost_unmoved")
+    )
 
 
 @query

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Checkpoints go when the frames that use them do.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -48,3 +50,18 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one run's tables and files."""
     return f"{shared_folder(spark).rstrip('/')}/lading-{label}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str, shared_mount: bool = False) -> str:
+    """``path`` as a full URI, as Spark's own file system settings resolve it.
+
+    Executors then write where Spark reads. A folder on the machines' own disks is refused
+    outside local mode, unless ``shared_mount`` says that all machines mount it.
+    """
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+    full = filesystem.makeQualified(hadoop_path).toString()
+    if full.startswith("file:") and not context.master.startswith("local") and not shared_mount:
+        raise ValueError(f"{full} is on each executor's own disk; give a shared file system, or say it is a shared mount")
+    return full

@@ -171,7 +171,10 @@ def staging_folder(base: str, token: str) -> str:
 
 
 def _plain(part: str | None) -> str:
-    """A single path component, so that no row can write outside the target folder."""
-    if not part or part in (".", "..") or "/" in part or "\\" in part or "\x00" in part:
+    """A single path component, so that no row can write outside the target folder.
+
+    Names that file readers skip as hidden are refused: they would not be read back.
+    """
+    if not part or part[0] in "._" or "/" in part or "\\" in part or "\x00" in part:
         raise ValueError(f"not a usable file or folder name: {part!r}")
     return part

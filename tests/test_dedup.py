@@ -57,7 +57,8 @@ def test_repoint_and_integrity(spark):
     assert dict(moved.collect()) == expected
     assert dict(dedup.repoint(pickups, walk, hot_rows=2).collect()) == expected
     remaining = dedup.remove_duplicates(customers(spark), walk)
-    assert dedup.lost_pickups(pickups, customers(spark), moved, remaining).count() == 0
+    assert dedup.lost_customers(customers(spark), walk, remaining).count() == 0
     # Without re-pointing, the pickups of merged customers would be lost.
-    lost = dedup.lost_pickups(pickups, customers(spark), pickups, remaining)
-    assert {r.pickup_id for r in lost.collect()} == {100, 101, 102, 103}
+    lost = dedup.lost_customers(customers(spark), walk.filter("false"), remaining)
+    assert {r.customer_id for r in lost.collect()} == {2, 9, 10}
+    assert {r.pickup_id for r in dedup.lost_pickups(pickups, lost).collect()} == {100, 101, 102, 103}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lading.operators import export, ledger
-from lading.plans import export_job
+from lading.plans import export_job, writeback_job
 from lading.sources import blobfiles
 from lading.sources.register import register_blobfiles
 from lading.sources.tables import LEDGER, SHIPMENT_DELIVERY_COURIER, conform, read_table
@@ -108,13 +108,23 @@ def test_repeated_id_reaches_the_join_once(spark):
     assert ids.select("id", "n_rows").collect() == [(1, 500)]
 
 
-def test_write_back(spark):
-    base = shipments(spark, [(5, JUNE, "DE", "AQID"), (6, JUNE, "DE", "keep"), (7, JUNE, "XX", None)])
-    changed = export.write_back(base, done(spark, 5), "cour_delivery_id", "signature")
+def written_back(base, ledger_rows, columns):
+    open_ = export.open_keys(base, ledger_rows, columns[0])
+    return export.write_back(base, ledger_rows, *columns, open_)
+
+
+def test_write_back(spark, tmp_path):
+    base = shipments(spark, [(5, JUNE, "DE", "AQID"), (6, JUNE, "DE", "keep"), (7, JUNE, "XX", None), (None, JUNE, "DE", "x")])
+    changed = written_back(base, done(spark, 5), writeback_job.SIGNATURES)
     assert changed.columns == base.columns
-    assert {r.cour_delivery_id: r.signature for r in changed.collect()} == {5: "done-5", 6: "keep", 7: None}
+    expected = {5: "done-5", 6: "keep", 7: None, None: "x"}
+    assert {r.cour_delivery_id: r.signature for r in changed.collect()} == expected
+    done(spark, 5).write.parquet(f"{tmp_path}/ledger")
+    result = writeback_job.write_back_to(spark, base, f"{tmp_path}/ledger", writeback_job.SIGNATURES, f"{tmp_path}/out")
+    assert (result.exported, result.kept) == (1, 3)
+    assert {r.cour_delivery_id: r.signature for r in spark.read.parquet(result.table).collect()} == expected
     base = attachments(spark, [(1, "YES", "a", b"1"), (2, "YES", "b", b"2")])
-    changed = export.write_back(base, done(spark, 1), "detain_hawb_id", "atchmnt_data")
+    changed = written_back(base, done(spark, 1), writeback_job.ATTACHMENTS)
     assert {tuple(r)[0]: tuple(r)[3:] for r in changed.collect()} == {1: ("done-1", None), 2: (None, bytearray(b"2"))}
 
 
@@ -163,7 +173,7 @@ def test_signature_job(spark, tmp_path, random_names):
     assert {i: files[f"2018-06/{names[i]}"] for i in names} == contents
     read_back = export_job.read_files(spark, where.root)
     assert {r.file_name: bytes(r.content) for r in read_back.collect()} == {names[i]: c for i, c in contents.items()}
-    changed = export.write_back(frame, spark.read.parquet(where.ledger), "cour_delivery_id", "signature")
+    changed = written_back(frame, spark.read.parquet(where.ledger), writeback_job.SIGNATURES)
     assert {r.cour_delivery_id: r.signature for r in changed.collect()} == {**names, 99: "!!!", 98: "AQID"}
 
 
@@ -232,7 +242,7 @@ def test_sink_retry_and_abort(tmp_path, monkeypatch):
     assert len(os.listdir(receipts)) == 1
 
 
-@pytest.mark.parametrize("name", ["..", "a/b", "a\\b", "", None, "x\x00"])
+@pytest.mark.parametrize("name", ["..", "_a", ".a", "a/b", "a\\b", "", None, "x\x00"])
 def test_sink_refuses_paths(tmp_path, monkeypatch, name):
     monkeypatch.setattr(blobfiles.TaskContext, "get", lambda: FakeTask(0, 1))
     with pytest.raises(ValueError, match="not a usable"):
@@ -276,3 +286,82 @@ def test_payload_side_is_not_shuffled(spark, tmp_path):
     for df, kind in ((chosen, "Inner"), (export.without_ids(rows, manifest), "LeftAnti")):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert kind in text and "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_rows_without_id_are_held_back(spark, tmp_path):
+    good = [(i, JUNE, "DE", base64.b64encode(bytes([i]) * 9).decode()) for i in range(1, 6)]
+    rows = [*good, (None, JUNE, "DE", "AQID"), (None, JUNE, "DE", "AQIE"), (None, JUNE, "XX", "AQIE")]
+    where = paths(tmp_path)
+    for random_names in (False, True):
+        result = export_job.export_signatures(spark, shipments(spark, rows), where, random_names)
+        held = [(r.id, r.folder, r.file_name, r.reason) for r in spark.read.parquet(result.quarantine).collect()]
+        assert held == [(None, None, None, "no_id")] * 2
+    assert len(on_disk(where.root)) == 5
+    assert sorted(r.id for r in spark.read.parquet(where.ledger).collect()) == [1, 2, 3, 4, 5]
+    frame = attachments(spark, [(None, "YES", "n", b"x"), (1, "YES", "_draft", b"1"), (2, "YES", ".x", b"2"), (3, "YES", "/lead", b"3")])
+    where = paths(tmp_path / "attachments")
+    result = export_job.export_attachments(spark, frame, headers(spark, [(i, JUNE) for i in (1, 2, 3, None)]), where)
+    assert sorted(on_disk(where.root)) == ["2018-06/-.x-2.pdf", "2018-06/-_draft-1.pdf", "2018-06/-_lead-3.pdf"]
+    assert export_job.read_files(spark, where.root).count() == result.files == 3
+
+
+@pytest.mark.parametrize("by_exclusion", [False, True])
+def test_either_selection_gives_the_same(spark, tmp_path, monkeypatch, by_exclusion):
+    plain = export_job.selected_rows
+    monkeypatch.setattr(export_job, "selected_rows", lambda *args: plain(*args[:-1], by_exclusion))
+    rows = [(i, JUNE, "DE", base64.b64encode(bytes([i])).decode()) for i in range(1, 9)]
+    rows += [(2, JUNE, "DE", "AQID"), (None, JUNE, "DE", "AQID"), (None, JUNE, "DE", "AQIE"), (11, None, "DE", "AQID")]
+    rows += [(12, JUNE, "DE", "!!!"), (13, JUNE, "DE", None), (14, JUNE, "XX", "AQID")]
+    where = paths(tmp_path)
+    done(spark, 3, 77).write.parquet(where.ledger)
+    result = export_job.export_signatures(spark, shipments(spark, rows), where)
+    assert (result.planned, result.files) == (8, 6)
+    names = {r.id: r.document_name for r in spark.read.parquet(where.ledger).collect()}
+    assert set(names) == {1, 3, 4, 5, 6, 7, 8, 77}
+    assert on_disk(where.root) == {f"2018-06/{names[i]}": bytes([i]) for i in (1, 4, 5, 6, 7, 8)}
+    held = sorted((r.id or 0, r.reason) for r in spark.read.parquet(result.quarantine).collect())
+    assert held == [
+        (0, "no_id"), (0, "no_id"), (2, "duplicate_id"), (2, "duplicate_id"), (11, "no_created_date"),
+        (12, "no_payload"), (13, "no_payload"),
+    ]
+
+
+def test_ledger_may_be_a_catalog_table(spark, tmp_path):
+    where = export_job.Paths(f"{tmp_path}/files", "table:export_ledger_test", f"{tmp_path}/work")
+    spark.sql("DROP TABLE IF EXISTS export_ledger_test")
+    try:
+        frame = shipments(spark, [(1, JUNE, "DE", "AQID"), (2, JUNE, "DE", "AQID")])
+        assert export_job.export_signatures(spark, frame.filter("cour_delivery_id = 1"), where).files == 1
+        assert export_job.export_signatures(spark, frame, where).files == 1
+        assert sorted(r.id for r in spark.table("export_ledger_test").collect()) == [1, 2]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS export_ledger_test")
+
+
+def test_payload_of_bucketed_tables_is_not_shuffled(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = attachments(spark, [(i, "YES", f"n{i}", b"x") for i in range(50)])
+        base.write.mode("overwrite").bucketBy(4, "detain_hawb_id").saveAsTable("attachments_test")
+        payload = export.attachment_payload(spark.table("attachments_test"))
+        ids = spark.createDataFrame([(i, "f", f"n{i}") for i in range(40)], "id long, folder string, file_name string")
+        ids.write.mode("overwrite").bucketBy(4, "id").saveAsTable("manifest_test")
+        hot = spark.createDataFrame([(3,)], "id long")
+        chosen = export.with_payload(spark.table("manifest_test"), export.without_hot(payload, hot))
+        text = chosen._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange hashpartitioning" not in text
+        # Unbucketed, the hot ids are dropped below the shuffle of the payload.
+        base.write.mode("overwrite").saveAsTable("attachments_plain_test")
+        payload = export.attachment_payload(spark.table("attachments_plain_test"))
+        chosen = export.with_payload(spark.table("manifest_test"), export.without_hot(payload, hot))
+        text = chosen._jdf.queryExecution().executedPlan().toString()
+        assert text.index("Exchange hashpartitioning") < text.index("LeftAnti")
+        # Written back, the payload is not shuffled while the list of open ids is short.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        kept = spark.table("attachments_plain_test").join(spark.table("manifest_test").select(F.col("id").alias("detain_hawb_id")), "detain_hawb_id", "left_semi")
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name in ("attachments_test", "manifest_test", "attachments_plain_test"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -56,8 +56,27 @@ def test_command_line(spark, data, tmp_path):
     # The jobs may share a work folder; each records its own files only.
     assert result.recovered == 0
     assert spark.read.parquet(f"{tmp_path}/l2").count() == result.files
+    before = spark.read.parquet(f"{tmp_path}/shipment_input")
+    result = cli.run(
+        spark,
+        ["write-back-signatures", "--shipments", f"{tmp_path}/shipment_input", "--ledger", f"{tmp_path}/l2",
+         "--out", f"{tmp_path}/after"],
+    )
+    assert result.exported == spark.read.parquet(f"{tmp_path}/l2").count()
+    assert result.exported + result.kept == before.count() == spark.read.parquet(result.table).count()
+    result = cli.run(
+        spark,
+        ["write-back-attachments", "--attachments", f"{tmp_path}/attachment_input", "--ledger", f"{tmp_path}/l1",
+         "--out", f"{tmp_path}/after2"],
+    )
+    assert spark.read.parquet(result.table).filter("atchmnt_data is not null").count() == result.exported > 0
     result = cli.run(spark, ["clean-addresses", *sides, f"{tmp_path}/clean", "--as-of", derived.AS_OF])
     assert result.n_reported == registry.overlong_report(spark, data).count()
+    options = ["--months", "60", "--limits", "20", "20", "20"]
+    wider = cli.run(spark, ["clean-addresses", *sides, f"{tmp_path}/wide", "--as-of", derived.AS_OF, *options])
+    assert wider.n_reported > result.n_reported
+    with pytest.raises(SystemExit):
+        cli.run(spark, ["merge-customers", *sides, f"{tmp_path}/x", "--hot-rows", "10"])
     result = cli.run(spark, ["--ignore-case", "merge-customers", *sides, f"{tmp_path}/merged", "--repaired"])
     assert result.n_removed > 0
 
@@ -95,3 +114,28 @@ def test_shared_folder():
         session.shared_folder(FakeSession("yarn"))
     local = FakeSession("local[2]")
     assert session.shared_folder(local) == local.sparkContext.folder
+
+
+def test_paths_are_those_of_spark(spark, tmp_path):
+    assert session.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    before = configuration.get("fs.defaultFS")
+    configuration.set("fs.defaultFS", "viewfs://cluster/")
+    configuration.set("fs.viewfs.mounttable.cluster.link./x", f"file://{tmp_path}")
+    try:
+        assert session.qualified(spark, "/x/y") == "viewfs://cluster/x/y"
+    finally:
+        configuration.set("fs.defaultFS", before)
+
+
+def test_local_folders_are_refused_on_a_cluster(spark, monkeypatch):
+    class OnCluster:
+        master = "yarn"
+        _jvm, _jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+    class Session:
+        sparkContext = OnCluster
+
+    with pytest.raises(ValueError, match="own disk"):
+        session.qualified(Session, "file:///tmp/x")
+    assert session.qualified(Session, "file:///tmp/x", shared_mount=True) == "file:/tmp/x"
