@@ -192,8 +192,10 @@ def near_duplicates(
     dealt = placed.join(sizes.filter("n > 1").withColumn("blocks", blocks), "component").withColumn(
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     )
+    # One key for component and block: the blocks of a large component go to different tasks.
     packed = stored(
-        dealt.groupBy("component", "block").agg(
+        dealt.groupBy(F.xxhash64("component", "block").alias("cell"), "block").agg(
+            F.first("component").alias("component"),
             F.first("blocks").alias("blocks"),
             F.collect_list(F.struct("rep", "copies", "vector")).alias("rows"),
         ),
