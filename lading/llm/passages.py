@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,11 @@ from lading.llm.suffix import repeats, suffix_array
 LENGTH = 50
 ANCHOR = 24
 
-# Bytes of text in a block, of text hashed at a time, of text per bucket of anchors, of a shard.
+# Bytes of text in a block, of text hashed at a time, of text that leaves a task together, of text
+# per bucket of anchors, of a shard.
 BLOCK_BYTES = 8 << 20
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+PART_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 SHARD_BYTES = 3 << 20
 
@@ -130,7 +133,8 @@ def _runs(texts: list[bytes], length: int, anchor: int):
 def _pack(columns: dict) -> bytes:
     batch = pa.RecordBatch.from_pydict(columns)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -139,6 +143,22 @@ def _unpack(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
+def _bytes(texts: pa.Array) -> list[bytes]:
+    return [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+
+
+def _parts(batches, size: int):
+    """Slices of the batches with a bounded number of bytes, a long text by itself."""
+    for batch in batches:
+        ends = np.cumsum(pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _groups(key: np.ndarray):
     """(value, order) of equal keys."""
     order = np.argsort(key, kind="stable")
@@ -151,9 +171,9 @@ def _anchor_rows(length: int, anchor: int, n_blocks: int, n_buckets: int):
     """Rows (bucket, block, values, counts): the anchors of a batch and in how many of its texts."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches, PART_BYTES):
             block = batch.column(0).to_numpy()
-            texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column(1)]
+            texts = _bytes(batch.column(1))
             values, documents = [], []
             for _, document, _, _, _, value, _ in _runs(texts, length, anchor):
                 order = np.lexsort((document, value))
@@ -222,13 +242,14 @@ def _shared_rows(hot: int):
 
 def _text_rows(batches):
     """Rows (block, texts): the documents of a batch by block, compressed."""
-    for batch in batches:
+    for batch in _parts(batches, 2 * PART_BYTES):
         table = pa.Table.from_batches([batch])
         rows = []
         for number, at in _groups(batch.column(0).to_numpy()):
             part = table.take(pa.array(at))
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
-            rows.append((number, _pack({"doc_id": part.column("doc_id").combine_chunks(), "mark": part.column("mark").combine_chunks(), "text": pa.array(texts, pa.binary())})))
+            texts = part.column("text").cast(pa.binary()).fill_null(b"")
+            columns = [part.column(c).combine_chunks() for c in ("doc_id", "mark")]
+            rows.append((number, _pack({"doc_id": columns[0], "mark": columns[1], "text": texts.combine_chunks()})))
         if rows:
             blocks, data = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], names=["block", "texts"])
@@ -348,7 +369,6 @@ def _messages(found, ids: np.ndarray, block: int, n_shards: int) -> list[tuple[i
                     {
                         "number": at.astype(np.int32),
                         "anchor": value[chosen[at]],
-                        "around": around[chosen[at]],
                         "low": low[at],
                         "high": high[at],
                         "bytes": pa.array([bytes_[i] for i in source[chosen[at]].tolist()], pa.binary()),
@@ -407,17 +427,15 @@ def _owner_rows(length: int):
             tables = [_unpack(d) for d in group.column("data").to_pylist()]
             block = np.repeat(group.column("block").to_numpy(), [t.num_rows for t in tables])
             table = pa.concat_tables(tables)
-            number, anchor, around, low, high = (table.column(c).to_numpy() for c in ("number", "anchor", "around", "low", "high"))
-            order = np.lexsort((around, anchor))
-            new = np.ones(len(order), bool)
-            a, r = anchor[order], around[order]
-            new[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
-            first = np.flatnonzero(new)
-            kind = np.empty(len(order), np.int64)
-            kind[order] = np.cumsum(new) - 1
-            owners = np.minimum.reduceat(low[order], first)
-            strings = table.column("bytes").take(pa.array(order[first])).to_pylist()
-            string, start, count, owner = first_owners(anchor[order[first]], owners, strings, length)
+            number, anchor, low, high = (table.column(c).to_numpy() for c in ("number", "anchor", "low", "high"))
+            # Equal surroundings of several blocks are one string, with its first owner.
+            coded = table.column("bytes").combine_chunks().dictionary_encode()
+            kind, strings = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+            owners = np.full(len(strings), LAST_ID, np.int64)
+            np.minimum.at(owners, kind, low)
+            anchors = np.zeros(len(strings), np.uint64)
+            anchors[kind] = anchor
+            string, start, count, owner = first_owners(anchors, owners, strings, length)
             # Each message gets the runs of its kind of surroundings.
             begin = np.searchsorted(string, kind)
             many = np.searchsorted(string, kind, side="right") - begin
