@@ -103,7 +103,10 @@ def _taken(column: pa.ChunkedArray, order: np.ndarray) -> pa.Array:
 
 
 def _round_groups(seed: int, level: int, last: bool):
-    """Rounds every group; a leftover is settled by chance on the last level."""
+    """Rounds every group; on the last level the leftover goes to the nearer whole number.
+
+    No partner is left then to take words from, and the source comes closest to its target.
+    """
 
     def run(batches):
         for group in batches_by(batches, "cell"):
@@ -116,7 +119,7 @@ def _round_groups(seed: int, level: int, last: bool):
             draw = _draw(seed + level, item[order])
             left = pivotal(size[order], part, draw.random(len(part)))
             if left >= 0 and last:
-                part[left] = float(draw.random() < part[left])
+                part[left] = float(part[left] >= 0.5)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(_taken(group.column(c), order) for c in ("doc_id", "source", "item", "size")),

@@ -54,11 +54,18 @@ def test_query_on_whole_table(spark, data):
         mine = [r for r in rows if r["source"] == source]
         assert {r["source_size"] for r in mine} == {total}
         assert all(abs(r["target"] - target) < 1e-6 * target for r in mine)
-        assert abs(sum(r["taken"] for r in mine) - target) < 0.02 * target
+        # All but one document a source keep its words; that one is off by half its size at most.
+        assert abs(sum(r["taken"] for r in mine) - target) <= max(r["size"] for r in mine) / 2 + 1e-6
         rate = target / total
         assert all(r["copies"] in (int(rate), int(rate) + 1) and r["taken"] <= 3 * r["size"] for r in mine)
 
 
+def test_large_sources_come_near(spark):
+    rows = mixing.mix(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    sums = rows.groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert len(sums) == 20 and all(abs(r["sum(taken)"] - r["max(target)"]) < 0.01 * r["max(target)"] for r in sums)
+
+
 def test_same_mix_whatever_the_partitions(spark, data, monkeypatch):
     monkeypatch.setattr(mixing, "GROUP", 7)
     docs = spark.read.parquet(f"{data}/documents.parquet")

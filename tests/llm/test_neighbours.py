@@ -54,7 +54,7 @@ def test_windows_find_neighbours_on_structured_data(spark):
     rng = np.random.default_rng(7)
     centres = rng.standard_normal((60, 32))
     rows = [(i, np.float32(centres[i % 60] + rng.standard_normal(32) * 0.1).tolist()) for i in range(3000)]
-    found = neighbours.search(frame(spark, rows), window=64, complete=False)
+    found = neighbours.search(frame(spark, rows), window=128, complete=False)
     hits = {(r["query_id"], r["vec_id"]) for r in found.collect()}
     wanted = {(q, v) for q, _, v, _ in brute(rows)}
     assert len(hits & wanted) >= 0.9 * len(wanted)
