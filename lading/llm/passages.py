@@ -159,6 +159,13 @@ def _parts(batches, size: int):
             at = stop
 
 
+def _rows(rows: list[tuple], **fields: pa.DataType):
+    """The rows as one batch, if there are any."""
+    if rows:
+        arrays = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(fields.values())]
+        yield pa.RecordBatch.from_arrays(arrays, names=list(fields))
+
+
 def _groups(key: np.ndarray):
     """(value, order) of equal keys."""
     order = np.argsort(key, kind="stable")
@@ -229,13 +236,9 @@ def _shared_rows(hot: int):
             rows = []
             for number, at in _groups(block):
                 mine, places_ = np.unique(value[at], return_index=True)
-                rows.append((number, group.column("bucket")[0].as_py(), mine.tobytes(), very[at][places_].astype("u1").tobytes()))
-            if rows:
-                blocks, buckets, values, hots = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks, pa.int32()), pa.array(buckets, pa.int32()), pa.array(values, pa.binary()), pa.array(hots, pa.binary())],
-                    names=["block", "bucket", "values", "hot"],
-                )
+                marked = very[at][places_].astype("u1").tobytes()
+                rows.append((number, group.column("bucket")[0].as_py(), mine.tobytes(), marked))
+            yield from _rows(rows, block=pa.int32(), bucket=pa.int32(), values=pa.binary(), hot=pa.binary())
 
     return run
 
@@ -250,9 +253,7 @@ def _text_rows(batches):
             texts = part.column("text").cast(pa.binary()).fill_null(b"")
             columns = [part.column(c).combine_chunks() for c in ("doc_id", "mark")]
             rows.append((number, _pack({"doc_id": columns[0], "mark": columns[1], "text": texts.combine_chunks()})))
-        if rows:
-            blocks, data = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], names=["block", "texts"])
+        yield from _rows(rows, block=pa.int32(), texts=pa.binary())
 
 
 def _block_documents(left: pa.Table, right: pa.Table):
@@ -301,7 +302,8 @@ def _message_rows(length: int, anchor: int, n_buckets: int, n_shards: int):
                 hit = known_[spot] == key
                 hot = hit & very_[spot]
                 plain = np.flatnonzero(hit & ~hot)
-                found.append(_taken(data, begin[plain], count[plain], length, document[plain], offset[plain], value[plain], around[plain]))
+                chosen = (x[plain] for x in (begin, count, document, offset, value, around))
+                found.append(_taken(data, length, *chosen))
                 if hot.any():
                     # Every string by itself: its own hash takes the place of the anchor.
                     at = np.flatnonzero(hot)
@@ -309,10 +311,11 @@ def _message_rows(length: int, anchor: int, n_buckets: int, n_shards: int):
                     one = np.repeat(at, count[at])
                     places_ = begin[one] + step
                     own = _string_hashes(data, places_, length)
-                    found.append(_taken(data, places_, np.ones(len(one), np.int64), length, document[one], offset[one] + step, own, own))
+                    single = np.ones(len(one), np.int64)
+                    found.append(_taken(data, length, places_, single, document[one], offset[one] + step, own, own))
             out = _messages(found, ids, block, n_shards)
-        shards, blocks, payloads = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"shard": pa.array(shards, pa.int32()), "block": pa.array(blocks, pa.int32()), "data": pa.array(payloads, pa.binary())})
+        fields = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary()}
+        return pa.table({n: pa.array([row[i] for row in out], t) for i, (n, t) in enumerate(fields.items())})
 
     return run
 
@@ -324,7 +327,7 @@ def _string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return _mixed((sums[at + length] - sums[at]) * inverse[at])
 
 
-def _taken(data, begin, count, length, document, offset, value, around):
+def _taken(data, length, begin, count, document, offset, value, around):
     """What is known of places, with the bytes of each kind of surroundings once."""
     order = np.lexsort((around, value))
     v, a = value[order], around[order]
@@ -376,7 +379,8 @@ def _messages(found, ids: np.ndarray, block: int, n_shards: int) -> list[tuple[i
                 ),
             )
         )
-    rows.append((-1, block, _pack({"number": number, "document": document.astype(np.int32), "offset": offset, "count": count.astype(np.int16)})))
+    own = {"number": number, "document": document.astype(np.int32), "offset": offset}
+    rows.append((-1, block, _pack(own)))
     return rows
 
 
@@ -408,7 +412,8 @@ def first_owners(anchors: np.ndarray, owners: np.ndarray, strings: list[bytes],
         ranked = suffix_array(text, 257, length)[1:]
         classes = repeats(joined, starts, ranked, length)
         best = np.full(classes.max() + 1, LAST_ID, np.int64)
-        where = np.repeat(np.cumsum(counts) - counts, counts)[np.repeat(several, counts)] + (starts - np.repeat(begins, n))
+        base = np.repeat(np.cumsum(counts) - counts, counts)[np.repeat(several, counts)]
+        where = base + (starts - np.repeat(begins, n))
         np.minimum.at(best, classes, owner[where])
         owner[where] = best[classes]
     string = np.repeat(np.arange(len(strings)), counts)
@@ -445,28 +450,45 @@ def _owner_rows(length: int):
             message, run_ = message[keep], run_[keep]
             rows = []
             for number_of, at in _groups(block[message]):
-                rows.append((number_of, _pack({"number": number[message[at]], "start": start[run_[at]].astype(np.int16), "count": count[run_[at]].astype(np.int16), "owner": owner[run_[at]]})))
-            if rows:
-                blocks, data = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], names=["block", "data"])
+                answer = {
+                    "number": number[message[at]],
+                    "start": start[run_[at]].astype(np.int16),
+                    "count": count[run_[at]].astype(np.int16),
+                    "owner": owner[run_[at]],
+                }
+                rows.append((number_of, _pack(answer)))
+            yield from _rows(rows, block=pa.int32(), data=pa.binary())
 
     return run
 
 
+def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs that are covered by intervals, in order."""
+    if not len(begins):
+        return begins.astype(np.int64), ends.astype(np.int64)
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    new = np.ones(len(begins), bool)
+    new[1:] = begins[1:] > reach[:-1]
+    last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(begins) - 1]])
+    return begins[new], reach[last]
+
+
 def _result_rows(length: int):
     """The documents of a block with their removed spans and what is left."""
 
     def run(left, right):
         ids, texts, whole = _block_documents(left, right)
         sizes = np.array([len(t) for t in texts], np.int64)
-        base = np.cumsum(sizes) - sizes
+        # One place between documents keeps their spans apart.
+        base = np.cumsum(sizes + 1) - sizes - 1
         own, answers = [], []
         for kind, data in zip(right.column("kind").to_pylist(), right.column("data").to_pylist(), strict=True):
             if kind == 2:
                 own.append(_unpack(data))
             elif kind == 3:
                 answers.append(_unpack(data))
-        depth = np.zeros(int(sizes.sum()) + 1, np.int32)
+        begins = ends = np.zeros(0, np.int64)
         if own and answers:
             places_, answer = pa.concat_tables(own), pa.concat_tables(answers)
             number, document, offset = (places_.column(c).to_numpy() for c in ("number", "document", "offset"))
@@ -480,19 +502,19 @@ def _result_rows(length: int):
             keep = owner[at] < ids[document[place]]
             place, at = place[keep], at[keep]
             first = base[document[place]] + offset[place] + start[at]
-            depth += np.bincount(first, minlength=len(depth)).astype(np.int32)
-            depth -= np.bincount(first + count[at] - 1 + length, minlength=len(depth)).astype(np.int32)
-        covered = np.cumsum(depth)[:-1] > 0
+            begins, ends = merged(first, first + count[at] - 1 + length)
+        in_document = np.searchsorted(begins, [*base.tolist(), int(base[-1] + sizes[-1] + 1) if len(base) else 0])
         spans, kept = [], []
         for i, text in enumerate(texts):
             if whole[i]:
                 spans.append([(0, len(text))] if text else [])
                 kept.append(b"")
                 continue
-            mine = covered[base[i] : base[i] + sizes[i]]
-            edges = np.flatnonzero(np.diff(np.concatenate([[False], mine, [False]]).astype(np.int8)))
-            spans.append(list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)))
-            kept.append(np.frombuffer(text, np.uint8)[~mine].tobytes() if len(edges) else text)
+            mine = slice(in_document[i], in_document[i + 1])
+            starts, stops = (begins[mine] - base[i]).tolist(), (ends[mine] - base[i]).tolist()
+            spans.append(list(zip(starts, stops, strict=True)))
+            left_over = zip([0, *stops], [*starts, len(text)], strict=True)
+            kept.append(b"".join([text[a:b] for a, b in left_over]) if starts else text)
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table(
             {
@@ -521,13 +543,19 @@ def without_repeats(
     order_id = F.coalesce("doc_id", F.lit(LAST_ID)).alias("id")
     mark = F.xxhash64("text")
     narrow = stored(
-        rows.select(order_id, mark.alias("mark"), F.sha2(F.col("text").cast("binary"), 256).alias("digest"), F.octet_length("text").alias("n")),
+        rows.select(
+            order_id,
+            mark.alias("mark"),
+            F.sha2(F.col("text").cast("binary"), 256).alias("digest"),
+            F.octet_length("text").alias("n"),
+        ),
         "digests",
     )
     total = narrow.agg(F.sum("n")).first()[0] or 0
     n_blocks, n_buckets = (max(1, -(-total // size)) for size in (BLOCK_BYTES, BUCKET_BYTES))
     block_of = lambda id_, mark_: F.pmod(F.xxhash64(id_, mark_), F.lit(n_blocks)).cast("int")
-    first = narrow.filter(F.col("n") >= length).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
+    long_enough = narrow.filter(F.col("n") >= length)
+    first = long_enough.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
     again = (
         narrow.join(first.filter("rows > 1"), "digest")
         .filter("id > first")
@@ -536,7 +564,8 @@ def without_repeats(
         .withColumn("block", block_of("id", "mark"))
     )
     again = stored(again, "again")
-    dealt = rows.select(block_of(F.coalesce("doc_id", F.lit(LAST_ID)), mark).alias("block"), "doc_id", mark.alias("mark"), "text")
+    block = block_of(F.coalesce("doc_id", F.lit(LAST_ID)), mark).alias("block")
+    dealt = rows.select(block, "doc_id", mark.alias("mark"), "text")
 
     anchors = dealt.select("block", "text").mapInArrow(
         _anchor_rows(length, anchor, n_blocks, n_buckets), "bucket int, block int, values binary, counts binary"

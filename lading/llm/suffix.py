@@ -46,8 +46,8 @@ def _smaller(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; equal runs go with what ends them."""
     n = len(text)
     step = np.ones(n, np.int8)
-    np.sign(text[1:].astype(np.int64) - text[:-1], out=step[:-1], casting="unsafe")
-    at = np.where(step != 0, np.arange(n), n)
+    step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1])
+    at = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n))
     ends = np.minimum.accumulate(at[::-1])[::-1]
     return step[ends] > 0
 
