@@ -67,7 +67,11 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?|[\"'])*)(?:>|\Z)",
     re.DOTALL,
 )
-_NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+_NAMED = re.compile(
+    r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)"
+    r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
+    re.IGNORECASE,
+)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -211,7 +215,8 @@ class Page:
 
 
 def host_of(url):
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
+    pattern = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), pattern, 1))
 
 
 def subtrees(pages: DataFrame) -> DataFrame:

@@ -204,8 +204,8 @@ def _window_best(k: int, window: int):
                     away = np.abs(some[:, None] - near[None, :])
                     # A pair belongs to the piece in which its first row is new.
                     first = np.minimum(some[:, None], near[None, :]) + start
-                    allowed = (away <= window) & (first < count) & (ids[start + some][:, None] != ids[start + near][None, :])
-                    scores[~allowed] = -np.inf
+                    own = ids[start + some][:, None] == ids[start + near][None, :]
+                    scores[(away > window) | (first >= count) | own] = -np.inf
                     slack = 1e-10 * norm[some] * (norm[near].max() if len(near) else 0)
                     a, b = _promising(scores, np.full(len(some), -np.finfo(float).max), k, slack)
                     score = exact_scores(rows[some[a]], rows[near[b]])
@@ -308,7 +308,9 @@ def window_search(given: DataFrame, k: int, curves: int, window: int) -> tuple[D
     longest = given.agg(
         F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))
     ).first()[0]
-    roles = given.withColumn("asks", F.explode(F.when(F.col("asks"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    # Every vector is offered; the queries have a second row that asks.
+    both, one = F.array(F.lit(False), F.lit(True)), F.array(F.lit(False))
+    roles = given.withColumn("asks", F.explode(F.when(F.col("asks"), both).otherwise(one)))
     kind = given.schema["vector"].dataType.simpleString()
     rows = roles.select("vec_id", "vector", "size", "asks").mapInArrow(
         _curve_rows(curves, float(longest or 1.0)),
@@ -401,7 +403,11 @@ def _remaining(given: DataFrame, rows: DataFrame, near: DataFrame, k: int) -> Da
     )
     n_heads = max(1, -(-cells.count() // HEADS))
     heads = (
-        cells.select("size", F.pmod(F.xxhash64("cell"), F.lit(n_heads)).alias("part"), F.struct("cell", "centre", "radius").alias("head"))
+        cells.select(
+            "size",
+            F.pmod(F.xxhash64("cell"), F.lit(n_heads)).alias("part"),
+            F.struct("cell", "centre", "radius").alias("head"),
+        )
         .groupBy("size", "part")
         .agg(F.collect_list("head").alias("heads"))
     )

@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lading.llm import embeddings, extraction, mixing, neighbours, packing, passages, simhash, surrogates, toxicity, warc
+from lading.llm import (
+    embeddings,
+    extraction,
+    mixing,
+    neighbours,
+    packing,
+    passages,
+    simhash,
+    surrogates,
+    toxicity,
+    warc,
+)
 from lading.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")

@@ -51,12 +51,15 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 # In this order: what an earlier pattern takes, a later one does not see.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9.+_%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "email": r"(?<![A-Za-z0-9.+_%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
+    r"@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![a-z])(?:password|passwd|secret|token|api_?key)[ \t]?[=:][ \t]?[\"']?)[A-Za-z0-9+/_-]{6,128}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![A-Za-z0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})|\([0-9]{2,4}\)|[0-9]{3}(?=[.-][0-9]{3}[.-]))(?:[ .-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9+])"
+    r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})|\([0-9]{2,4}\)|[0-9]{3}(?=[.-][0-9]{3}[.-]))"
+    r"(?:[ .-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])",
     "national": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     "card": r"(?<![A-Za-z0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9]|[.-][0-9])",
     "name": rf"(?<!\w)(?:{_TITLE})\.?[ ](?:{_NAME})(?:[ ]{_NAME})?",
@@ -157,6 +160,13 @@ class _Draws:
                 made.append(self.pick(lower.upper()) if c.isupper() else c)
         return "".join(made)
 
+    def plain(self, text: str) -> str:
+        """As ``like``, with small letters from the whole alphabet."""
+        letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+        return "".join(
+            self.pick(letters) if c.isalpha() else self.pick(digits) if c.isdigit() else c for c in text
+        )
+
     def word(self, script: str, length: int) -> str:
         hard, soft = LETTERS[script]
         return "".join(self.pick(soft if i % 2 else hard) for i in range(length))
@@ -174,7 +184,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "email":
         local, _, domain = value.partition("@")
         *hosts, top = domain.split(".")
-        made = ["".join(draw.pick("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else draw.pick("0123456789") if c.isdigit() else c for c in part) for part in (local, *hosts)]
+        made = [draw.plain(part) for part in (local, *hosts)]
         if attempt >= NARROW_DRAWS:
             made[0] += draw.word("latin", 2 + attempt)
         return f"{made[0]}@{'.'.join([*made[1:], top])}"

@@ -121,7 +121,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
     return Model(vocabulary, weights, thresholds)
 
 
-def train(index: list[list[int]], grade: np.ndarray, n_features: int, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def train(
+    index: list[list[int]], grade: np.ndarray, n_features: int, steps: int = 400
+) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds that maximise the penalised likelihood.
 
     ``index`` has the features that are present in each row. Plain gradient steps with
