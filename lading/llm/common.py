@@ -218,8 +218,29 @@ def carried(batches, width: int, piece: int = 4096):
         yield held, held.num_rows
 
 
-def forest_batch(src: list[np.ndarray], dst: list[np.ndarray]):
-    """The links of a task as the edges of a forest."""
-    if src and sum(map(len, src)):
-        node, root = local_forest(np.concatenate(src), np.concatenate(dst))
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], names=["src", "dst"])
+class Links:
+    """The links that a task finds, reduced to a forest whenever they become many."""
+
+    def __init__(self) -> None:
+        self.src: list[np.ndarray] = []
+        self.dst: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, src: np.ndarray, dst: np.ndarray) -> None:
+        self.src.append(src)
+        self.dst.append(dst)
+        self.size += len(src)
+        if self.size > 2 * EDGE_CHUNK:
+            self._reduce()
+
+    def _reduce(self) -> None:
+        node, root = local_forest(np.concatenate(self.src), np.concatenate(self.dst))
+        # What is left of a forest is kept; it has fewer edges than the task has seen nodes.
+        self.src, self.dst, self.size = [node], [root], 0
+
+    def batches(self):
+        if any(map(len, self.src)):
+            self._reduce()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.src[0]), pa.array(self.dst[0])], names=["src", "dst"]
+            )

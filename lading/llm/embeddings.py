@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import carried, components, forest_batch, in_order, passes, stored
+from lading.llm.common import Links, carried, components, in_order, passes, stored
 
 THRESHOLD = 0.95
 WINDOW = 32
@@ -102,7 +102,7 @@ def _pass_rows(n_passes: int):
 
 def _window_links(threshold: float, window: int):
     def run(batches):
-        src, dst = [], []
+        links = Links()
         step = 256
         for piece, count in carried(batches, window):
             rows, _ = unit_rows(piece.column("vector"))
@@ -114,14 +114,8 @@ def _window_links(threshold: float, window: int):
                 cosine = rows[at:stop] @ rows[at:end].T
                 a, b = np.nonzero(cosine >= threshold)
                 near = (b > a) & (b <= a + window) & (order[at + a] == order[at + b])
-                src.append(rep[at + a[near]])
-                dst.append(rep[at + b[near]])
-            # Only a forest of what was found so far is kept.
-            if sum(map(len, src)) > 1 << 20:
-                held = [b.to_pydict() for b in forest_batch(src, dst)]
-                src = [np.array(h["src"]) for h in held]
-                dst = [np.array(h["dst"]) for h in held]
-        yield from forest_batch(src, dst)
+                links.add(rep[at + a[near]], rep[at + b[near]])
+        yield from links.batches()
 
     return run
 

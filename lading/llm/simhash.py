@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import carried, components, forest_batch, in_order, passes, stored
+from lading.llm.common import Links, carried, components, in_order, passes, stored
 
 # Seed of the shingle hash, bits of a fingerprint.
 SEED = 42
@@ -270,7 +270,7 @@ def similar(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) ->
                 )
 
     def near(batches):
-        src, dst = [], []
+        links = Links()
         for piece, count in carried(batches, WINDOW):
             number = piece.column("pass").to_numpy()
             doc = piece.column("first_doc").to_numpy()
@@ -283,9 +283,8 @@ def similar(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) ->
                     break
                 apart = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
                 hit = (apart <= most) & (number[a] == number[b])
-                src.append(doc[a][hit])
-                dst.append(doc[b][hit])
-        yield from forest_batch(src, dst)
+                links.add(doc[a][hit], doc[b][hit])
+        yield from links.batches()
 
     rows = distinct.mapInArrow(keyed, "pass int, key long, first_doc long, wide binary")
     ordered = in_order(rows, ["pass", "key", "first_doc"], n_rows * n_passes)
