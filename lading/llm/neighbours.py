@@ -303,8 +303,8 @@ def _cell_best(k: int):
 _RESULT = "query_id long, vec_id long, score double"
 
 
-def window_search(given: DataFrame, k: int, curves: int, window: int) -> tuple[DataFrame, DataFrame]:
-    """Candidates (query_id, vec_id, score) from the windows, and the rows on all curves."""
+def on_curves(given: DataFrame, curves: int) -> DataFrame:
+    """The vectors on the first ``curves`` curves, queries a second time as such."""
     longest = given.agg(
         F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))
     ).first()[0]
@@ -312,13 +312,17 @@ def window_search(given: DataFrame, k: int, curves: int, window: int) -> tuple[D
     both, one = F.array(F.lit(False), F.lit(True)), F.array(F.lit(False))
     roles = given.withColumn("asks", F.explode(F.when(F.col("asks"), both).otherwise(one)))
     kind = given.schema["vector"].dataType.simpleString()
-    rows = roles.select("vec_id", "vector", "size", "asks").mapInArrow(
+    return roles.select("vec_id", "vector", "size", "asks").mapInArrow(
         _curve_rows(curves, float(longest or 1.0)),
         f"size int, curve int, key long, vec_id long, asks boolean, vector {kind}",
     )
-    n_rows = given.count()
-    ordered = in_order(rows, ["size", "curve", "key", "vec_id"], n_rows * curves)
-    return stored(ordered.mapInArrow(_window_best(k, window), _RESULT), "windows"), rows
+
+
+def window_search(given: DataFrame, k: int, curves: int, window: int) -> DataFrame:
+    """Candidates (query_id, vec_id, score) from the windows around each query on every curve."""
+    rows = on_curves(given, curves)
+    ordered = in_order(rows, ["size", "curve", "key", "vec_id"], given.count() * curves)
+    return stored(ordered.mapInArrow(_window_best(k, window), _RESULT), "windows")
 
 
 def search(
@@ -344,10 +348,10 @@ def search(
         "vector",
     ).select("vec_id", "vector", F.size("vector").alias("size"), (F.col("vec_id") % every == 0).alias("asks"))
     given = stored(given, "vectors")
-    near, rows = window_search(given, k, curves, window)
+    near = window_search(given, k, curves, window)
     found = near
     if complete:
-        found = near.unionByName(_remaining(given, rows, near, k))
+        found = near.unionByName(_remaining(given, near, k))
     pairs = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     # A query has at most k candidates from each task.
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
@@ -356,9 +360,9 @@ def search(
     )
 
 
-def _remaining(given: DataFrame, rows: DataFrame, near: DataFrame, k: int) -> DataFrame:
+def _remaining(given: DataFrame, near: DataFrame, k: int) -> DataFrame:
     """Candidates from all cells of the first curve that the windows' results do not rule out."""
-    first = rows.filter("curve = 0")
+    first = stored(on_curves(given, 1), "first-curve")
     n_rows = given.count()
     cells = stored(
         in_order(first.filter("not asks"), ["size", "key", "vec_id"], n_rows).mapInArrow(
