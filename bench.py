@@ -21,7 +21,6 @@ HEADLINE = [
     "duplicate_id_quarantine",
     "export_batches",
     "jpeg_payload",
-    "export_ledger",
     "signature_writeback",
     "blob_roundtrip",
     "signature_roundtrip",
