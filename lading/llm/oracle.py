@@ -48,6 +48,35 @@ SELECT p.page_id, p.payload_bytes::BIGINT AS payload_bytes, p.payload_digest,
        CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to, p.url
 FROM payloads p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest AND p.payload_bytes >= 100
+""",
+    "op5_passages": """
+WITH texts AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents
+), places AS (
+    SELECT doc_id, b, unnest(range(0, greatest(octet_length(b) - 49, 0))) AS i FROM texts
+), strings AS (
+    SELECT doc_id, i, md5(b[i + 1 : i + 50]) AS s FROM places
+), firsts AS (
+    SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s
+), covered AS (
+    SELECT doc_id, i, i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS apart
+    FROM strings JOIN firsts USING (s) WHERE first_id < doc_id
+), numbered AS (
+    SELECT doc_id, i, sum(coalesce(apart, false)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM covered
+), spans AS (
+    SELECT doc_id, min(i) AS first, max(i) + 50 AS last FROM numbered GROUP BY doc_id, span
+), gaps AS (
+    SELECT doc_id, first, last, coalesce(lag(last) OVER w, 0) AS before, lead(first) OVER w IS NULL AS ends
+    FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY first)
+), joined AS (
+    SELECT doc_id, sum(last - first) AS n_removed, count(*) AS n_spans,
+           string_agg(hex(b[before + 1 : first]) || CASE WHEN ends THEN hex(b[last + 1 :]) ELSE '' END, '' ORDER BY first)
+               AS kept
+    FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT t.doc_id, octet_length(t.b)::BIGINT AS n_bytes, coalesce(j.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(j.n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(unhex(j.kept), t.b)) AS kept_sha256
+FROM texts t LEFT JOIN joined j USING (doc_id)
 """,
     "op9_neighbours": f"""
 WITH {_USABLE},
