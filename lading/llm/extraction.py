@@ -3,7 +3,8 @@
 The subtrees of all pages are hashed and counted per host. A subtree that recurs on many
 different pages of a host is part of its template and is deleted, as are elements whose tag,
 role, id or class says that they are no part of the article. Inside an article or main
-element only the latter are deleted: text there may recur because it is quoted.
+element only the latter are deleted: text there may recur because it is quoted. An element that
+holds an article or main element is no template either; its other children may be.
 """
 
 from __future__ import annotations
@@ -112,6 +113,8 @@ class Page:
         self.hashes: set[int] = set()
         # Open elements: tag, deleted, inside content, first block, digests of children
         self.stack: list[tuple[str, bool, bool, int, list[bytes]]] = [("", False, False, 0, [])]
+        # Open elements, from the outermost, that are known to hold a content element
+        self.holding = 1
         self.has_content = False
         self._read()
 
@@ -144,6 +147,8 @@ class Page:
             return
         deleted = deleted or boilerplate(tag, attributes)
         if tag in CONTENT and not deleted:
+            if not inside:
+                self.holding = len(self.stack)
             inside = self.has_content = True
         self.stack.append((tag, deleted, inside, len(self.blocks), [tag.encode(), b"|"]))
 
@@ -162,10 +167,11 @@ class Page:
             if tag in BLOCK:
                 self._flush(inside)
             self.stack.pop()
+            # Content is compared with nothing, and neither is what holds it.
             if inside:
-                # Content is compared with nothing; its parent only learns that it was there.
-                if tag in CONTENT:
-                    self.stack[-1][4].append(b"<content>")
+                continue
+            if len(self.stack) < self.holding:
+                self.holding = len(self.stack)
                 continue
             digest = xxhash.xxh64_digest(b"\0".join(digests))
             self.stack[-1][4].append(digest)

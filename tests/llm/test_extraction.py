@@ -73,3 +73,21 @@ def test_query_on_whole_table(spark, data):
         body = re.search(r"<article>(.*?)(</article>|$)", p["html"], re.DOTALL)[1]
         plain = re.sub(r"<[^>]*>?", " ", re.sub(r"</?b>", "", body))
         assert found[p["page_id"]] == " ".join(html.unescape(plain).split())
+
+
+def wrapped(i):
+    top, foot = "<div class=top>Our site, all days</div>", "<div class=end>Imprint and contact</div>"
+    story = f"<main><div><article>story {i}</article></div></main>"
+    inner = f"<div class=page><section>{story}</section><p>Read more</p></div>"
+    return f"<html><body>{top}{inner}{foot}</body></html>"
+
+
+def test_wrapped_content_is_no_template(spark):
+    rows = [(i, f"http://a.example/{i}", wrapped(i), None, None) for i in range(20)]
+    found = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"story {i}" for i in range(20)}
+    shared = frozenset.intersection(*(frozenset(Page(wrapped(i)).hashes) for i in range(20)))
+    assert len(shared) == 3
+    # Where an article was left out, templates beside its wrapper still go.
+    bare = wrapped(1).replace("main", "div").replace("article", "div")
+    assert Page(bare, shared).text() == "story 1"
