@@ -51,6 +51,9 @@ DROPPED_NAMES = frozenset(
     " respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar"
     " widget".split()
 )
+# Names that begin or end so tell the state of a page or of what is beside the element.
+STATE_HEADS = frozenset("has no with without".split())
+STATE_ENDS = frozenset(("open",))
 # A start tag ends the innermost open element of these kinds, up to the given container.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -77,53 +80,67 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
-def boilerplate(tag: str, attributes: str) -> bool:
-    """Whether an element is no part of an article by its tag and attributes alone."""
+def _dropped_name(value: str) -> bool:
+    for name in value.split():
+        parts = [part.lower() for part in _PARTS.findall(name)]
+        if DROPPED_NAMES.isdisjoint(parts):
+            continue
+        if parts[0] not in STATE_HEADS and parts[-1] not in STATE_ENDS:
+            return True
+    return False
+
+
+def boilerplate(tag: str, attributes: str) -> str:
+    """Whether an element is no part of an article: by its ``kind``, only by its ``name``, or not."""
     if tag in DROPPED:
-        return True
+        return "kind"
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return ""
+    found = ""
     for match in _NAMED.finditer(attributes):
         name = match[1].lower()
         value = match[2] or match[3] or match[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "kind"
         if name == "role" and not DROPPED_ROLES.isdisjoint(value.lower().split()):
-            return True
+            return "kind"
         if name == "style" and _UNSEEN.search(value):
-            return True
-        if name in ("class", "id"):
-            if not DROPPED_NAMES.isdisjoint(part.lower() for part in _PARTS.findall(value)):
-                return True
-    return False
+            return "kind"
+        if name in ("class", "id") and not found and _dropped_name(value):
+            found = "name"
+    return found
 
 
 class Page:
     """One pass over the markup of a page: its blocks of text and the hashes of its subtrees.
 
     ``templates`` are hashes of subtrees to delete. Hashes are only known at the end of an element,
-    so blocks are taken back when an element turns out to be one of these.
+    so blocks are taken back when an element turns out to be one of these. Whether an element is
+    deleted for its names is only known at the end of the page: of the content elements those
+    with the fewest such elements around them are the article.
     """
 
     def __init__(self, source: str, templates: frozenset[int] = frozenset()) -> None:
         self.source, self.templates = source, templates
-        # Blocks as [text pieces, whether inside content]
-        self.blocks: list[tuple[str, bool]] = []
+        # Blocks as [text pieces, whether inside content, elements around it with dropped names]
+        self.blocks: list[tuple[str, bool, int]] = []
         self.pieces: list[str] = []
         self.hashes: set[int] = set()
-        # Open elements: tag, deleted, inside content, first block, digests of children
-        self.stack: list[tuple[str, bool, bool, int, list[bytes]]] = [("", False, False, 0, [])]
+        # Open elements: tag, deleted, inside content, first block, digests of children, names as in blocks
+        self.stack: list[tuple[str, bool, bool, int, list[bytes], int]] = [("", False, False, 0, [], 0)]
         # Open elements, from the outermost, that are known to hold a content element
         self.holding = 1
         self.has_content = False
+        # Fewest elements with dropped names around a content element
+        self.least_named = 0
         self._read()
 
-    def _flush(self, inside: bool) -> None:
+    def _flush(self, inside: bool, named: int) -> None:
         if self.pieces:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             self.pieces = []
             if text:
-                self.blocks.append((text, inside))
+                self.blocks.append((text, inside, named))
 
     def _text(self, text: str) -> None:
         top = self.stack[-1]
@@ -138,19 +155,27 @@ class Page:
             self._end_inner(*ends)
         if tag in CLOSES_P:
             self._end_inner({"p"}, P_SCOPE)
-        _, deleted, inside, _, _ = self.stack[-1]
+        _, deleted, inside, _, _, named = self.stack[-1]
         if tag in BLOCK:
-            self._flush(inside)
+            self._flush(inside, named)
         if empty or tag in VOID:
             if not inside:
                 self.stack[-1][4].append(tag.encode())
             return
-        deleted = deleted or boilerplate(tag, attributes)
+        if not deleted:
+            found = boilerplate(tag, attributes)
+            # Elements of blocks and custom ones may be wrappers of the article.
+            if found == "name" and not inside and (tag in BLOCK or "-" in tag):
+                self._flush(inside, named)
+                named += 1
+            else:
+                deleted = found != ""
         if tag in CONTENT and not deleted:
             if not inside:
                 self.holding = len(self.stack)
+                self.least_named = min(named, self.least_named) if self.has_content else named
             inside = self.has_content = True
-        self.stack.append((tag, deleted, inside, len(self.blocks), [tag.encode(), b"|"]))
+        self.stack.append((tag, deleted, inside, len(self.blocks), [tag.encode(), b"|"], named))
 
     def _end_inner(self, tags, scope) -> None:
         for place in range(len(self.stack) - 1, 0, -1):
@@ -163,9 +188,9 @@ class Page:
 
     def _close_to(self, place: int) -> None:
         while len(self.stack) > place:
-            tag, deleted, inside, first, digests = self.stack[-1]
-            if tag in BLOCK:
-                self._flush(inside)
+            tag, deleted, inside, first, digests, named = self.stack[-1]
+            if tag in BLOCK or named > self.stack[-2][5]:
+                self._flush(inside, named)
             self.stack.pop()
             # Content is compared with nothing, and neither is what holds it.
             if inside:
@@ -188,7 +213,7 @@ class Page:
                 self._close_to(place)
                 return
         if tag == "p" or tag == "br":
-            self._flush(self.stack[-1][2])
+            self._flush(self.stack[-1][2], self.stack[-1][5])
 
     def _read(self) -> None:
         source, at = self.source, 0
@@ -212,12 +237,16 @@ class Page:
                 at = end.end() if end else len(source)
         if at < len(source):
             self._text(source[at:])
-        self._flush(self.stack[-1][2])
+        self._flush(self.stack[-1][2], self.stack[-1][5])
         self._close_to(1)
 
     def text(self) -> str:
         """The blocks of the article, or of the whole page if it marks none."""
-        return " ".join(text for text, inside in self.blocks if inside or not self.has_content)
+        return " ".join(
+            text
+            for text, inside, named in self.blocks
+            if named == self.least_named and (inside or not self.has_content)
+        )
 
 
 def host_of(url):

@@ -91,3 +91,18 @@ def test_wrapped_content_is_no_template(spark):
     # Where an article was left out, templates beside its wrapper still go.
     bare = wrapped(1).replace("main", "div").replace("article", "div")
     assert Page(bare, shared).text() == "story 1"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["layout has-sidebar", "no-sidebar", "comments-open", "with-header", "hasSidebar", "sidebar-layout", "page header"],
+)
+def test_wrappers_with_listed_names(wrapper):
+    comments = "<div id=comments><ol><li><article class=comment>c</article></ol></div>"
+    side = "<div class=sidebar>s <p>t</div>"
+    page = f"<body><div class='{wrapper}'>{side}<article><p>story{comments}</article>{comments}</div>{side}x"
+    assert Page(page).text() == "story"
+    # An article outside goes before one in an element of such a name.
+    assert Page(f"{side}<main>m</main><div class=sidebar><article>teaser</article></div>").text() == "m"
+    assert Page(f"<my-widget class=widget>w<article>a</article></my-widget>{side}").text() == "a"
+    assert Page("<my-widget class=widget>w</my-widget>a").text() == "a"
