@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 
 from lading.llm.common import stored
 
-# A subtree is a template from so many different pages, and this share of the host's pages.
+# A subtree is a template from so many different pages, on hosts of every size.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.1
 
-# Template hashes that are sent to all tasks at once; longer lists are joined by host.
+# Template hashes that are sent to all tasks at once; of longer lists each page gets its own.
 BROADCAST_ROWS = 100_000
 
 # Elements by their role in HTML.
@@ -277,23 +276,14 @@ def subtrees(pages: DataFrame) -> DataFrame:
     )
 
 
-def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Rows (host, hash): subtrees that recur on many different pages of a host.
 
     Pages with the same source count once, so a page that is stored many times makes no template.
     """
     seen = subtrees(pages).groupBy("host", "hash", "page_key").agg(F.lit(1).alias("one"))
-    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
-    sizes = (
-        pages.filter("html is not null and html <> ''")
-        .select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("page_key"))
-        .distinct()
-        .groupBy("host")
-        .agg(F.count("*").alias("n_pages"))
-    )
-    return (
-        counts.join(sizes, "host").filter(F.col("n") >= F.col("n_pages") * least_share).select("host", "hash")
-    )
+    counts = seen.groupBy("host", "hash").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= least_pages).select("host", "hash")
 
 
 def extract(pages: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -313,8 +303,15 @@ def extract(pages: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame
             lists.setdefault(row["host"], set()).add(row["hash"])
         by_host = {host: frozenset(found) for host, found in lists.items()}
     else:
-        grouped = known.groupBy(F.col("host").alias("_of")).agg(F.collect_list("hash").alias("_hashes"))
-        ready = ready.join(grouped, F.col("_host") == F.col("_of"), "left").drop("_of")
+        # A list is bounded by the page's own subtrees, however many templates its host has.
+        grouped = (
+            subtrees(pages)
+            .join(known, ["host", "hash"])
+            .groupBy(F.col("host").alias("_of"), F.col("page_key").alias("_key"))
+            .agg(F.collect_set("hash").alias("_hashes"))
+        )
+        same = (F.col("_host") == F.col("_of")) & (F.xxhash64("html") == F.col("_key"))
+        ready = ready.join(grouped, same, "left").drop("_of", "_key")
 
     def run(batches):
         none: frozenset[int] = frozenset()

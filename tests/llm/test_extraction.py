@@ -106,3 +106,17 @@ def test_wrappers_with_listed_names(wrapper):
     assert Page(f"{side}<main>m</main><div class=sidebar><article>teaser</article></div>").text() == "m"
     assert Page(f"<my-widget class=widget>w<article>a</article></my-widget>{side}").text() == "a"
     assert Page("<my-widget class=widget>w</my-widget>a").text() == "a"
+
+
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_templates_are_alike_on_hosts_of_every_size(spark, limit):
+    out = []
+    for host, size in (("small", 20), ("large", 400)):
+        for i in range(size):
+            notice = "<div>Notice of one section</div>" if i < 8 else "<div>Rare</div>" if i < 12 else ""
+            out.append((len(out), f"http://{host}.example/{i}", f"{notice}<div><p>{host} {i}</p></div>", None, None))
+    found = extraction.extract(spark.createDataFrame(out, PAGES), limit).collect()
+    texts = {r["url"].removeprefix("http://"): r["text"] for r in found}
+    for host in ("small", "large"):
+        assert [texts[f"{host}.example/{i}"] for i in range(8)] == [f"{host} {i}" for i in range(8)]
+        assert [texts[f"{host}.example/{i}"] for i in range(8, 12)] == [f"Rare {host} {i}" for i in range(8, 12)]
