@@ -48,13 +48,22 @@ LETTERS = {
 _TITLE = "|".join(re.escape(t) for titles in TITLES.values() for t in titles)
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_SECRET_KEY = (
+    r"(?:pass[_-]?word|passwd|pass[_-]?phrase|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|authorization"
+    r"|(?:api|access|private|auth|encryption|account|shared)[_-]?key)"
+)
+# Quoted values end at their quote, others at white space, a double quote or East Asian text.
+_OPEN = "[^\\s\"\u3000-\u30ff\u4e00-\u9fff\uff00-\uffef]"
+_SECRET_END = r"(?<![.,;:!?)\]}>'])"
 
 # In this order: what an earlier pattern takes, a later one does not see.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9.+_%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}"
     r"@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:(?<![a-z])(?:password|passwd|secret|token|api_?key)[ \t]?[=:][ \t]?[\"']?)[A-Za-z0-9+/_-]{6,128}",
+    "secret": rf"(?i:{_SECRET_KEY}\\?[\"']?[ \t]{{0,4}}(?::=|=>|=(?!=)|:(?!:))[ \t]{{0,4}}(?:(?:bearer|basic)[ \t]+)?)"
+    r"(?:\"(?P<double>(?:[^\"\\\n]|\\.){4,})\"|'(?P<single>(?:[^'\\\n]|\\.){4,})'"
+    rf"|\\?[\"']?(?P<open>(?![\"'=]){_OPEN}{{4,}}{_SECRET_END}))",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "phone": r"(?<![A-Za-z0-9+])"
@@ -65,7 +74,6 @@ PATTERNS = {
     "name": rf"(?<!\w)(?:{_TITLE})\.?[ ](?:{_NAME})(?:[ ]{_NAME})?",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-_SECRET_HEAD = re.compile(r"(?i:[a-z_]+)[ \t]?[=:][ \t]?[\"']?")
 _NAME_PARTS = re.compile(rf"(?P<title>{_TITLE})\.?[ ](?P<one>{_NAME})(?:[ ](?P<two>{_NAME}))?")
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 
@@ -103,7 +111,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             continue
         value = match[0]
         if kind == "secret":
-            start += _SECRET_HEAD.match(value).end()
+            start, end = match.span(next(g for g in ("double", "single", "open") if match[g] is not None))
             value = text[start:end]
         elif kind == "email":
             value = value.lower()
@@ -205,7 +213,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
             digits = next(body + d for d in "0123456789" if luhn(body + d) == 0)
         return digits
     if kind == "secret":
-        return draw.like(value)
+        # Letters of other scripts become latin; values of signs alone, and crowded ones, grow.
+        made = draw.like(re.sub(r"[^\W\d_a-zA-Z]", "x", value))
+        return made + draw.word("latin", attempt) if attempt >= NARROW_DRAWS else made
     role, script, gender = kind.split(":")
     if role == "given" and attempt < NARROW_DRAWS:
         return draw.pick(GIVEN[script, gender]).lower()

@@ -101,3 +101,31 @@ def test_query_on_whole_table(spark, data):
     changed = other.join(QUERIES["op10_surrogates"](spark, data).withColumnRenamed("text", "first"), "doc_id")
     assert changed.filter("n_replaced > 0 and text = first").count() == 0
     assert changed.filter((F.col("n_replaced") == 0) & (F.col("text") != F.col("first"))).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "secret"),
+    [
+        ("token=" + "a1B2" * 50 + " x", "a1B2" * 50),
+        ("token=eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_X, x", "eyJhbGciOiJI.eyJzdWIiOiIx.c2ln-_X"),
+        ("password=Tr0ub4dor!rest9secret x", "Tr0ub4dor!rest9secret"),
+        ("password: p@ssw0rd!x.", "p@ssw0rd!x"),
+        ('{"api_key": "k3y.with\\"quote", "user": "u"}', 'k3y.with\\"quote'),
+        ("{'api-key':'two words 1'}", "two words 1"),
+        ("pwd=ab12;x", "ab12;x"),
+        ("dbPassword := 'it is 4 me'", "it is 4 me"),
+        ("Authorization: Bearer abc.def.ghi", "abc.def.ghi"),
+        ("token=пароль12", "пароль12"),
+        ("password=abc123，然后", "abc123"),
+    ],
+)
+def test_whole_secrets(text, secret):
+    assert kinds(text) == [("secret", secret)]
+    made = surrogates.surrogate(b"k", "secret", secret, 0)
+    assert made != secret and len(made) == len(secret)
+    assert surrogates.surrogate(b"k", "secret", "-!-!-!", 9) != "-!-!-!"
+
+
+@pytest.mark.parametrize("text", ["token == other", "token::next", "a secret to nobody", "password: ", "tokens are words"])
+def test_no_secrets(text):
+    assert kinds(text) == []
