@@ -10,6 +10,7 @@ whole table, and whoever fails draws again.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -48,6 +49,16 @@ LETTERS = {
 _TITLE = "|".join(re.escape(t) for titles in TITLES.values() for t in titles)
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+# Telephone numbers: with 00 or a trunk zero, in five pairs, and ten digits as 3-3-4 with spaces.
+_NATIONAL_PHONES = (
+    r"(?<![0-9][ .,/-])(?![0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))(?:"
+    r"(?=[0-9](?:[ ./-]?[0-9]){8,15}(?![0-9]))00[1-9][0-9]{0,2}(?:[ ./-][0-9]{1,8}){1,5}"
+    r"|(?=[0-9](?:[ /-]?[0-9]){8,12}(?![0-9]))0[1-9][0-9]{1,3}(?:[ /-][0-9]{2,8}){1,4}"
+    r"|0[1-9](?P<pair>[ .-])[0-9]{2}(?:(?P=pair)[0-9]{2}){3}(?![ .-][0-9])"
+    r"|(?:1[ ])?[2-9][0-9]{2}[ ][0-9]{3}[ ][0-9]{4}(?![ ][0-9])"
+    r")(?![A-Za-z0-9]|[.,/-][0-9])"
+)
 _SECRET_KEY = (
     r"(?:pass[_-]?word|passwd|pass[_-]?phrase|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|authorization"
     r"|(?:api|access|private|auth|encryption|account|shared)[_-]?key)"
@@ -66,9 +77,12 @@ PATTERNS = {
     rf"|\\?[\"']?(?P<open>(?![\"'=]){_OPEN}{{4,}}{_SECRET_END}))",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![A-Za-z0-9+])"
+    "ip6": r"(?<![\w:.])(?=[A-Fa-f:]*[0-9])"
+    rf"(?:(?:{_HEX}:){{7}}{_HEX}|(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{{3}})(?:(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{2,7}}:))"
+    r"(?![\w:]|\.[0-9])",
+    "phone": r"(?<![A-Za-z0-9+])(?:"
     r"(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})|\([0-9]{2,4}\)|[0-9]{3}(?=[.-][0-9]{3}[.-]))"
-    r"(?:[ .-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])",
+    rf"(?:[ .-]?[0-9]{{2,4}}){{2,4}}(?![A-Za-z0-9])|{_NATIONAL_PHONES})",
     "national": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     "card": r"(?<![A-Za-z0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9]|[.-][0-9])",
     "name": rf"(?<!\w)(?:{_TITLE})\.?[ ](?:{_NAME})(?:[ ]{_NAME})?",
@@ -117,6 +131,11 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             value = value.lower()
         elif kind == "iban":
             value = value.replace(" ", "")
+        elif kind == "ip6":
+            try:
+                value = ipaddress.IPv6Address(value).compressed
+            except ValueError:
+                value = value.lower()
         elif kind in ("phone", "card", "national"):
             value = re.sub(r"[^0-9+]", "", value)
         found.append((start, end, kind, value))
@@ -201,12 +220,22 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         ranges = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
         octets = [(1, 254) if wide else ranges[len(o)] for o in value.split(".")]
         return ".".join(str(low + draw.below(high - low + 1)) for low, high in octets)
+    if kind == "ip6":
+        # Digits but zero for digits, so that the short form stays as it is.
+        if attempt >= NARROW_DRAWS:
+            return ":".join(draw.pick("123456789") + "".join(draw.pick("123456789abcdef") for _ in range(3)) for _ in range(8))
+        return "".join(
+            c if c == ":" else draw.pick("123456789" if c.isdigit() else "abcdef") for c in value
+        )
     if kind == "key":
         return "AKIA" + "".join(draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in value[4:])
     if kind == "iban":
         return value[:2] + draw.like(value[2:])
     if kind in ("phone", "card", "national"):
         head = 1 + len(re.match(r"\+?([17]|[0-9]{2})?", value)[0]) - 1 if value[0] == "+" else 0
+        if kind == "phone" and not head:
+            # What makes the form: 00 and a country, a trunk zero, no zero or one in front of ten digits.
+            head = len(re.match(r"00[1-9]|0[1-9]|1[2-9](?=[0-9]{9}\Z)|[0-9]", value)[0])
         digits = value[:head] + draw.like(value[head:])
         if kind == "card" and luhn(value) == 0:
             body = digits[:-1]

@@ -129,3 +129,32 @@ def test_whole_secrets(text, secret):
 @pytest.mark.parametrize("text", ["token == other", "token::next", "a secret to nobody", "password: ", "tokens are words"])
 def test_no_secrets(text):
     assert kinds(text) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        *((n, "phone") for n in (
+            "555 123 4567", "1 555 123 4567", "030 12345678", "0171/1234567", "01 23 45 67 89", "01.23.45.67.89",
+            "0044 20 7946 0958", "0049-171-1234567", "020 7946 0958", "07700 900123", "0171-123 45 67",
+        )),
+        *((n, "ip6") for n in (
+            "2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0db8:0:0:0:8a2e:370:7334", "2001:DB8::", "1:2:3:4:5:6:7:8",
+        )),
+    ],
+)
+def test_national_numbers_and_ip6(text, kind):
+    assert kinds(f"call {text}, or not") == [(kind, text)]
+    value = surrogates.entities(text)[0][3]
+    for attempt in range(12):
+        shown = surrogates.shaped(text, kind, surrogates.surrogate(b"k", kind, value, attempt))
+        assert shown != text and kinds(f"call {shown}, or not") == [(kind, shown)]
+
+
+def test_no_numbers():
+    text = (
+        "01/02/2024, 01.02.2024 12:30:45, 2024-01-02, 05 12 2024, 01 02 03 04 05 06, 123 456 789, 555 123 456, "
+        "0.123 4567, page 012 34, std::vector, a[1::2], ab::cd, 12:34:56, 00:1a:2b:3c:4d:5e, 10 000 000"
+    )
+    assert kinds(text) == []
+    assert surrogates.entities("2001:DB8:0::1")[0][3] == surrogates.entities("2001:db8::1")[0][3]
