@@ -3,7 +3,9 @@
 Every pass draws random hyperplanes, orders the vectors by the bits that say on which side of
 each they lie, and compares each vector with a window of neighbours. Pairs that
 prove similar are united over all passes. How many passes are needed follows from the number
-of vectors, the window and the odds of missing a pair that are accepted.
+of vectors, the window and the odds of missing a pair that are accepted. How crowded a vector is
+shows in the key bits it shares with the end of its window; those whose own odds of a miss are
+above what is accepted are compared with each other, all pairs of blocks.
 """
 
 from __future__ import annotations
@@ -21,8 +23,15 @@ KEY_BITS = 63
 MISS = 1e-4
 SEED = 42
 
-# Vectors of one component that are compared with another such block at a time.
+# Vectors of one component that are compared with another such block at a time, and crowded ones.
 BLOCK = 512
+CROWD_BLOCK = 1024
+
+# Key bits by which a vector may be more crowded than on average before it counts as crowded.
+SPARE_BITS = 2
+
+# No statement on a pass: the window goes over the border of a partition.
+UNKNOWN = KEY_BITS + 1
 
 
 def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,13 +109,39 @@ def _pass_rows(n_passes: int):
     return run
 
 
-def _window_links(threshold: float, window: int):
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Leading bits in which keys agree."""
+    rest, length = a ^ b, np.zeros(len(a), np.int64)
+    for step in (32, 16, 8, 4, 2, 1):
+        high = (rest >> step) > 0
+        length += high * step
+        rest = np.where(high, rest >> step, rest)
+    return KEY_BITS - length - (rest > 0)
+
+
+def _window_links(threshold: float, window: int, agree: float):
+    """Links (src, dst, null), and for every row of a pass (rep, null, bound).
+
+    ``bound`` is the logarithm of the odds that the pass misses a neighbour at the threshold: one
+    that shares a bit more than the ends of the row's window do lies in it.
+    """
+
+    def crowding(rep, bits_before, bits_after):
+        bits = np.maximum(bits_before, bits_after)
+        found = np.where(bits < KEY_BITS, agree ** (bits + 1.0), 0.0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rep), pa.nulls(len(rep), pa.int64()), pa.array(np.log1p(-np.minimum(found, 1 - 1e-12)))],
+            names=["src", "dst", "bound"],
+        )
+
     def run(batches):
         links = Links()
         step = 256
+        before = np.full(window, UNKNOWN, np.int64)
         for piece, count in carried(batches, window):
             rows, _ = unit_rows(piece.column("vector"))
             rep = piece.column("rep").to_numpy()
+            key = piece.column("key").to_numpy()
             order = piece.column("pass").to_numpy().astype(np.int64) << 32 | piece.column("size").to_numpy()
             for at in range(0, count, step):
                 stop = min(at + step, count)
@@ -115,6 +150,35 @@ def _window_links(threshold: float, window: int):
                 a, b = np.nonzero(cosine >= threshold)
                 near = (b > a) & (b <= a + window) & (order[at + a] == order[at + b])
                 links.add(rep[at + a[near]], rep[at + b[near]])
+            # Bits shared with the row at the window's end; -1 where the ordering ends before it.
+            last = np.minimum(np.arange(count) + window, len(rep) - 1)
+            after = np.where(
+                order[:count] != order[last],
+                -1,
+                np.where(np.arange(count) + window < len(rep), _shared_bits(key[:count], key[last]), UNKNOWN),
+            )
+            both = np.concatenate([before, after])
+            yield crowding(rep[:count], both[:count], after)
+            before = both[count:]
+        for batch in links.batches():
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.nulls(batch.num_rows, pa.float64())], names=["src", "dst", "bound"]
+            )
+
+    return run
+
+
+def _block_links(threshold: float):
+    """Links (src, dst) between the vectors of two blocks of one size."""
+
+    def run(batches):
+        links = Links()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left, right = batch.column("left")[i].values, batch.column("right")[i].values
+                (a, _), (b, _) = unit_rows(left.field("vector")), unit_rows(right.field("vector"))
+                x, y = np.nonzero(a @ b.T >= threshold)
+                links.add(left.field("rep").to_numpy()[x], right.field("rep").to_numpy()[y])
         yield from links.batches()
 
     return run
@@ -146,6 +210,37 @@ def _block_counts(threshold: float):
     return run
 
 
+def _block_pairs(placed: DataFrame, block: int, label: str) -> DataFrame:
+    """Rows (same, left, right): all pairs of blocks of each component of ``placed``."""
+    sizes = placed.groupBy("component").agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    dealt = placed.join(sizes.filter("n > 1").withColumn("blocks", blocks), "component").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    )
+    # One key for component and block: the blocks of a large component go to different tasks.
+    packed = stored(
+        dealt.groupBy(F.xxhash64("component", "block").alias("cell"), "block").agg(
+            F.first("component").alias("component"),
+            F.first("blocks").alias("blocks"),
+            F.collect_list(F.struct("rep", "copies", "vector")).alias("rows"),
+        ),
+        label,
+    )
+    return (
+        packed.select(
+            "component",
+            "block",
+            F.col("rows").alias("left"),
+            F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"),
+        )
+        .join(
+            packed.select("component", F.col("block").alias("other"), F.col("rows").alias("right")),
+            ["component", "other"],
+        )
+        .select((F.col("block") == F.col("other")).alias("same"), "left", "right")
+    )
+
+
 def near_duplicates(
     vectors: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, miss: float = MISS
 ) -> DataFrame:
@@ -154,7 +249,8 @@ def near_duplicates(
     Two vectors of one length are linked if their cosine is at least ``threshold``. Equal
     vectors are compared once and count as often as they occur. The passes find the components;
     within each, all pairs of blocks are then counted, so n_links misses no member of
-    the component. Vectors that are null, empty, zero or hold a null or non-finite
+    the component. A pair of which either is not crowded is missed with odds of ``miss`` at most,
+    however dense other vectors are; pairs of crowded vectors are all compared. Vectors that are null, empty, zero or hold a null or non-finite
     component have no links and are kept. A null vec_id has neither component nor mark, and is
     linked with nothing; rows that repeat a vec_id belong together. Extra columns are not read.
     """
@@ -168,7 +264,7 @@ def near_duplicates(
     groups = groups.withColumn("size", F.size("vector"))
     n_rows = groups.count()
     similar = 1 - np.arccos(min(1.0, threshold)) / np.pi
-    n_passes = passes(n_rows, window, similar, miss)
+    n_passes = passes(n_rows << SPARE_BITS, window, similar, miss)
     rows = groups.select("rep", "vector", "size").mapInArrow(
         _pass_rows(n_passes),
         f"size int, pass int, key long, rep long, vector {groups.schema['vector'].dataType.simpleString()}",
@@ -176,38 +272,20 @@ def near_duplicates(
     ordered = in_order(rows, ["size", "pass", "key", "rep"], n_rows * n_passes, 20_000)
     members = stored(good.join(groups.drop("size"), "vector").select("vec_id", "rep", "copies"), "members")
     ties = members.filter("vec_id <> rep").select(F.col("vec_id").alias("src"), F.col("rep").alias("dst"))
-    edges = stored(ordered.mapInArrow(_window_links(threshold, window), "src long, dst long"), "links")
+    seen = stored(
+        ordered.mapInArrow(_window_links(threshold, window, similar), "src long, dst long, bound double"), "links"
+    )
+    edges = seen.filter("dst is not null").select("src", "dst")
+    bounds = seen.filter("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("bound").alias("bound"))
+    crowded = groups.join(bounds.filter(F.col("bound") > float(np.log(miss))), "rep")
+    crowd = crowded.select(F.col("size").cast("long").alias("component"), "rep", "copies", "vector")
+    crowd_pairs = _block_pairs(crowd, CROWD_BLOCK, "crowd")
+    edges = edges.unionByName(crowd_pairs.mapInArrow(_block_links(threshold), "src long, dst long"))
     found = stored(components(edges.unionByName(ties), "embeddings"), "components")
 
     # Exact counts inside components, over pairs of bounded blocks.
     placed = groups.join(found, F.col("rep") == F.col("node")).select("component", "rep", "copies", "vector")
-    sizes = placed.groupBy("component").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = placed.join(sizes.filter("n > 1").withColumn("blocks", blocks), "component").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    )
-    # One key for component and block: the blocks of a large component go to different tasks.
-    packed = stored(
-        dealt.groupBy(F.xxhash64("component", "block").alias("cell"), "block").agg(
-            F.first("component").alias("component"),
-            F.first("blocks").alias("blocks"),
-            F.collect_list(F.struct("rep", "copies", "vector")).alias("rows"),
-        ),
-        "blocks",
-    )
-    pairs = (
-        packed.select(
-            "component",
-            "block",
-            F.col("rows").alias("left"),
-            F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"),
-        )
-        .join(
-            packed.select("component", F.col("block").alias("other"), F.col("rows").alias("right")),
-            ["component", "other"],
-        )
-        .select((F.col("block") == F.col("other")).alias("same"), "left", "right")
-    )
+    pairs = _block_pairs(placed, BLOCK, "blocks")
     counts = pairs.mapInArrow(_block_counts(threshold), "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
     per_rep = stored(counts, "counts")
 

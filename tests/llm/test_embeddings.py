@@ -79,3 +79,26 @@ def test_query_on_whole_table(spark, data):
     rows = [tuple(r) for r in spark.read.parquet(f"{data}/embeddings.parquet").select("vec_id", "embedding").collect()]
     found = sorted(tuple(r) for r in QUERIES["op1_embeddings"](spark, data).collect())
     assert found == brute(rows)
+
+
+def test_pairs_in_a_dense_group(spark):
+    # A cone of vectors with cosine 0.88 to each other, and pairs of 0.955 in it.
+    rng, size, n = np.random.default_rng(7), 128, 3000
+    cone = rng.standard_normal(size)
+    cone /= np.linalg.norm(cone)
+
+    def away(v):
+        w = rng.standard_normal(size)
+        w -= (w @ v) * v
+        return w / np.linalg.norm(w)
+
+    rows = [math.sqrt(0.88) * cone + math.sqrt(0.12) * away(cone) for _ in range(n)]
+    rows += [0.955 * v + math.sqrt(1 - 0.955**2) * away(v) for v in rows[:300]]
+    rows += [rng.standard_normal(size) for _ in range(2 * n)]
+    vectors = np.array([v / np.linalg.norm(v) for v in rows]).astype(np.float32)
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    expected = ((unit @ unit.T) >= 0.95).sum(axis=1) - 1
+    given = frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)])
+    found = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(given).collect()}
+    assert expected.sum() >= 600
+    assert [found[i] for i in range(len(rows))] == expected.tolist()
