@@ -15,7 +15,6 @@ at least two groups; those numbers are the join key, and no pair is lost.
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import carried, components, in_order, passes, stored
+from lading.llm.common import components, stored
 
 # Seed of the shingle hash, bits of a fingerprint.
 SEED = 42
@@ -36,23 +35,6 @@ BUCKET_LIMIT = 256
 # Shingles that are counted at a time.
 COUNT_CHUNK = 1 << 18
 
-# Fingerprints for a share of common shingles: 64-bit words, window of the orderings, bits of
-# their keys.
-WIDE_WORDS = 8
-WIDE_BITS = 64 * WIDE_WORDS
-WINDOW = 32
-KEY_BITS = 63
-MISS = 1e-4
-
-# Words of a wide fingerprint that are compared, standard deviations allowed above what is expected,
-# and orderings whose closest pairs are verified before all others.
-NEAR_WORDS = 3
-DEVIATIONS = 4
-FIRST_PASSES = 3
-
-# Sets of up to this size are not yet like large ones in the share of bits that differ.
-SMALL_SET = 32
-
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -219,178 +201,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, radius: int = 2) ->
     )
 
 
-def _wide(hashes: np.ndarray) -> bytes:
-    """A fingerprint of ``WIDE_BITS`` over the distinct shingles."""
-    hashes = np.unique(hashes)
-    words = []
-    for word in range(WIDE_WORDS):
-        with np.errstate(over="ignore"):
-            mixed = hashes * np.uint64(2 * (0x9E3779B97F4A7C15 * (word + 1) % (1 << 63)) + 1)
-            mixed ^= mixed >> np.uint64(29)
-            mixed *= np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(32)
-        words.append(majority(mixed))
-    return b"".join(words)
-
-
-def differing_bits(similarity: float) -> float:
-    """Expected share of differing bits of two large sets with this Jaccard similarity."""
-    cosine = 2 * similarity / (1 + similarity)
-    return float(np.arccos(cosine) / np.pi)
-
-
-def most_differing_bits(similarity: float) -> float:
-    """Largest expected share of differing bits of two sets of any size with this similarity."""
-
-    def upper(drawn: int, more_than: float) -> float:
-        return sum(comb(drawn, i) for i in range(drawn + 1) if 2 * i > more_than) / 2**drawn
-
-    worst = differing_bits(similarity)
-    for n in range(1, SMALL_SET + 1):
-        for m in range(n, int(n / similarity) + 1):
-            both = int(np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9))
-            if both > n:
-                continue
-            share = 0.0
-            for s in range(both + 1):
-                a, b = upper(n - both, n - 2 * s), upper(m - both, m - 2 * s)
-                share += comb(both, s) / 2**both * (a * (1 - b) + b * (1 - a))
-            worst = max(worst, share)
-    return worst
-
-
-def _verified_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The rows (src, dst) of ``pairs`` whose shingle sets have the Jaccard similarity."""
-    shared = F.size(F.array_intersect("a", "b"))
-    return (
-        pairs.select("src", "dst")
-        .join(sets.select(F.col("doc_id").alias("src"), F.col("shingles").alias("a")), "src")
-        .join(sets.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("b")), "dst")
-        .filter(F.try_divide(shared, F.size("a") + F.size("b") - shared) >= similarity)
-        .select("src", "dst")
-    )
-
-
-def similar(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows (doc_id, component_id) for documents that share ``similarity`` of their shingles.
-
-    The share is the exact Jaccard similarity of the sets of distinct shingles; wide fingerprints
-    only propose pairs, up to ``DEVIATIONS`` standard deviations above the bits that are expected to
-    differ. At such
-    distances pivots discard nothing (unrelated fingerprints are as near in every coordinate as
-    similar ones), so candidates are the neighbours in orderings by randomly chosen bits, as many
-    as make a miss unlikely for the number of rows. Equal fingerprints are one candidate.
-    The closest pairs of some orderings are verified first; of the others only those that would
-    still join two components, which gives the same groups as verifying all.
-    Texts without words have equal fingerprints. Rows without doc_id are left out.
-    """
-    share, worst = differing_bits(similarity), most_differing_bits(similarity)
-    compared = 64 * NEAR_WORDS
-    most = int(np.ceil(compared * worst + DEVIATIONS * np.sqrt(compared * worst * (1 - worst))))
-    names = [f"w{i}" for i in range(NEAR_WORDS)]
-
-    def wide(batches):
-        for batch in batches:
-            made = [_wide(shingle_hashes(t.as_py(), shingle_words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "wide"]
-            )
-
-    def distinct_shingles(batches):
-        for batch in batches:
-            made = [np.unique(shingle_hashes(t.as_py(), shingle_words)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(made, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
-            )
-
-    known = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    marked = stored(known.mapInArrow(wide, "doc_id long, wide binary"), "wide")
-    distinct = stored(marked.groupBy("wide").agg(F.min("doc_id").alias("first_doc")), "distinct")
-    n_rows = distinct.count()
-    n_passes = passes(n_rows, WINDOW, 1 - share, MISS)
-
-    def keyed(batches):
-        chosen = np.random.default_rng(SEED)
-        picks = [chosen.choice(WIDE_BITS, KEY_BITS, replace=False) for _ in range(n_passes)]
-        for batch in batches:
-            words = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
-            bits = np.unpackbits(words.reshape(-1, WIDE_BITS // 8), axis=1)
-            near_words = words.view("<i8").reshape(-1, WIDE_WORDS)[:, :NEAR_WORDS]
-            sent = [pa.array(np.ascontiguousarray(near_words[:, i])) for i in range(NEAR_WORDS)]
-            for number, pick in enumerate(picks):
-                key = np.zeros(len(bits), np.int64)
-                for bit in pick:
-                    key = (key << 1) | bits[:, bit]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(bits), number, np.int32)), pa.array(key), batch.column(1), *sent],
-                    names=["pass", "key", "first_doc", *names],
-                )
-
-    def near(batches):
-        for piece, count in carried(batches, WINDOW):
-            number = piece.column("pass").to_numpy()
-            doc = piece.column("first_doc").to_numpy()
-            words = np.column_stack([piece.column(name).to_numpy() for name in names]).view(np.uint64)
-            closest, place = np.full(count, most + 1), np.zeros(count, np.int64)
-            src, dst = [], []
-            for step in range(1, WINDOW + 1):
-                a = slice(0, min(count, len(doc) - step))
-                b = slice(step, a.stop + step)
-                if a.stop <= 0:
-                    break
-                apart = np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64)
-                hit = (apart <= most) & (number[a] == number[b])
-                src.append(doc[a][hit])
-                dst.append(doc[b][hit])
-                closer = hit & (apart < closest[a])
-                closest[a][closer], place[a][closer] = apart[closer], step
-            at = np.flatnonzero((place > 0) & (number[:count] < FIRST_PASSES))
-            src.append(doc[at])
-            dst.append(doc[at + place[at]])
-            total = sum(map(len, src))
-            first = np.arange(total) >= total - len(at)
-            src, dst = np.concatenate(src), np.concatenate(dst)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst)), pa.array(first)],
-                names=["src", "dst", "first"],
-            )
-
-    schema = "pass int, key long, first_doc long, " + ", ".join(f"{name} long" for name in names)
-    ordered = in_order(distinct.mapInArrow(keyed, schema), ["pass", "key", "first_doc"], n_rows * n_passes)
-    proposed = ordered.mapInArrow(near, "src long, dst long, first boolean").filter("src <> dst")
-    proposed = stored(proposed.groupBy("src", "dst").agg(F.max("first").alias("first")), "proposed")
-    asked = proposed.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
-    texts = known.join(asked, "doc_id", "left_semi").dropDuplicates()
-    sets = stored(texts.mapInArrow(distinct_shingles, "doc_id long, shingles array<long>"), "shingles")
-    closest = stored(_verified_pairs(proposed.filter("first"), sets, similarity), "closest")
-    joined = stored(components(closest, "closest"), "joined")
-    rest = (
-        proposed.filter("not first")
-        .join(joined.select(F.col("node").alias("src"), F.col("component").alias("a")), "src", "left")
-        .join(joined.select(F.col("node").alias("dst"), F.col("component").alias("b")), "dst", "left")
-        .filter(F.coalesce("a", "src") != F.coalesce("b", "dst"))
-    )
-    # One document may have several rows: these belong together.
-    ties = (
-        marked.join(distinct, "wide")
-        .filter("doc_id <> first_doc")
-        .select(F.col("doc_id").alias("src"), F.col("first_doc").alias("dst"))
-    )
-    linked = closest.unionByName(_verified_pairs(rest, sets, similarity))
-    found = components(linked.unionByName(ties), "similar")
-    return (
-        marked.select("doc_id")
-        .distinct()
-        .join(found, F.col("doc_id") == F.col("node"), "left")
-        .select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))
-    )
-
-
-def representatives(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+def representatives(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the smallest doc_id stays.
 
     Rows without doc_id are kept, and all rows of an id that stays.
     """
-    groups = similar(docs.select("doc_id", "text"), shingle_words, similarity)
+    groups = near_duplicates(docs.select("doc_id", "text"), shingle_words, radius)
     away = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dup_id"))
     return docs.join(away, docs["doc_id"] == F.col("_dup_id"), "left_anti")

@@ -19,7 +19,7 @@ def test_stages_in_order(spark, data):
         if name == "toxicity":
             assert ids[-1] == {i for i in ids[0] if not rated[i]}
         if name == "simhash":
-            groups = {r["doc_id"]: r["component_id"] for r in simhash.similar(before).collect()}
+            groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(before).collect()}
             assert ids[-1] == set(groups.values())
         if name == "surrogates":
             assert now.count() == before.count()
