@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the one with the smallest doc_id."""
-    return simhash.representatives(docs, shingle_words=5)
+    return simhash.representatives(docs, shingle_words=3, radius=2)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
