@@ -89,5 +89,76 @@ WITH {_USABLE},
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
     )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM placed WHERE rank <= 20
+""",
+    "op11_sharding": """
+WITH crcs AS (
+    -- The table of CRC-32, by its rule.
+    SELECT list(list_reduce(list_concat([b], range(8)), lambda c, _:
+        CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM (SELECT unnest(range(256)) AS b)
+), texts AS (
+    SELECT doc_id, source, encode(coalesce(text, '')) AS b,
+           ('0x' || substr(md5('23:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS draw
+    FROM documents
+), sized AS (
+    SELECT doc_id, source, draw, octet_length(b)::BIGINT + 1 AS size,
+           xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+               list_transform(regexp_extract_all(hex(b), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, x:
+               xor(t[(xor(c, x) & 255) + 1], c >> 8))) AS text_crc32
+    FROM texts, crcs
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id NULLS FIRST, text_crc32, size) - 1 AS r,
+           count(*) OVER (PARTITION BY source) AS n
+    FROM sized
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * r + 1)::DOUBLE / (2 * n)::DOUBLE, source NULLS FIRST, draw, doc_id NULLS FIRST,
+               text_crc32, size) - 1 AS p, count(*) OVER () AS total
+    FROM ranked
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (p * 8 // total)::INTEGER AS shard,
+       p - ((p * 8 // total) * total + 7) // 8 AS slot, NULL::INTEGER AS grown_shard, source
+FROM placed
+""",
+    "op13_divergence": r"""
+WITH found AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM found
+), counted AS (
+    SELECT doc, lang, source, term, count(*) AS n FROM (SELECT doc, lang, source, unnest(terms) AS term FROM found) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n FROM counted GROUP BY lang, term HAVING count(*) >= 3
+), held AS (
+    SELECT lang, source, term, sum(n)::HUGEINT AS n FROM counted SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+    SELECT lang, source, sum(n) AS n FROM held GROUP BY lang, source
+), langs AS (
+    SELECT lang, sum(n) AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), rated AS (
+    SELECT g.lang, g.source, k.term, coalesce(h.n, 0)::HUGEINT AS n,
+           1 + 1000000000::HUGEINT * (coalesce(h.n, 0) + 1) // (coalesce(s.n, 0) + l.v) AS p,
+           1 + 1000000000::HUGEINT * (k.n + 1) // (l.n + l.v) AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+    LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+    LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM rated a JOIN rated b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+    GROUP BY ALL
+), parts AS (
+    SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(p.value, 0) AS value
+    FROM groups g JOIN groups o ON o.lang = g.lang AND o.source <> g.source
+    LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = o.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM rated WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
 from lading.llm import (
+    divergence,
     embeddings,
     extraction,
     mixing,
     neighbours,
     packing,
     passages,
+    periodic,
+    sharding,
     simhash,
     surrogates,
     toxicity,
@@ -98,3 +103,45 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.placed(table(spark, sf_dir, "documents"), n_shards=8)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source"
+    )
+
+
+def planted_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a document as the query looks at them: a tenth end in a passage that repeats."""
+    drawn = 1 if doc_id is None else crc32(str(doc_id).encode())
+    if drawn % 10 or not words:
+        return words
+    g, n = drawn // 10, len(words)
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    unit = words[a : a + period]
+    return words[:a] + (unit * ((n - a) // period + 1))[: n - a]
+
+
+@query
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), prepare=planted_repeats)
+    best = periodic.strongest(F.col("runs"))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.call_function("div", 1000 * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))

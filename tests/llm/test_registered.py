@@ -22,7 +22,7 @@ def test_query(spark, data, name):
     assert sorted(map(repr, map(tuple, frame.select(*columns).collect()))) == sorted(map(repr, cursor.fetchall()))
 
 
-def test_eleven_queries_are_registered():
+def test_fourteen_queries_are_registered():
     names = {n for n in contract.queries() if n.startswith("op") and n[2].isdigit()} | {"pipeline"}
-    assert names == {*QUERIES, "pipeline"} and len(names) == 11
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert names == {*QUERIES, "pipeline"} and len(names) == 14
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
