@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
 from lading.operators import address
-from lading.operators.spread import HOT_ROWS, hot_keys, spread_join
+from lading.operators.spread import HOT_ROWS, checked_hot_rows, hot_keys, spread_join
 
 MATCH_KEYS = ["match_name", "building", "street", "city"]
 
@@ -47,6 +49,7 @@ def with_survivor(
 
     The group sizes are known by then, so the join salts the large groups.
     """
+    checked_hot_rows(hot_rows)
     groups = duplicate_groups(matches, keys)
     hot = groups.filter(F.col("n_rows") >= hot_rows)
     joined = spread_join(matches, groups, keys, hot, spread_by=["customer_id"])
@@ -70,24 +73,73 @@ def remove_duplicates(customers: DataFrame, walk: DataFrame) -> DataFrame:
 
 
 def repoint(
-    pickups: DataFrame, walk: DataFrame, hot_rows: int | None = None
+    table: DataFrame,
+    walk: DataFrame,
+    hot_rows: int | None = None,
+    column: str = "customer_id",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Pickups with ``customer_id`` replaced by its survivor; unknown ids stay.
+    """``table`` with ``column`` replaced by the survivor of the customer it names; unknown ids stay.
 
-    Only merged customers are looked up. Skew of ``customer_id`` is left to the
-    adaptive skew join; with ``hot_rows``, customers with that many pickups are
-    found by a count and salted instead.
+    Only merged customers are looked up. Skew of the column is left to the
+    adaptive skew join; with ``hot_rows``, customers with that many rows are
+    found by a count and salted instead. ``hot`` gives these customers, where they are known.
     """
     merged = walk.filter(F.col("old_id") != F.col("survivor_id")).select(
-        F.col("old_id").alias("customer_id"), "survivor_id"
+        F.col("old_id").alias(column), F.col("survivor_id").alias("_survivor_id")
     )
-    if hot_rows is None:
-        joined = pickups.join(merged, "customer_id", "left")
+    if hot is None and hot_rows is not None:
+        hot = hot_keys(table.select(F.col(column).alias("customer_id")), ["customer_id"], hot_rows)
+    if hot is None:
+        joined = table.join(merged, column, "left")
     else:
-        hot = hot_keys(pickups, ["customer_id"], hot_rows)
-        joined = spread_join(pickups, merged, ["customer_id"], hot, spread_by=["pickup_id"])
-    new_id = F.coalesce("survivor_id", "customer_id").alias("customer_id")
-    return joined.select(*[new_id if c == "customer_id" else F.col(c) for c in pickups.columns])
+        others = [c for c in table.columns if c != column]
+        joined = spread_join(table, merged, [column], hot.select(F.col("customer_id").alias(column)), spread_by=others)
+    new_id = F.coalesce("_survivor_id", column).alias(column)
+    return joined.select(*[new_id if c == column else F.col(c) for c in table.columns])
+
+
+# Tables that refer to customers: name, rows, and the columns that hold a customer's id.
+References = dict[str, tuple[DataFrame, list[str]]]
+
+
+def shared_hot_keys(references: References, hot_rows: int) -> DataFrame:
+    """``customer_id`` of the customers with at least ``hot_rows`` mentions in all tables together.
+
+    Counted in one aggregation, where every mention is reduced before the shuffle.
+    """
+    mentions = [
+        table.select(F.col(column).alias("customer_id"))
+        for table, columns in references.values()
+        for column in columns
+    ]
+    return hot_keys(reduce(DataFrame.unionAll, mentions), ["customer_id"], hot_rows)
+
+
+def repoint_all(references: References, walk: DataFrame, hot: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every table with all its references re-pointed; ``hot`` are the ``shared_hot_keys``, if salted."""
+    moved = {}
+    for name, (table, columns) in references.items():
+        for column in columns:
+            table = repoint(table, walk, column=column, hot=hot)
+        moved[name] = table
+    return moved
+
+
+def lost_references(references: References, lost: DataFrame) -> DataFrame:
+    """Rows (table_name, column_name, n_lost): how many references point to one of the ``lost`` customers.
+
+    One row per column that refers to customers. ``lost`` should be stored, so that a short list is broadcast.
+    """
+    counts = [
+        table.select(F.col(column).alias("customer_id"))
+        .join(lost.select("customer_id"), "customer_id", "left_semi")
+        .agg(F.count(F.lit(1)).alias("n_lost"))
+        .select(F.lit(name).alias("table_name"), F.lit(column).alias("column_name"), "n_lost")
+        for name, (table, columns) in references.items()
+        for column in columns
+    ]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def lost_customers(customers: DataFrame, walk: DataFrame, remaining: DataFrame) -> DataFrame:

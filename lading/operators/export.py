@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
-from lading.operators.spread import HOT_ROWS
+from lading.operators.spread import HOT_ROWS, checked_hot_rows
 
 # Status texts of the source tables.
 PRINTED = "YES"
@@ -200,6 +200,7 @@ def rejected(
     name. Ids with at least ``hot_rows`` rows, of which N rows have at most
     N / ``hot_rows``, are matched by broadcast, and their rows never shuffled.
     """
+    checked_hot_rows(hot_rows)
     reason = F.when(F.col("folder").isNull(), UNDATED).when(F.octet_length("file_name") > name_limit, LONG_NAME)
     single = ids.filter("n_rows = 1").withColumn("reason", reason).filter("reason IS NOT NULL")
 
@@ -265,6 +266,14 @@ def open_keys(base: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
 
 
 def write_back(base: DataFrame, ledger: DataFrame, key: str, payload: str, open_: DataFrame) -> DataFrame:
+    """The two parts of ``written_back`` as one table."""
+    exported, kept = written_back(base, ledger, key, payload, open_)
+    return exported.unionByName(kept)
+
+
+def written_back(
+    base: DataFrame, ledger: DataFrame, key: str, payload: str, open_: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """``base`` with ``payload`` replaced by the document name for every id in the ledger.
 
     ``open_`` are the stored ``open_keys``. Exported rows are read without the payload
@@ -289,4 +298,4 @@ def write_back(base: DataFrame, ledger: DataFrame, key: str, payload: str, open_
     if binary:
         name_only.append(F.lit(None).cast("binary").alias(f"{payload}_bytes"))
         bytes_only = [F.lit(None).cast("string").alias(payload), F.col(payload).alias(f"{payload}_bytes")]
-    return exported.select(columns(name_only)).unionByName(kept.select(columns(bytes_only)))
+    return exported.select(columns(name_only)), kept.select(columns(bytes_only))

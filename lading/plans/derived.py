@@ -81,6 +81,13 @@ VIEWS = {
                    {_town("o_orderkey")} AS own_town
             FROM {{orders}}
         ) AS placed""",
+    # A second table that refers to customers, by two columns.
+    "parcel_input": """
+        SELECT event_id AS parcel_id,
+               CASE WHEN event_id % 59 <> 0 THEN user_id END AS sender_id,
+               CASE WHEN event_id % 3 = 0 THEN 9 ELSE user_id + 1 END AS receiver_id,
+               event_type AS service
+        FROM {events}""",
     "header_input": """
         SELECT o_orderkey AS detain_hawb_id, o_orderdate AS created_date FROM {orders}""",
     "attachment_input": """

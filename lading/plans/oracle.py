@@ -208,12 +208,21 @@ _FINAL = {
     "export_ledger": """
         SELECT id, document_name FROM shipment_ledger
         UNION ALL SELECT id, file_name AS document_name FROM jpeg_written""",
+    "batched_export_ledger": """
+        SELECT id, document_name FROM shipment_ledger
+        UNION ALL SELECT id, file_name AS document_name FROM jpeg_written""",
+    "run_progress": """
+        SELECT 'closed' AS state, (SELECT count(*) FROM jpeg_accepted) AS planned,
+               count(*) AS n_files, CAST(sum(octet_length(content)) AS BIGINT) AS n_bytes FROM jpeg_written""",
     "resume_candidates": """
         SELECT id, folder, file_name FROM jpeg_named
         WHERE id NOT IN (SELECT id FROM jpeg_batched WHERE batch_id = 0)""",
     "signature_writeback": """
         SELECT s.cour_delivery_id, s.rec_status, coalesce(l.document_name, s.signature) AS signature
         FROM shipment_input s LEFT JOIN shipment_ledger l ON l.id = s.cour_delivery_id""",
+    "signature_published": """
+        SELECT s.cour_delivery_id, s.rec_status, coalesce(l.document_name, s.signature) AS signature
+        FROM shipment_input s LEFT JOIN shipment_ledger l ON l.id = s.cour_delivery_id""",
     "attachment_writeback": """
         SELECT a.detain_hawb_id, l.document_name AS atchmnt_data,
                CASE WHEN l.id IS NULL THEN md5(a.atchmnt_data) END AS remaining_md5
@@ -231,6 +240,21 @@ _FINAL = {
         SELECT customer_id, customer_name, address, town FROM customer_input
         WHERE customer_id IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id)""",
     "pickup_repointed": "SELECT pickup_id, customer_id FROM repointed",
+    "references_repointed": """
+        SELECT r.table_name, r.row_id, r.column_name, coalesce(w.survivor_id, r.customer_id) AS customer_id
+        FROM (
+            SELECT 'pickups' AS table_name, pickup_id AS row_id, 'customer_id' AS column_name, customer_id
+            FROM pickup_input
+            UNION ALL SELECT 'parcels', parcel_id, 'sender_id', sender_id FROM parcel_input
+            UNION ALL SELECT 'parcels', parcel_id, 'receiver_id', receiver_id FROM parcel_input
+        ) r LEFT JOIN cust_walk w ON w.customer_id = r.customer_id""",
+    "lost_references": """
+        SELECT 'pickups' AS table_name, 'customer_id' AS column_name, count(*) AS n_lost
+        FROM pickup_input WHERE customer_id IN (SELECT customer_id FROM cust_walk WHERE customer_id <> survivor_id)
+        UNION ALL
+        SELECT 'parcels', 'sender_id', count(*) FROM parcel_input WHERE sender_id IN (SELECT customer_id FROM cust_walk WHERE customer_id <> survivor_id)
+        UNION ALL
+        SELECT 'parcels', 'receiver_id', count(*) FROM parcel_input WHERE receiver_id IN (SELECT customer_id FROM cust_walk WHERE customer_id <> survivor_id)""",
     "lost_pickups": """
         SELECT count(*) FILTER (r.customer_id NOT IN (SELECT customer_id FROM cust_walk WHERE customer_id = survivor_id))
                    AS n_lost,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lading.operators import address, dedup, export, ledger
 from lading.operators.numbering import BATCH_SIZE, assign_batches, number_range, number_rows
-from lading.plans import export_job, writeback_job
+from lading.plans import export_job, versions, writeback_job
 from lading.plans.derived import AS_OF, view
 from lading.session import run_folder
 
@@ -178,13 +178,16 @@ def _jpeg_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _signature_run(spark: SparkSession, sf_dir: str) -> tuple[export_job.ExportResult, export_job.Paths]:
+def _signature_run(
+    spark: SparkSession, sf_dir: str, batch_size: int | None = None
+) -> tuple[export_job.ExportResult, export_job.Paths]:
     """A whole signature export into a fresh folder."""
     base = run_folder(spark, "signatures")
     # The folder all machines share, whatever it is called.
     paths = export_job.Paths(f"{base}/files", f"{base}/ledger", f"{base}/work", shared_mount=True)
     view(spark, sf_dir, "shipment_ledger").write.parquet(paths.ledger)
-    return export_job.export_signatures(spark, view(spark, sf_dir, "shipment_input"), paths), paths
+    shipments = view(spark, sf_dir, "shipment_input")
+    return export_job.export_signatures(spark, shipments, paths, batch_size=batch_size), paths
 
 
 @query
@@ -267,6 +270,21 @@ def export_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.read_ledger(spark, paths.ledger).select("id", "document_name")
 
 
+@query
+def batched_export_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after a real run that commits every batch."""
+    _, paths = _signature_run(spark, sf_dir, BATCH_SIZE)
+    return ledger.read_ledger(spark, paths.ledger).select("id", "document_name")
+
+
+@query
+def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far a real run got, as any session can ask."""
+    _, paths = _signature_run(spark, sf_dir, BATCH_SIZE)
+    found = export_job.progress(spark, f"{paths.work}/signatures")
+    return found.select("state", "planned", F.col("files").alias("n_files"), F.col("bytes").alias("n_bytes"))
+
+
 @query
 def resume_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left after a run that got through the first batch only."""
@@ -292,6 +310,24 @@ def signature_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("cour_delivery_id", "rec_status", "signature")
 
 
+@query
+def signature_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers of a published name see once it stands for the written-back table."""
+    base = run_folder(spark, "publish")
+    name = f"lading_{base[-32:]}"
+    view(spark, sf_dir, "shipment_ledger").write.parquet(f"{base}/ledger")
+    view(spark, sf_dir, "shipment_input").write.parquet(f"{base}/before")
+    versions.publish(spark, name, f"{base}/before")
+    try:
+        writeback_job.write_back_to(
+            spark, spark.table(name), f"{base}/ledger", writeback_job.SIGNATURES, f"{base}/out", shared_mount=True, publish=name
+        )
+        return spark.table(name).select("cour_delivery_id", "rec_status", "signature")
+    finally:
+        # The frame knows its files already.
+        spark.sql(f"DROP VIEW {name}")
+
+
 @query
 def attachment_writeback(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = _written_back(spark, sf_dir, "attachment", writeback_job.ATTACHMENTS)
@@ -352,6 +388,40 @@ def pickup_repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("pickup_id", "customer_id")
 
 
+def _references(spark: SparkSession, sf_dir: str) -> dedup.References:
+    return {
+        "pickups": (view(spark, sf_dir, "pickup_input"), ["customer_id"]),
+        "parcels": (view(spark, sf_dir, "parcel_input"), ["sender_id", "receiver_id"]),
+    }
+
+
+@query
+def references_repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables that refer to customers after the merge, one row per reference."""
+    walk = dedup.crosswalk(_resolved(spark, sf_dir))
+    moved = dedup.repoint_all(_references(spark, sf_dir), walk)
+    pickups = moved["pickups"].select(
+        F.lit("pickups").alias("table_name"), F.col("pickup_id").alias("row_id"),
+        F.lit("customer_id").alias("column_name"), "customer_id",
+    )
+    columns = F.create_map(*[c for name in ("sender_id", "receiver_id") for c in (F.lit(name), F.col(name))])
+    parcels = moved["parcels"].select(
+        F.lit("parcels").alias("table_name"), F.col("parcel_id").alias("row_id"),
+        F.explode(columns).alias("column_name", "customer_id"),
+    )
+    return pickups.unionByName(parcels)
+
+
+@query
+def lost_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References without customer had they not been re-pointed, by table and column."""
+    walk = dedup.crosswalk(_resolved(spark, sf_dir))
+    customers = view(spark, sf_dir, "customer_input")
+    remaining = dedup.remove_duplicates(customers, walk).select("customer_id")
+    lost = _stored(dedup.lost_customers(customers, walk.filter("false"), remaining), "lost")
+    return dedup.lost_references(_references(spark, sf_dir), lost)
+
+
 @query
 def lost_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pickups without customer after the merge (none), and had they not been re-pointed."""

@@ -65,3 +65,33 @@ def qualified(spark: SparkSession, path: str, shared_mount: bool = False) -> str
     if full.startswith("file:") and not context.master.startswith("local") and not shared_mount:
         raise ValueError(f"{full} is on each executor's own disk; give a shared file system, or say it is a shared mount")
     return full
+
+
+def moved_in(spark: SparkSession, staging: str, folder: str) -> None:
+    """Rename the Parquet files of ``staging``, whose names are unique, into ``folder``."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    filesystem = path(staging).getFileSystem(context._jsc.hadoopConfiguration())
+    for status in filesystem.listStatus(path(staging)):
+        name = status.getPath().getName()
+        if name.endswith(".parquet") and not filesystem.rename(status.getPath(), path(folder, name)):
+            raise RuntimeError(f"{name} could not be moved from {staging} to {folder}")
+    filesystem.delete(path(staging), True)
+
+
+def sub_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders right below ``folder``; none if there is no such folder."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    filesystem = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not filesystem.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in filesystem.listStatus(path) if s.isDirectory())
+
+
+def removed(spark: SparkSession, *folders: str) -> None:
+    """Delete folders of a job's own with all they hold."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,7 +8,9 @@ whole files only and a retried or speculative task replaces a file by the same
 bytes. Nothing about single files travels to the driver: commit messages hold
 counts. With the option ``receipts`` every task also leaves a Parquet file there
 with all columns but the content, plus ``n_bytes``, once its files are in place;
-the receipts are the list of what is written, also after a crash.
+the receipts are the list of what is written, also after a crash. With the option ``batch``
+a task leaves a receipt after every so many files: a crash then costs each task one batch at most.
+Attempts of one task have receipts of their own then, so a file may be listed twice.
 
 ``path`` may be a folder on a mount shared by all executors or an object-store
 URI that pyarrow can open.
@@ -50,33 +52,45 @@ class BlobFilesDataSource(DataSource):
                 raise ValueError(f"blobfiles needs a {kind} column {column}, got {found}")
         if "path" not in self.options:
             raise ValueError("blobfiles needs a path: df.write.format('blobfiles').save(path)")
-        return BlobFilesWriter(self.options["path"], self.options.get("receipts"))
+        batch = self.options.get("batch")
+        if batch is not None and int(batch) < 1:
+            raise ValueError(f"a batch holds one file or more, not {batch}")
+        return BlobFilesWriter(self.options["path"], self.options.get("receipts"), int(batch) if batch else None)
 
 
 class BlobFilesWriter(DataSourceArrowWriter):
-    def __init__(self, root: str, receipts: str | None) -> None:
+    def __init__(self, root: str, receipts: str | None, batch: int | None = None) -> None:
         self.root = root
         self.receipts = receipts
+        self.batch = batch
         self.token = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         task = TaskContext.get()
-        target = _Target(self.root, self.token, f"{task.partitionId()}-{task.taskAttemptId()}")
-        receipt = None
-        if self.receipts:
-            receipt = _Receipt(self.receipts, self.token, task.partitionId(), task.taskAttemptId())
-        files = total = 0
+        partition, attempt = task.partitionId(), task.taskAttemptId()
+        target = _Target(self.root, self.token, f"{partition}-{attempt}")
+        receipt, number, files, total = None, 0, 0, 0
         for batch in iterator:
-            for folder, name, blob in zip(batch["folder"], batch["file_name"], batch["content"], strict=True):
-                folder, name = _plain(folder.as_py()), _plain(name.as_py())
-                content = blob.as_buffer()
-                if content is None:
-                    raise ValueError(f"no content for {folder}/{name}")
-                target.store(folder, name, content)
-                files += 1
-                total += content.size
-            if receipt:
-                receipt.add(batch)
+            at = 0
+            while at < batch.num_rows:
+                if receipt is None and self.receipts:
+                    receipt = _Receipt(self.receipts, self.token, partition, attempt, number if self.batch else None)
+                room = self.batch - files % self.batch if self.batch else batch.num_rows
+                part = batch.slice(at, room)
+                for folder, name, blob in zip(part["folder"], part["file_name"], part["content"], strict=True):
+                    folder, name = _plain(folder.as_py()), _plain(name.as_py())
+                    content = blob.as_buffer()
+                    if content is None:
+                        raise ValueError(f"no content for {folder}/{name}")
+                    target.store(folder, name, content)
+                    total += content.size
+                at += part.num_rows
+                files += part.num_rows
+                if receipt:
+                    receipt.add(part)
+                    if self.batch and files % self.batch == 0:
+                        receipt.publish()
+                        receipt, number = None, number + 1
         if receipt:
             receipt.publish()
         return Written(files, total)
@@ -123,11 +137,13 @@ class _Target:
 
 
 class _Receipt:
-    """The Parquet file with the rows one task has written."""
+    """The Parquet file with the rows one task, or one batch of it, has written."""
 
-    def __init__(self, folder: str, token: str, partition: int, attempt: int) -> None:
+    def __init__(self, folder: str, token: str, partition: int, attempt: int, number: int | None) -> None:
         self.filesystem, base = open_filesystem(folder)
-        self.path = posixpath.join(base, f"part-{token}-{partition:06d}.parquet")
+        # The order of rows may differ between attempts, so batches of different attempts do not replace each other.
+        suffix = "" if number is None else f"-{attempt}-{number:06d}"
+        self.path = posixpath.join(base, f"part-{token}-{partition:06d}{suffix}.parquet")
         self.staging = None
         if self.filesystem.type_name not in ATOMIC_UPLOAD:
             staging = staging_folder(base, token)

@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from lading.operators import spread  # noqa: E402
 from lading.session import build_session  # noqa: E402
 
 
@@ -27,3 +28,9 @@ def spark():
 @pytest.fixture(scope="session")
 def data():
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def any_hot_rows(monkeypatch):
+    """Lets a few rows make a key hot."""
+    monkeypatch.setattr(spread, "LEAST_HOT_ROWS", 1)

@@ -88,7 +88,7 @@ def customers(spark, rows):
 NOW = dt.datetime(2020, 8, 31, 12)
 
 
-def test_fallback_is_per_field_and_only_from_null(spark):
+def test_fallback_is_per_field_and_only_from_null(spark, any_hot_rows):
     left = pickups(spark, [(1, 7, None, "T1", NOW), (2, 7, "", None, NOW), (3, 8, "A3", None, NOW), (4, None, None, None, NOW)])
     right = customers(spark, [(7, "N", "CA", "CT")])
     source = address.resolve_source(left, right).orderBy("pickup_id")

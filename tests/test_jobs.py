@@ -12,7 +12,7 @@ def inputs(spark, data):
     return derived.view(spark, data, "pickup_input"), derived.view(spark, data, "customer_input")
 
 
-def test_clean_job_writes_table_and_report(spark, data, tmp_path):
+def test_clean_job_writes_table_and_report(spark, data, tmp_path, any_hot_rows):
     pickups, customers = inputs(spark, data)
     result = clean_job.clean_to(spark, pickups, customers, str(tmp_path), derived.AS_OF, hot_rows=10)
     cleaned = spark.read.parquet(result.cleaned).select(*address.CLEANED_COLUMNS)
@@ -23,7 +23,7 @@ def test_clean_job_writes_table_and_report(spark, data, tmp_path):
     assert result.n_reported == len(expected)
 
 
-def test_merge_job_keeps_every_pickup(spark, data, tmp_path):
+def test_merge_job_keeps_every_pickup(spark, data, tmp_path, any_hot_rows):
     pickups, customers = inputs(spark, data)
     result = merge_job.merge_to(spark, customers, pickups, str(tmp_path), hot_rows=2)
     walk = registry.customer_crosswalk(spark, data).collect()
@@ -37,6 +37,27 @@ def test_merge_job_keeps_every_pickup(spark, data, tmp_path):
     )
 
 
+def test_merge_job_with_further_tables(spark, data, tmp_path, any_hot_rows):
+    pickups, customers = inputs(spark, data)
+    parcels = derived.view(spark, data, "parcel_input")
+    expected = sorted(
+        (r.row_id, r.column_name, r.customer_id or 0)
+        for r in registry.references_repointed(spark, data).collect()
+        if r.table_name == "parcels"
+    )
+    for salted in (False, True):
+        result = merge_job.merge_to(
+            spark, customers, pickups, f"{tmp_path}/{salted}", hot_rows=2, salted=salted,
+            references={"parcels": (parcels, ["sender_id", "receiver_id"])},
+        )
+        moved = spark.read.parquet(result.references["parcels"])
+        assert moved.columns == parcels.columns
+        rows = [(r.parcel_id, c, r[c] or 0) for r in moved.collect() for c in ("sender_id", "receiver_id")]
+        assert sorted(rows) == expected
+    with pytest.raises(ValueError, match="cannot be called"):
+        merge_job.merge_to(spark, customers, pickups, f"{tmp_path}/x", references={"lost": (parcels, ["sender_id"])}, hot_rows=2)
+
+
 def test_command_line(spark, data, tmp_path):
     for name in ("pickup_input", "customer_input", "attachment_input", "header_input", "shipment_input"):
         derived.view(spark, data, name).write.parquet(f"{tmp_path}/{name}")
@@ -49,6 +70,7 @@ def test_command_line(spark, data, tmp_path):
          "--headers", f"{tmp_path}/header_input"],
     )
     assert result.files == result.planned > 0
+    exported = result.files
     result = cli.run(
         spark, ["export-signatures", *where, f"{tmp_path}/l2", "--shipments", f"{tmp_path}/shipment_input"]
     )
@@ -70,6 +92,8 @@ def test_command_line(spark, data, tmp_path):
          "--out", f"{tmp_path}/after2"],
     )
     assert spark.read.parquet(result.table).filter("atchmnt_data is not null").count() == result.exported > 0
+    (seen,) = cli.run(spark, ["progress", "--work", f"{tmp_path}/work", "--kind", "attachments"])
+    assert (seen.state, seen.planned, seen.files) == ("closed", exported, exported)
     result = cli.run(spark, ["clean-addresses", *sides, f"{tmp_path}/clean", "--as-of", derived.AS_OF])
     assert result.n_reported == registry.overlong_report(spark, data).count()
     options = ["--months", "60", "--limits", "20", "20", "20"]
@@ -77,8 +101,11 @@ def test_command_line(spark, data, tmp_path):
     assert wider.n_reported > result.n_reported
     with pytest.raises(SystemExit):
         cli.run(spark, ["merge-customers", *sides, f"{tmp_path}/x", "--hot-rows", "10"])
-    result = cli.run(spark, ["--ignore-case", "merge-customers", *sides, f"{tmp_path}/merged", "--repaired"])
+    derived.view(spark, data, "parcel_input").write.parquet(f"{tmp_path}/parcels")
+    further = ["--reference", "parcels", f"{tmp_path}/parcels", "sender_id,receiver_id"]
+    result = cli.run(spark, ["--ignore-case", "merge-customers", *sides, f"{tmp_path}/merged", "--repaired", *further])
     assert result.n_removed > 0
+    assert spark.read.parquet(result.references["parcels"]).count() == spark.read.parquet(f"{tmp_path}/parcels").count()
 
 
 def test_recency_accepts_dates_and_text(spark, data):
