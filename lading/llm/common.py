@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lading.session import run_folder
+from lading.session import removed, run_folder
 
 # Fixed value: what the operators take as a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Where stored tables are, for as long as their frames are in use.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 # Edges that one call of the local union-find holds at a time.
 EDGE_CHUNK = 500_000
 
@@ -23,9 +28,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     columnar and compressed, unlike a checkpoint.
     """
     spark = df.sparkSession
-    path = f"{run_folder(spark, label)}/table"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = run_folder(spark, label)
+    df.write.option("compression", "zstd").parquet(f"{folder}/table")
+    table = spark.read.schema(df.schema).parquet(f"{folder}/table")
+    _FOLDERS[table] = folder
+    return table
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing reads any more."""
+    for table in tables:
+        removed(table.sparkSession, _FOLDERS.pop(table))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,7 +152,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             .select(F.col("dst").alias("src"), F.col("low").alias("dst"))
             .unionByName(least.select(F.col("at").alias("src"), F.col("low").alias("dst")))
         )
-        now = stored(small.distinct(), label)
+        past, now = now, stored(small.distinct(), label)
+        discarded(past, large)
         before, state = state, _state(now)
         if state == before:
             break

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lading.llm import divergence
@@ -65,14 +66,15 @@ def test_against_plain_audit(spark):
     assert found(docs, least_docs=1, most_terms=3) == plain([(r[2], r[3], r[1]) for r in rows], 1, 3)
 
 
-def test_full_blocks_and_many_runs(spark, monkeypatch):
+def test_full_blocks_and_many_runs(spark):
     rows = corpus(300, seed=8)
     docs = documents(spark, rows).repartition(6)
     expected = plain([(r[2], r[3], r[1]) for r in rows])
     # Blocks are full after a few documents; runs are merged two at a time, in several rounds and shards.
-    for name, value in (("BLOCK_ENTRIES", 60), ("SHARD_ENTRIES", 100), ("FAN_IN", 2), ("ROWS", 7), ("PAIRS", 5)):
-        monkeypatch.setattr(divergence, name, value)
-    assert found(docs) == expected
+    limits = divergence.Limits(
+        block_terms=50, block_entries=60, fan_in=2, piece=3, segment_bits=1, segment_entries=100, pairs=5
+    )
+    assert found(docs, limits=limits) == expected
 
 
 def test_whole_table(spark, data):
@@ -100,3 +102,18 @@ def test_edge_rows(spark):
 def test_terms(text):
     raw = None if text is None else text.encode()
     assert [t.decode() for t in divergence.terms(raw)] == TERM.findall((text or "").translate(LOWER))
+
+
+def test_heap_merge():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        runs, sums = [], Counter()
+        for _ in range(rng.integers(0, 9)):
+            key = np.unique(rng.integers(0, rng.choice([5, 100_000]), rng.integers(0, 20_000)))
+            count = rng.integers(1, 9, len(key))
+            runs.append((key, count, count + 1))
+            for k, c in zip(key.tolist(), count.tolist(), strict=True):
+                sums[k] += c
+        key, count, docs = divergence.heap_merged(runs, 1000)
+        assert dict(zip(key.tolist(), count.tolist(), strict=True)) == sums and (np.diff(key) > 0).all()
+        assert docs.sum() == count.sum() + sum(len(run[0]) for run in runs)
