@@ -109,10 +109,17 @@ class Encoder:
         # A word that may hold a special token's string is encoded as it is.
         if word[-1] in SIGNS and b"<|" not in word:
             stem = word.rstrip(SIGNS)
-            if stem and stem.decode()[-1].isalpha():
+            if stem and self._ends_in_letter(stem):
                 return self.stems[stem] + self.stems[word[len(stem) :]]
         return self._ids(word.decode()) if b"<|" in word else self.stems[word]
 
+    @staticmethod
+    def _ends_in_letter(stem: bytes) -> bool:
+        """Whether signs after the stem are certain to be split off: some letters become more than a letter."""
+        last = stem.decode()[-1]
+        low = unicodedata.normalize("NFC", last.lower())
+        return last <= LAST_LETTER and len(low) == 1 and low.isalpha()
+
     def encode(self, text: bytes) -> np.ndarray:
         """The ids of a text, followed by the id 0."""
         # bytes.split() without an argument splits at the six ASCII white-space bytes. Case does
