@@ -4,7 +4,9 @@ Entities are found in every text, their distinct values get surrogates drawn wit
 secret key, and each occurrence is replaced. A surrogate has the kind, script, gender and
 format of what it replaces. Equal values get equal surrogates in all texts, different values
 different ones, and none equals a value that really occurs: both are checked over the
-whole table, and whoever fails draws again.
+whole table, for all names together, and whoever fails draws again. What draws often grows, so that every
+value finds a surrogate. A name is one value whatever title it stands with; if its titles show
+one gender anywhere in the table, the surrogate has that gender everywhere.
 """
 
 from __future__ import annotations
@@ -18,16 +20,18 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import stored
+from lading.llm.common import discarded, stored
 
 # Draws after which a surrogate may leave the narrow format of its value.
 NARROW_DRAWS = 6
 
 # Titles by gender, given names by script and gender.
 TITLES = {
-    "m": ["Mr", "Herr", "Monsieur", "Señor", "г-н"],
-    "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "г-жа"],
-    "n": ["Dr", "Prof"],
+    "m": ["Mr", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин"],
+    "f": [
+        "Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Sra", "г-жа", "госпожа",
+    ],
+    "n": ["Dr", "Doctor", "Prof", "Professor"],
 }
 GIVEN = {
     ("latin", "m"): ["Adrian", "Bruno", "Carl", "David", "Emil", "Felix", "Jonas", "Leon", "Marco", "Oscar"],
@@ -46,8 +50,31 @@ LETTERS = {
     "greek": ("βγδκλμνπρστ", "αειου"),
 }
 
-_TITLE = "|".join(re.escape(t) for titles in TITLES.values() for t in titles)
+# What introduces a name. After the first kind one word is enough, after the second two are needed.
+INTRODUCED = [
+    "my name is", "i am called", "mein name ist", "ich heiße", "je m'appelle", "me llamo", "mi nombre es", "меня зовут",
+    "sincerely yours", "yours sincerely", "best regards", "kind regards", "mit freundlichen grüßen", "cordialement",
+]
+FIELDS = ["full name", "name", "contact", "attn", "signed", "signed by", "patient", "customer", "author", "ansprechpartner", "nom"]
+
+# What tells that a number without a valid check sum is a card's all the same.
+CARD_WORDS = re.compile(r"(?i)(?:card|visa|amex|credit|kredit|carte|tarjeta|карт)[^0-9]{0,24}\Z")
+
+# What stands for a missing secret.
+NO_SECRETS = frozenset(
+    "unknown none null true false required optional undefined empty hidden missing invalid expired valid redacted".split()
+)
+
+_TITLES = [form for titles in TITLES.values() for t in titles for form in dict.fromkeys((t, t.upper()))]
+_TITLE = "|".join(re.escape(t) for t in sorted(_TITLES, key=len, reverse=True))
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
+_GIVEN_NAMES = [name for names in GIVEN.values() for name in names]
+
+
+def _choice(words: list[str]) -> str:
+    return "|".join(re.escape(word) for word in sorted(words, key=len, reverse=True))
+
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _HEX = "[0-9A-Fa-f]{1,4}"
 # Telephone numbers: with 00 or a trunk zero, in five pairs, and ten digits as 3-3-4 with spaces.
@@ -85,15 +112,27 @@ PATTERNS = {
     rf"(?:[ .-]?[0-9]{{2,4}}){{2,4}}(?![A-Za-z0-9])|{_NATIONAL_PHONES})",
     "national": r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     "card": r"(?<![A-Za-z0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9]|[.-][0-9])",
-    "name": rf"(?<!\w)(?:{_TITLE})\.?[ ](?:{_NAME})(?:[ ]{_NAME})?",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-_NAME_PARTS = re.compile(rf"(?P<title>{_TITLE})\.?[ ](?P<one>{_NAME})(?:[ ](?P<two>{_NAME}))?")
-_GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
+# Names, looked for only where a title, a given name or words that introduce one occur.
+NAMES = re.compile(
+    rf"(?<!\w)(?:(?:(?:{_TITLE})\.?[ ]){{1,3}}(?:{_NAME})(?:[ ]{_NAME})?"
+    rf"|(?i:{_choice(INTRODUCED)})[,:]?\s{{1,3}}{_NAME}(?:[ ]{_NAME})?(?!\w)"
+    rf"|(?i:{_choice(FIELDS)})[ \t]{{0,4}}:[ \t]{{0,4}}{_NAME}[ ]{_NAME}(?!\w)"
+    rf"|(?:{_choice(_GIVEN_NAMES)})[ ]{_NAME}(?!\w))"
+)
+_NAME_PARTS = re.compile(rf"(?P<one>{_NAME})(?:[ ](?P<two>{_NAME}))?\Z")
+_LEAD = re.compile(
+    rf"(?P<titles>(?:(?:{_TITLE})\.?[ ])+)|(?i:{_choice(INTRODUCED)})[,:]?\s+|(?i:{_choice(FIELDS)})[ \t]*:[ \t]*"
+)
+_GENDER = {form: gender for gender, titles in TITLES.items() for t in titles for form in (t, t.upper())}
+_GIVEN_GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 
 # Every text with an entity has one of these signs or words; the others are not looked at further.
 SIGNS = r"[0-9@=:]"
-MARKS = ["AKIA", *(title for titles in TITLES.values() for title in titles)]
+NAME_MARKS = [*(f"{title}{end}" for title in _TITLES for end in (" ", ". ")), *(f"{name} " for name in _GIVEN_NAMES)]
+NAME_CUES = [*INTRODUCED, *(f"{field}{end}" for field in FIELDS for end in (":", " :"))]
+MARKS = ["AKIA", *NAME_MARKS]
 
 
 def script_of(word: str) -> str:
@@ -105,24 +144,17 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of what is to be replaced, in order, without overlaps.
 
     Values are in one spelling, so that one person, number or address has one value: lower
-    case for addresses and names, digits alone for numbers. A name that stands with a title
-    is also found where it stands alone later in the same text.
+    case for addresses and names, digits alone for numbers. A name is found after a title, after words that
+    introduce one, or as a known given name before another name; then also where it stands alone in the same text.
     """
-    found, names = [], {}
+    return [found[:4] for found in formed_entities(text)]
+
+
+def formed_entities(text: str) -> list[tuple[int, int, str, str, str]]:
+    """As ``entities``, with the form that the place shows: of a name whether it is a given one, and the gender."""
+    found = []
     for match in FOUND.finditer(text):
         kind, start, end = match.lastgroup, match.start(), match.end()
-        if kind == "name":
-            parts = _NAME_PARTS.match(text, start, end)
-            gender = _GENDER[parts["title"]]
-            for group in ("one", "two"):
-                if parts[group] is None:
-                    continue
-                role = "given" if group == "one" and parts["two"] else "family"
-                # A gender is part of the kind only where the name itself shows it.
-                label = f"{role}:{script_of(parts[group])}:{gender if role == 'given' else 'n'}"
-                names.setdefault(parts[group], label)
-                found.append((*parts.span(group), label, parts[group].lower()))
-            continue
         value = match[0]
         if kind == "secret":
             start, end = match.span(next(g for g in ("double", "single", "open") if match[g] is not None))
@@ -138,21 +170,64 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                 value = value.lower()
         elif kind in ("phone", "card", "national"):
             value = re.sub(r"[^0-9+]", "", value)
-        found.append((start, end, kind, value))
-    if names:
-        alone = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names))) + r")(?!\w)")
-        taken = [(s, e) for s, e, _, _ in found]
-        at = 0
-        for match in alone.finditer(text):
-            while at < len(taken) and taken[at][1] <= match.start():
-                at += 1
-            if at < len(taken) and taken[at][0] < match.end():
+        if kind == "card" and luhn(value) and not CARD_WORDS.search(text, max(0, start - 40), start):
+            continue
+        if kind == "secret" and match["open"] is not None and value.isalpha():
+            key = text[match.start() : start].lower()
+            if value.lower() in NO_SECRETS or (value.islower() and not key.startswith("pass") and "pwd" not in key):
                 continue
-            found.append((match.start(), match.end(), names[match[0]], match[0].lower()))
-        found.sort()
+        found.append((start, end, kind, value, ""))
+    if _may_hold_names(text):
+        named = list(_named(text))
+        found = _merged(found, named)
+        forms = {text[start:end]: form for start, end, _, _, form in reversed(named)}
+        if forms:
+            alone = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(forms))) + r")(?!\w)")
+            again = (
+                (m.start(), m.end(), f"name:{script_of(m[0])}", m[0].lower(), forms[m[0]]) for m in alone.finditer(text)
+            )
+            found = _merged(found, again)
     return found
 
 
+def _may_hold_names(text: str) -> bool:
+    low = text.lower()
+    return any(mark in text for mark in NAME_MARKS) or any(cue in low for cue in NAME_CUES)
+
+
+def _named(text: str):
+    """The parts of names that stand with a title, an introduction or a known given name."""
+    for match in NAMES.finditer(text):
+        start, end = match.span()
+        lead = _LEAD.match(text, start, end)
+        gender = "n"
+        if lead:
+            shown = [_GENDER[t.rstrip(".")] for t in (lead["titles"] or "").split()]
+            gender = next((g for g in shown if g != "n"), "n")
+        parts = _NAME_PARTS.match(text, lead.end() if lead else start, end)
+        if parts is None:
+            continue
+        for group in ("one", "two"):
+            if parts[group] is None:
+                continue
+            name = parts[group]
+            # A gender shows in given names only.
+            given = group == "one" and parts["two"]
+            form = f"given:{_GIVEN_GENDER.get(name, 'n') if gender == 'n' else gender}" if given else "family"
+            yield (*parts.span(group), f"name:{script_of(name)}", name.lower(), form)
+
+
+def _merged(first: list, then) -> list:
+    """Both in order; of those in ``then`` only what touches none in ``first``."""
+    kept, at = [], 0
+    for entity in then:
+        while at < len(first) and first[at][1] <= entity[0]:
+            at += 1
+        if at == len(first) or first[at][0] >= entity[1]:
+            kept.append(entity)
+    return sorted(first + kept)
+
+
 class _Draws:
     """A stream of numbers from the key, the value and the number of the attempt."""
 
@@ -205,8 +280,11 @@ def luhn(digits: str) -> int:
     return sum(d // 10 + d % 10 for d in doubled) % 10
 
 
-def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """The replacement that ``value`` draws at this attempt, in the spelling of values."""
+def surrogate(key: bytes, kind: str, value: str, attempt: int, form: str = "") -> str:
+    """The replacement that ``value`` draws at this attempt, in the spelling of values.
+
+    From ``NARROW_DRAWS`` attempts on it grows with every one, so that there is room for all values of a form.
+    """
     draw = _Draws(key, kind, value, attempt)
     if kind == "email":
         local, _, domain = value.partition("@")
@@ -215,8 +293,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         if attempt >= NARROW_DRAWS:
             made[0] += draw.word("latin", 2 + attempt)
         return f"{made[0]}@{'.'.join([*made[1:], top])}"
+    wide = attempt >= NARROW_DRAWS
+    more = "".join(draw.pick("0123456789") for _ in range(attempt - NARROW_DRAWS + 1)) if wide else ""
+    if kind == "ip" and attempt >= 3 * NARROW_DRAWS:
+        # There are no more addresses of this length than some tables can hold.
+        kind, value = "ip6", "::1"
     if kind == "ip":
-        wide = attempt >= NARROW_DRAWS
         ranges = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
         octets = [(1, 254) if wide else ranges[len(o)] for o in value.split(".")]
         return ".".join(str(low + draw.below(high - low + 1)) for low, high in octets)
@@ -230,13 +312,13 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "key":
         return "AKIA" + "".join(draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in value[4:])
     if kind == "iban":
-        return value[:2] + draw.like(value[2:])
+        return value[:2] + draw.like(value[2:]) + more
     if kind in ("phone", "card", "national"):
         head = 1 + len(re.match(r"\+?([17]|[0-9]{2})?", value)[0]) - 1 if value[0] == "+" else 0
         if kind == "phone" and not head:
             # What makes the form: 00 and a country, a trunk zero, no zero or one in front of ten digits.
             head = len(re.match(r"00[1-9]|0[1-9]|1[2-9](?=[0-9]{9}\Z)|[0-9]", value)[0])
-        digits = value[:head] + draw.like(value[head:])
+        digits = value[:head] + draw.like(value[head:]) + more
         if kind == "card" and luhn(value) == 0:
             body = digits[:-1]
             digits = next(body + d for d in "0123456789" if luhn(body + d) == 0)
@@ -245,7 +327,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         # Letters of other scripts become latin; values of signs alone, and crowded ones, grow.
         made = draw.like(re.sub(r"[^\W\d_a-zA-Z]", "x", value))
         return made + draw.word("latin", attempt) if attempt >= NARROW_DRAWS else made
-    role, script, gender = kind.split(":")
+    script, (role, _, gender) = kind.removeprefix("name:"), form.partition(":")
     if role == "given" and attempt < NARROW_DRAWS:
         return draw.pick(GIVEN[script, gender]).lower()
     # Names in the letters of the script; a feminine one ends in a vowel, a masculine one does not.
@@ -258,7 +340,8 @@ def shaped(original: str, kind: str, made: str) -> str:
     """The surrogate in the spelling of the occurrence it replaces."""
     if kind in ("phone", "card", "national", "iban"):
         rest = iter(made)
-        return "".join(next(rest, "") if c.isalnum() or c == "+" else c for c in original)
+        spelled = "".join(next(rest, "") if c.isalnum() or c == "+" else c for c in original)
+        return spelled + "".join(rest)
     if ":" in kind:
         return made.upper() if original.isupper() and len(original) > 1 else "-".join(
             p[:1].upper() + p[1:] for p in made.split("-")
@@ -269,75 +352,102 @@ def shaped(original: str, kind: str, made: str) -> str:
 
 
 def _possible(text: Column) -> Column:
-    some = text.rlike(SIGNS)
+    some, low = text.rlike(SIGNS), F.lower(text)
     for mark in MARKS:
         some = some | text.contains(mark)
+    # Fields have a colon, which is a sign.
+    for cue in INTRODUCED:
+        some = some | low.contains(cue)
     return some
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """Rows (text_key, kind, value): the distinct entities of every text that can have any."""
+    """Rows (text_key, kind, value, form): the distinct entities of every text that can have any."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                rows += sorted({(key, kind, value) for _, _, kind, value in entities(text.as_py())})
+                rows += sorted({(key, *entity[2:]) for entity in formed_entities(text.as_py())})
             if rows:
-                keys, kinds, values = zip(*rows, strict=True)
+                keys, *columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(kinds), pa.array(values)],
-                    names=["text_key", "kind", "value"],
+                    [pa.array(keys, pa.int64()), *map(pa.array, columns)],
+                    names=["text_key", "kind", "value", "form"],
                 )
 
     return (
         docs.filter(_possible(F.col("text")))
         .select(F.xxhash64("text").alias("text_key"), "text")
-        .mapInArrow(run, "text_key long, kind string, value string")
+        .mapInArrow(run, "text_key long, kind string, value string, form string")
         .distinct()
     )
 
 
+def formed(found: DataFrame) -> DataFrame:
+    """Rows (kind, value, form): every distinct value with the form that its places show together.
+
+    A name is a given one if it is one anywhere; its gender is what titles show, none if they show both.
+    """
+    shows = {g: F.max(F.coalesce(F.col("form") == f"given:{g}", F.lit(False))) for g in "mfn"}
+    seen = found.groupBy("kind", "value").agg(*(shows[g].alias(f"_{g}") for g in "mfn"))
+    form = (
+        F.when(F.col("_m") & ~F.col("_f"), "given:m")
+        .when(F.col("_f") & ~F.col("_m"), "given:f")
+        .when(F.col("_m") | F.col("_n"), "given:n")
+        .when(F.col("kind").startswith("name:"), "family")
+        .otherwise("")
+    )
+    return seen.select("kind", "value", form.alias("form"))
+
+
 def assign(values: DataFrame, key: bytes) -> DataFrame:
-    """Rows (kind, value, made): a surrogate for every distinct (kind, value).
+    """Rows (kind, value, made): a surrogate for every distinct (kind, value, form).
 
     Each round draws for the values that are still open. A drawn surrogate is refused if it
     is itself a value of the table or held by a value settled before; of several values that
-    draw the same one the smallest keeps it. The others draw again in the next round.
+    draw the same one the smallest keeps it. The others draw again in the next round. Names of all kinds
+    are checked together.
     """
 
     def draw(batches):
         for batch in batches:
-            kinds, values_, attempts = (batch.column(i).to_pylist() for i in range(3))
-            made = [surrogate(key, *row) for row in zip(kinds, values_, attempts, strict=True)]
+            kinds, values_, forms, attempts = (batch.column(i).to_pylist() for i in range(4))
+            made = [
+                surrogate(key, kind, value, attempt, form)
+                for kind, value, form, attempt in zip(kinds, values_, forms, attempts, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(made, pa.string())],
-                names=["kind", "value", "attempt", "made"],
+                names=["kind", "value", "form", "attempt", "made"],
             )
 
+    space = F.substring_index("kind", ":", 1).alias("space")
     settled = None
-    open_ = values.select("kind", "value", F.lit(0).alias("attempt"))
-    real = values.select("kind", F.col("value").alias("made"))
+    open_ = values.select("kind", "value", "form", F.lit(0).alias("attempt"))
+    real = values.select(space, F.col("value").alias("made"))
+    waiting = None
     while True:
         drawn = stored(
-            open_.mapInArrow(draw, "kind string, value string, attempt int, made string"), "drawn"
+            open_.mapInArrow(draw, "kind string, value string, form string, attempt int, made string"), "drawn"
         )
-        held = real if settled is None else real.unionByName(settled.select("kind", "made"))
-        first = drawn.groupBy("kind", "made").agg(F.min("value").alias("value"))
+        held = real if settled is None else real.unionByName(settled.select(space, "made"))
+        first = drawn.groupBy(space, "made").agg(F.min(F.struct("value", "kind")).alias("least"))
         good = stored(
-            first.join(held.distinct(), ["kind", "made"], "left_anti").select("kind", "value", "made"),
+            first.join(held.distinct(), ["space", "made"], "left_anti").select("least.kind", "least.value", "made"),
             "settled",
         )
         settled = good if settled is None else settled.unionByName(good)
         again = stored(
             drawn.join(good.select("kind", "value"), ["kind", "value"], "left_anti").select(
-                "kind", "value", (F.col("attempt") + 1).alias("attempt")
+                "kind", "value", "form", (F.col("attempt") + 1).alias("attempt")
             ),
             "open",
         )
+        discarded(drawn, *([] if waiting is None else [waiting]))
         if again.isEmpty():
             return settled
-        open_ = again
+        open_ = waiting = again
 
 
 def replaced(docs: DataFrame, key: bytes = b"lading-surrogates", counted: str | None = None) -> DataFrame:
@@ -349,10 +459,11 @@ def replaced(docs: DataFrame, key: bytes = b"lading-surrogates", counted: str |
     key gives the same text again, so keep it as secret as the data.
     """
     pairs = stored(_found(docs), "entities")
-    made = assign(stored(pairs.select("kind", "value").distinct(), "values"), key)
+    made = assign(stored(formed(pairs), "values"), key)
     # One row per text; its list is bounded by the text's own length.
     lists = stored(
-        pairs.join(made, ["kind", "value"])
+        pairs.select("text_key", "kind", "value").distinct()
+        .join(made, ["kind", "value"])
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("kind", "value", "made")).alias("_pii_made")),
         "surrogates",
