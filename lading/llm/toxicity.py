@@ -1,8 +1,8 @@
 """Toxicity by cumulative-link ordinal regression on sparse word features.
 
-Severity has ordered grades: 0 harmless, 1 toxic, 2 severe. Labels say only whether a text is
-toxic; a toxic text is severe if it has more telling words than the median toxic text that has
-any. The model gives
+Severity beyond toxic is a proxy: labels say only whether a text is toxic, and of the toxic texts those with
+more telling words than the median one that has any count as severe. The grades are 0 harmless, 1 toxic,
+2 severe. The model gives
 P(grade <= k) = sigmoid(threshold_k - score), one score per text from weights that all
 thresholds share, so every grade boundary learns from all labelled rows.
 """
@@ -89,7 +89,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
         .limit(sample_rows)
     )
     # Bounded by sample_rows pairs of numbers, so every task may hold them.
-    marked = known.join(F.broadcast(stored(chosen, "sample")), "doc_id").dropDuplicates(["doc_id"])
+    marked = (
+        known.join(F.broadcast(stored(chosen, "sample")), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    )
     sample = stored(marked.select("doc_id", "toxic", words(F.col("text")).alias("words")), "words")
     n, toxic = sample.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not toxic or toxic == n:

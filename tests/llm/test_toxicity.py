@@ -62,3 +62,12 @@ def test_edge_rows(spark):
     mixed = spark.createDataFrame([(i, None, i % 2) for i in range(1, 10)] + [(3, 1, None)], "doc_id long, quality int, toxic int")
     assert toxicity.harmless(docs, mixed).columns == docs.columns
     assert toxicity.toxicity(documents(spark, []), mixed).collect() == []
+
+
+def test_texts_of_one_id(spark):
+    rows = [(i, "bad word" if i % 2 else "good word", "en", "a") for i in range(400)]
+    rows += [(i, "good word" if i % 2 else "bad word", "en", "a") for i in range(0, 400, 3)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows)
+    models = [toxicity.fit(docs.repartition(n), labels) for n in (1, 5)]
+    assert models[0].vocabulary == models[1].vocabulary and np.array_equal(models[0].weights, models[1].weights)
