@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -29,6 +30,21 @@ def test_encoder_is_the_tokenizer(data, spark):
         assert encoder.encode(text.encode()).tolist() == ids(tokenizer, text)
 
 
+def test_signs_after_every_letter():
+    # Every code point up to the last letter that is looked at by itself, and others at random.
+    tokenizer, encoder = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    signs, rnd = packing.SIGNS.decode(), random.Random(1)
+    chars = [chr(c) for c in range(0x20, ord(packing.LAST_LETTER) + 1)]
+    others = [chr(c) for c in rnd.sample([c for c in range(0x530, 0x110000) if not 0xD800 <= c < 0xE000], 3000)]
+    texts = [f"{c}{s} a{c}{s}b{c} {s}{c}" for c in chars for s in signs]
+    texts += [f"{c}{s} a{c}{s}{s}" for c in others for s in rnd.sample(signs, 2)]
+    pool = [*chars, *"\u0130\u0131\u00df\u017f\u01c5\u03a3\u03c2GAZ\u0130.,;:!?%$&#*|) \t'" * 6, "\u0301", "\u0307"]
+    texts += ["".join(rnd.choices(pool, k=rnd.randint(1, 12))) for _ in range(5000)]
+    texts += ["GAZ\u0130.", "BELED\u0130YES\u0130, ANKARA", "\u0130stanbul"]
+    for text, made in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encoder.encode(text.encode()).tolist() == [*made.ids, 0], ascii(text)
+
+
 def test_best_fit_holds_every_capacity():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 101, 3000)
