@@ -23,9 +23,13 @@ KEY_BITS = 63
 MISS = 1e-4
 SEED = 42
 
-# Vectors of one component that are compared with another such block at a time, and crowded ones.
-BLOCK = 512
-CROWD_BLOCK = 1024
+# Blocks of one component, or of crowded vectors, that are compared with each other: vectors and bytes at most.
+# Every block is sent once per other block, so large ones mean few copies.
+BLOCK = 16_384
+BLOCK_BYTES = 32 << 20
+
+# Rows of a block that meet the other block at a time.
+TILE = 256
 
 # Key bits by which a vector may be more crowded than on average before it counts as crowded.
 SPARE_BITS = 2
@@ -173,50 +177,63 @@ def _block_links(threshold: float):
 
     def run(batches):
         links = Links()
-        for batch in batches:
-            for i in range(batch.num_rows):
-                left, right = batch.column("left")[i].values, batch.column("right")[i].values
-                (a, _), (b, _) = unit_rows(left.field("vector")), unit_rows(right.field("vector"))
-                x, y = np.nonzero(a @ b.T >= threshold)
-                links.add(left.field("rep").to_numpy()[x], right.field("rep").to_numpy()[y])
+        for left, right, _ in _block_rows(batches):
+            (a, _), (b, _) = unit_rows(left.field("vector")), unit_rows(right.field("vector"))
+            reps, others = left.field("rep").to_numpy(), right.field("rep").to_numpy()
+            for at in range(0, len(a), TILE):
+                x, y = np.nonzero(a[at : at + TILE] @ b.T >= threshold)
+                links.add(reps[at + x], others[y])
         yield from links.batches()
 
     return run
 
 
+def _block_rows(batches):
+    """(left, right, same) of every pair of blocks; a block is its own partner if there is no other."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            left, right = batch.column("left")[i], batch.column("right")[i]
+            same = not right.is_valid
+            yield left.values, left.values if same else right.values, same
+
+
 def _block_counts(threshold: float):
     """(rep, n) of the vectors of two blocks of a component that are linked."""
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                same = batch.column("same")[i].as_py()
-                left, right = batch.column("left")[i].values, batch.column("right")[i].values
-                a, _ = unit_rows(left.field("vector"))
-                b, _ = unit_rows(right.field("vector"))
-                size_a, size_b = (np.diff(x.field("vector").offsets.to_numpy()) for x in (left, right))
-                width = min(a.shape[1], b.shape[1])
-                linked = (a[:, :width] @ b[:, :width].T >= threshold) & (size_a[:, None] == size_b[None, :])
-                n_a, n_b = left.field("copies").to_numpy(), right.field("copies").to_numpy()
-                reps = left.field("rep").to_numpy()
-                counts = linked @ n_b
+        for left, right, same in _block_rows(batches):
+            a, _ = unit_rows(left.field("vector"))
+            b, _ = unit_rows(right.field("vector"))
+            size_a, size_b = (np.diff(x.field("vector").offsets.to_numpy()) for x in (left, right))
+            width = min(a.shape[1], b.shape[1])
+            n_a, n_b = left.field("copies").to_numpy(), right.field("copies").to_numpy()
+            mine, theirs = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+            for at in range(0, len(a), TILE):
+                tile = slice(at, at + TILE)
+                linked = (a[tile, :width] @ b[:, :width].T >= threshold) & (size_a[tile, None] == size_b[None, :])
+                mine[tile] = linked @ n_b
                 if not same:
-                    reps = np.concatenate([reps, right.field("rep").to_numpy()])
-                    counts = np.concatenate([counts, n_a @ linked])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps), pa.array(counts.astype(np.int64))], names=["rep", "n"]
-                )
+                    theirs += n_a[tile] @ linked
+            reps, counts = left.field("rep").to_numpy(), mine
+            if not same:
+                reps = np.concatenate([reps, right.field("rep").to_numpy()])
+                counts = np.concatenate([counts, theirs])
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(counts)], names=["rep", "n"])
 
     return run
 
 
-def _block_pairs(placed: DataFrame, block: int, label: str) -> DataFrame:
-    """Rows (same, left, right): all pairs of blocks of each component of ``placed``."""
-    sizes = placed.groupBy("component").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = placed.join(sizes.filter("n > 1").withColumn("blocks", blocks), "component").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    )
+def _block_pairs(placed: DataFrame, label: str) -> DataFrame:
+    """Rows (left, right): all pairs of blocks of each component of ``placed``; right is null for a block itself.
+
+    A pair is a key of its own on both sides of the join, so no task gets more than its two blocks.
+    """
+    sizes = placed.groupBy("component").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width"))
+    held = F.least(F.lit(BLOCK), F.greatest(F.lit(TILE), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("width")))))
+    blocks = F.ceil(F.col("n") / F.least(F.lit(BLOCK), held)).cast("int")
+    dealt = placed.join(
+        sizes.filter("n > 1").select("component", blocks.alias("blocks")), "component"
+    ).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # One key for component and block: the blocks of a large component go to different tasks.
     packed = stored(
         dealt.groupBy(F.xxhash64("component", "block").alias("cell"), "block").agg(
@@ -226,19 +243,17 @@ def _block_pairs(placed: DataFrame, block: int, label: str) -> DataFrame:
         ),
         label,
     )
-    return (
-        packed.select(
-            "component",
-            "block",
-            F.col("rows").alias("left"),
-            F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"),
-        )
-        .join(
-            packed.select("component", F.col("block").alias("other"), F.col("rows").alias("right")),
-            ["component", "other"],
-        )
-        .select((F.col("block") == F.col("other")).alias("same"), "left", "right")
-    )
+    alone = packed.select(F.col("rows").alias("left"), F.lit(None).cast(packed.schema["rows"].dataType).alias("right"))
+    several = packed.filter("blocks > 1")
+    lower = several.filter("block < blocks - 1").select(
+        "component", F.col("block").alias("low"), F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("high"),
+        F.col("rows").alias("left"),
+    )
+    upper = several.filter("block > 0").select(
+        "component", F.explode(F.expr("sequence(0, block - 1)")).alias("low"), F.col("block").alias("high"),
+        F.col("rows").alias("right"),
+    )
+    return alone.unionByName(lower.join(upper, ["component", "low", "high"]).select("left", "right"))
 
 
 def near_duplicates(
@@ -279,13 +294,13 @@ def near_duplicates(
     bounds = seen.filter("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("bound").alias("bound"))
     crowded = groups.join(bounds.filter(F.col("bound") > float(np.log(miss))), "rep")
     crowd = crowded.select(F.col("size").cast("long").alias("component"), "rep", "copies", "vector")
-    crowd_pairs = _block_pairs(crowd, CROWD_BLOCK, "crowd")
+    crowd_pairs = _block_pairs(crowd, "crowd")
     edges = edges.unionByName(crowd_pairs.mapInArrow(_block_links(threshold), "src long, dst long"))
     found = stored(components(edges.unionByName(ties), "embeddings"), "components")
 
     # Exact counts inside components, over pairs of bounded blocks.
     placed = groups.join(found, F.col("rep") == F.col("node")).select("component", "rep", "copies", "vector")
-    pairs = _block_pairs(placed, BLOCK, "blocks")
+    pairs = _block_pairs(placed, "blocks")
     counts = pairs.mapInArrow(_block_counts(threshold), "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
     per_rep = stored(counts, "counts")
 

@@ -45,9 +45,10 @@ def clustered(rng, n, size=16):
     return [(i, np.float32(v).tolist()) for i, v in enumerate(rows)]
 
 
-@pytest.mark.parametrize("block", [512, 8])
+@pytest.mark.parametrize("block", [16_384, 8])
 def test_against_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "TILE", 5)
     rows = clustered(np.random.default_rng(2), 150)
     found = sorted(tuple(r) for r in embeddings.near_duplicates(frame(spark, rows).repartition(3)).collect())
     assert found == brute(rows)
@@ -81,9 +82,11 @@ def test_query_on_whole_table(spark, data):
     assert found == brute(rows)
 
 
-def test_pairs_in_a_dense_group(spark):
-    # A cone of vectors with cosine 0.88 to each other, and pairs of 0.955 in it.
-    rng, size, n = np.random.default_rng(7), 128, 3000
+@pytest.mark.parametrize(("inner", "n"), [(0.8, 3000), (0.88, 10_000), (0.93, 3000)])
+def test_pairs_in_a_dense_group(spark, monkeypatch, inner, n):
+    # A cone of vectors with that cosine to each other, and pairs of 0.955 in it.
+    monkeypatch.setattr(embeddings, "BLOCK", 4096)
+    rng, size = np.random.default_rng(7), 128
     cone = rng.standard_normal(size)
     cone /= np.linalg.norm(cone)
 
@@ -92,9 +95,9 @@ def test_pairs_in_a_dense_group(spark):
         w -= (w @ v) * v
         return w / np.linalg.norm(w)
 
-    rows = [math.sqrt(0.88) * cone + math.sqrt(0.12) * away(cone) for _ in range(n)]
+    rows = [math.sqrt(inner) * cone + math.sqrt(1 - inner) * away(cone) for _ in range(n)]
     rows += [0.955 * v + math.sqrt(1 - 0.955**2) * away(v) for v in rows[:300]]
-    rows += [rng.standard_normal(size) for _ in range(2 * n)]
+    rows += [rng.standard_normal(size) for _ in range(6000)]
     vectors = np.array([v / np.linalg.norm(v) for v in rows]).astype(np.float32)
     unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
     expected = ((unit @ unit.T) >= 0.95).sum(axis=1) - 1
