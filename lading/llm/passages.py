@@ -588,7 +588,8 @@ def without_repeats(
         )
 
     def with_texts(right: DataFrame, function, schema: str) -> DataFrame:
-        texts = dealt.mapInArrow(_text_rows, "block int, texts binary")
+        # About a block in a task, however many there are.
+        texts = dealt.mapInArrow(_text_rows, "block int, texts binary").repartition(tasks(spark, n_blocks, 1), "block")
         return texts.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(function, schema)
 
     # Blocks keep the same documents in the same order in both passes.
