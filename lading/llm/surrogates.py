@@ -11,10 +11,12 @@ one gender anywhere in the table, the surrogate has that gender everywhere.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import ipaddress
 import re
 
+import ahocorasick
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
@@ -50,12 +52,13 @@ LETTERS = {
     "greek": ("βγδκλμνπρστ", "αειου"),
 }
 
-# What introduces a name. After the first kind one word is enough, after the second two are needed.
+# What introduces a name, in small letters or with a capital first one. After the first kind one
+# word is enough, after the second two are needed.
 INTRODUCED = [
     "my name is", "i am called", "mein name ist", "ich heiße", "je m'appelle", "me llamo", "mi nombre es", "меня зовут",
-    "sincerely yours", "yours sincerely", "best regards", "kind regards", "mit freundlichen grüßen", "cordialement",
+    "sincerely yours", "yours sincerely", "best regards", "kind regards", "mit freundlichen Grüßen", "cordialement",
 ]
-FIELDS = ["full name", "name", "contact", "attn", "signed", "signed by", "patient", "customer", "author", "ansprechpartner", "nom"]
+FIELDS = ["full name", "name", "contact", "attn", "signed", "signed by", "patient", "customer", "author", "Ansprechpartner", "nom"]
 
 # What tells that a number without a valid check sum is a card's all the same.
 CARD_WORDS = re.compile(r"(?i)(?:card|visa|amex|credit|kredit|carte|tarjeta|карт)[^0-9]{0,24}\Z")
@@ -65,10 +68,14 @@ NO_SECRETS = frozenset(
     "unknown none null true false required optional undefined empty hidden missing invalid expired valid redacted".split()
 )
 
-_TITLES = [form for titles in TITLES.values() for t in titles for form in dict.fromkeys((t, t.upper()))]
+# Titles that are also found in capitals.
+IN_CAPITALS = ["Mr", "Mrs", "Ms", "Dr", "Prof", "Sir", "Herr", "Frau"]
+_TITLES = [t for titles in TITLES.values() for t in titles] + [t.upper() for t in IN_CAPITALS]
 _TITLE = "|".join(re.escape(t) for t in sorted(_TITLES, key=len, reverse=True))
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
-_GIVEN_NAMES = [name for names in GIVEN.values() for name in names]
+_INTRODUCED, _FIELDS = (
+    [form for word in words for form in dict.fromkeys((word, word[0].upper() + word[1:]))] for words in (INTRODUCED, FIELDS)
+)
 
 
 def _choice(words: list[str]) -> str:
@@ -114,25 +121,41 @@ PATTERNS = {
     "card": r"(?<![A-Za-z0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9]|[.-][0-9])",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-# Names, looked for only where a title, a given name or words that introduce one occur.
+# Names, looked for only where a title or words that introduce one occur.
 NAMES = re.compile(
     rf"(?<!\w)(?:(?:(?:{_TITLE})\.?[ ]){{1,3}}(?:{_NAME})(?:[ ]{_NAME})?"
-    rf"|(?i:{_choice(INTRODUCED)})[,:]?\s{{1,3}}{_NAME}(?:[ ]{_NAME})?(?!\w)"
-    rf"|(?i:{_choice(FIELDS)})[ \t]{{0,4}}:[ \t]{{0,4}}{_NAME}[ ]{_NAME}(?!\w)"
-    rf"|(?:{_choice(_GIVEN_NAMES)})[ ]{_NAME}(?!\w))"
+    rf"|(?:{_choice(_INTRODUCED)})[,:]?\s{{1,3}}{_NAME}(?:[ ]{_NAME})?(?!\w)"
+    rf"|(?:{_choice(_FIELDS)})[ ]?:[ \t]{{0,4}}{_NAME}[ ]{_NAME}(?!\w))"
 )
 _NAME_PARTS = re.compile(rf"(?P<one>{_NAME})(?:[ ](?P<two>{_NAME}))?\Z")
 _LEAD = re.compile(
-    rf"(?P<titles>(?:(?:{_TITLE})\.?[ ])+)|(?i:{_choice(INTRODUCED)})[,:]?\s+|(?i:{_choice(FIELDS)})[ \t]*:[ \t]*"
+    rf"(?P<titles>(?:(?:{_TITLE})\.?[ ])+)|(?:{_choice(_INTRODUCED)})[,:]?\s+|(?:{_choice(_FIELDS)})[ ]?:[ \t]*"
 )
 _GENDER = {form: gender for gender, titles in TITLES.items() for t in titles for form in (t, t.upper())}
 _GIVEN_GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 
-# Every text with an entity has one of these signs or words; the others are not looked at further.
-SIGNS = r"[0-9@=:]"
-NAME_MARKS = [*(f"{title}{end}" for title in _TITLES for end in (" ", ". ")), *(f"{name} " for name in _GIVEN_NAMES)]
-NAME_CUES = [*INTRODUCED, *(f"{field}{end}" for field in FIELDS for end in (":", " :"))]
-MARKS = ["AKIA", *NAME_MARKS]
+_NAME_MARKS = [
+    *(f"{title}{end}" for title in _TITLES for end in (" ", ". ")),
+    *_INTRODUCED,
+    *(f"{field}{end}" for field in _FIELDS for end in (":", " :")),
+]
+
+# Every text with an entity that is no name has one of these signs or begins a key, every one with a name has one of
+# the marks (fields have a colon); the others are not looked at further.
+SIGNS = r"[0-9@=:]|AKIA"
+_WORDS = [*_TITLES, *(word[1:] for word in INTRODUCED)]
+MARKS = [word for word in _WORDS if not any(other in word for other in _WORDS if other != word)]
+_SIGNS = re.compile(SIGNS)
+
+
+@functools.cache
+def name_marks() -> ahocorasick.Automaton:
+    """What one of which is in every text with a name that ``NAMES`` finds."""
+    found = ahocorasick.Automaton()
+    for mark in _NAME_MARKS:
+        found.add_word(mark, True)
+    found.make_automaton()
+    return found
 
 
 def script_of(word: str) -> str:
@@ -144,8 +167,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of what is to be replaced, in order, without overlaps.
 
     Values are in one spelling, so that one person, number or address has one value: lower
-    case for addresses and names, digits alone for numbers. A name is found after a title, after words that
-    introduce one, or as a known given name before another name; then also where it stands alone in the same text.
+    case for addresses and names, digits alone for numbers. A name is found after a title or words that
+    introduce one, then also where it stands alone in the same text.
     """
     return [found[:4] for found in formed_entities(text)]
 
@@ -153,7 +176,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
 def formed_entities(text: str) -> list[tuple[int, int, str, str, str]]:
     """As ``entities``, with the form that the place shows: of a name whether it is a given one, and the gender."""
     found = []
-    for match in FOUND.finditer(text):
+    for match in FOUND.finditer(text) if _SIGNS.search(text) else ():
         kind, start, end = match.lastgroup, match.start(), match.end()
         value = match[0]
         if kind == "secret":
@@ -177,7 +200,7 @@ def formed_entities(text: str) -> list[tuple[int, int, str, str, str]]:
             if value.lower() in NO_SECRETS or (value.islower() and not key.startswith("pass") and "pwd" not in key):
                 continue
         found.append((start, end, kind, value, ""))
-    if _may_hold_names(text):
+    if next(name_marks().iter(text), None):
         named = list(_named(text))
         found = _merged(found, named)
         forms = {text[start:end]: form for start, end, _, _, form in reversed(named)}
@@ -190,13 +213,8 @@ def formed_entities(text: str) -> list[tuple[int, int, str, str, str]]:
     return found
 
 
-def _may_hold_names(text: str) -> bool:
-    low = text.lower()
-    return any(mark in text for mark in NAME_MARKS) or any(cue in low for cue in NAME_CUES)
-
-
 def _named(text: str):
-    """The parts of names that stand with a title, an introduction or a known given name."""
+    """The parts of names that stand with a title or an introduction."""
     for match in NAMES.finditer(text):
         start, end = match.span()
         lead = _LEAD.match(text, start, end)
@@ -352,12 +370,9 @@ def shaped(original: str, kind: str, made: str) -> str:
 
 
 def _possible(text: Column) -> Column:
-    some, low = text.rlike(SIGNS), F.lower(text)
+    some = text.rlike(SIGNS)
     for mark in MARKS:
         some = some | text.contains(mark)
-    # Fields have a colon, which is a sign.
-    for cue in INTRODUCED:
-        some = some | low.contains(cue)
     return some
 
 

@@ -121,7 +121,7 @@ def test_one_surrogate_per_person(spark):
         ("Ich heiße Jörg.", ["Jörg"]),
         ("Best regards,\nJane Doe\nSales", ["Jane", "Doe"]),
         ("Name: Jane Doe, born", ["Jane", "Doe"]),
-        ("said Anna Kowalska to Kowalska", ["Anna", "Kowalska", "Kowalska"]),
+        ("Signed by: Anna Kowalska. Kowalska said", ["Anna", "Kowalska", "Kowalska"]),
         ("меня зовут Пётр", ["Пётр"]),
         ("the name of the rose; Name: value; best regards, the team; Anna said; My name is not", []),
         ("Dr. no, Mr. x, MRs", []),
