@@ -197,16 +197,6 @@ def numbered(df: DataFrame, order_by: list[str], label: str, name: str = "place"
     )
 
 
-def passes(rows: int, width: int, agree: float, miss: float = 1e-4) -> int:
-    """Orderings by random bits after which a pair is missed with odds of ``miss`` at most.
-
-    The two agree in each bit with probability ``agree``; they meet in a window of ``width``
-    rows if they agree in the first bits that part ``rows`` rows into windows.
-    """
-    bits = max(1.0, np.log2(max(2.0, rows / width)))
-    return int(np.ceil(np.log(miss) / np.log1p(-(agree**bits))))
-
-
 def in_order(rows: DataFrame, order_by: list[str], n_rows: int, per_task: int = 50_000) -> DataFrame:
     """``rows`` in range partitions, each sorted, for tasks that compare neighbours.
 

@@ -1,11 +1,12 @@
 """Near-duplicate embeddings by sorted projection passes.
 
-Every pass draws random hyperplanes, orders the vectors by the bits that say on which side of
-each they lie, and compares each vector with a window of neighbours. Pairs that
-prove similar are united over all passes. How many passes are needed follows from the number
-of vectors, the window and the odds of missing a pair that are accepted. How crowded a vector is
-shows in the key bits it shares with the end of its window; those whose own odds of a miss are
-above what is accepted are compared with each other, all pairs of blocks.
+Every pass draws random hyperplanes and orders the vectors by the bits that say on which side of
+each they lie. Spark range-partitions that order, which brings near vectors into one task; there
+the task orders its vectors again by the bits of fresh hyperplanes, several times, and compares each vector with a
+window of neighbours in each of these orderings. Pairs that prove similar are united over all passes. How many passes are
+needed follows from the number of vectors, the window and the odds of missing a pair that are accepted. How crowded
+a vector is shows in the key bits it shares with the end of its window and with the border of its task; those whose own odds of a
+miss are above what is accepted are compared with each other, all pairs of blocks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import Links, carried, components, in_order, passes, stored
+from lading.llm.common import Links, batches_by, components, stored
 
 THRESHOLD = 0.95
 WINDOW = 32
@@ -31,11 +32,15 @@ BLOCK_BYTES = 32 << 20
 # Rows of a block that meet the other block at a time.
 TILE = 256
 
-# Key bits by which a vector may be more crowded than on average before it counts as crowded.
-SPARE_BITS = 2
+# Vectors of a task and their bytes at most, and orderings that it makes of them.
+TASK_ROWS = 64_000
+TASK_BYTES = 64 << 20
+ORDERINGS = 16
 
-# No statement on a pass: the window goes over the border of a partition.
-UNKNOWN = KEY_BITS + 1
+# Key bits by which a vector may be more crowded than on average before it counts as crowded, and passes
+# for that beyond those that the average vector needs.
+SPARE_BITS = 2
+SPARE_PASSES = 1.25
 
 
 def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,41 +83,54 @@ def usable(vectors: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _keys(rows: np.ndarray, seed: list[int]) -> np.ndarray:
+    """On which side of each of ``KEY_BITS`` random hyperplanes the rows lie."""
+    planes = np.random.default_rng(seed).standard_normal((rows.shape[1], KEY_BITS), dtype=np.float32)
+    side = rows @ planes > 0
+    key = np.zeros(len(rows), np.int64)
+    for bit in range(KEY_BITS):
+        key = (key << 1) | side[:, bit]
+    return key
+
+
 def _pass_rows(n_passes: int):
-    """Rows (size, pass, key, rep, vector): every vector in each of the orderings."""
+    """Rows (ordering, key, rep, vector): every vector in each of the passes, by length of vector and pass."""
 
     def run(batches):
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
             rows, _ = unit_rows(batch.column(1))
             size = batch.column(2).to_numpy()
-            for width in np.unique(size):
+            for width in np.unique(size).tolist():
                 at = np.flatnonzero(size == width)
-                if width not in planes:
-                    rng = np.random.default_rng([SEED, int(width)])
-                    planes[width] = rng.standard_normal((int(width), n_passes * KEY_BITS), dtype=np.float32)
                 some = rows[at, :width].astype(np.float32)
                 picked = pa.array(at)
                 rep, vector = batch.column(0).take(picked), batch.column(1).take(picked)
                 for number in range(n_passes):
-                    side = some @ planes[width][:, number * KEY_BITS : (number + 1) * KEY_BITS] > 0
-                    key = np.zeros(len(at), np.int64)
-                    for bit in range(KEY_BITS):
-                        key = (key << 1) | side[:, bit]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(at), width, np.int32)),
-                            pa.array(np.full(len(at), number, np.int32)),
-                            pa.array(key),
+                            pa.array(np.full(len(at), width << 32 | number)),
+                            pa.array(_keys(some, [SEED, width, number])),
                             rep,
                             vector,
                         ],
-                        names=["size", "pass", "key", "rep", "vector"],
+                        names=["ordering", "key", "rep", "vector"],
                     )
 
     return run
 
 
+def n_passes(rows: int, task_rows: int, window: int, agree: float, miss: float) -> int:
+    """Passes after which a pair that agrees in each bit with probability ``agree`` is missed with odds of ``miss``.
+
+    The two meet in a task if they agree in the bits that part all rows into tasks, and some more where they lie near
+    its border, and then in a window of one ordering at least.
+    """
+    apart = np.log2(rows / task_rows) + 2 if rows > task_rows else 0.0
+    inside = max(1.0, np.log2((max(1, min(rows, task_rows)) << SPARE_BITS) / window))
+    met = agree**apart * (1 - (1 - agree**inside) ** ORDERINGS)
+    return int(np.ceil(SPARE_PASSES * np.log(miss) / np.log1p(-min(met, 1 - 1e-9))))
+
+
 def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Leading bits in which keys agree."""
     rest, length = a ^ b, np.zeros(len(a), np.int64)
@@ -123,47 +141,81 @@ def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return KEY_BITS - length - (rest > 0)
 
 
-def _window_links(threshold: float, window: int, agree: float):
+def _parts(batches, whole: bool):
+    """(table, before, after) of every pass in a sorted partition, and whether it may go on outside on that side.
+
+    Where another pass begins or ends in the same partition, this one does not, nor where passes are ``whole``.
+    """
+    last = None
+    for table in batches_by(batches, "ordering"):
+        if last is not None:
+            yield last[0], last[1], False
+        last = table, last is None and not whole
+    if last is not None:
+        yield last[0], last[1], not whole
+
+
+def _neighbours(rows: np.ndarray, key: np.ndarray, window: int, threshold: float):
+    """Pairs of rows in each other's window by the order of ``key``, and per row the bits shared with the windows' ends.
+
+    -1 stands for an ordering that ends within the window.
+    """
+    order = np.argsort(key, kind="stable")
+    rows, key = rows[order], key[order]
+    low = rows.astype(np.float32)
+    found = []
+    for at in range(0, len(rows), TILE):
+        end = min(at + TILE + window, len(rows))
+        # Single precision is off by far less than this; what is near the threshold is looked at again.
+        a, b = np.nonzero(low[at : at + TILE] @ low[at:end].T >= threshold - 1e-4)
+        near = (b > a) & (b <= a + window)
+        a, b = at + a[near], at + b[near]
+        sure = np.einsum("ij,ij->i", rows[a], rows[b]) >= threshold
+        found.append((order[a[sure]], order[b[sure]]))
+    bits = np.full(len(rows), -1, np.int64)
+    if len(rows) > window:
+        across = _shared_bits(key[:-window], key[window:])
+        bits[:-window] = across
+        bits[window:] = np.maximum(bits[window:], across)
+    shared = np.empty_like(bits)
+    shared[order] = bits
+    return found, shared
+
+
+def _window_links(threshold: float, window: int, agree: float, whole: bool):
     """Links (src, dst, null), and for every row of a pass (rep, null, bound).
 
     ``bound`` is the logarithm of the odds that the pass misses a neighbour at the threshold: one
-    that shares a bit more than the ends of the row's window do lies in it.
+    that shares a bit more with the row than the borders of its task do is in the task, and one that shares a bit more
+    than the ends of the row's window in an ordering lies in that window.
     """
 
-    def crowding(rep, bits_before, bits_after):
-        bits = np.maximum(bits_before, bits_after)
-        found = np.where(bits < KEY_BITS, agree ** (bits + 1.0), 0.0)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rep), pa.nulls(len(rep), pa.int64()), pa.array(np.log1p(-np.minimum(found, 1 - 1e-12)))],
-            names=["src", "dst", "bound"],
-        )
+    def odds(bits: np.ndarray) -> np.ndarray:
+        return np.where(bits < KEY_BITS, agree ** (bits + 1.0), 0.0)
 
     def run(batches):
         links = Links()
-        step = 256
-        before = np.full(window, UNKNOWN, np.int64)
-        for piece, count in carried(batches, window):
-            rows, _ = unit_rows(piece.column("vector"))
-            rep = piece.column("rep").to_numpy()
-            key = piece.column("key").to_numpy()
-            order = piece.column("pass").to_numpy().astype(np.int64) << 32 | piece.column("size").to_numpy()
-            for at in range(0, count, step):
-                stop = min(at + step, count)
-                end = min(stop + window, len(rep))
-                cosine = rows[at:stop] @ rows[at:end].T
-                a, b = np.nonzero(cosine >= threshold)
-                near = (b > a) & (b <= a + window) & (order[at + a] == order[at + b])
-                links.add(rep[at + a[near]], rep[at + b[near]])
-            # Bits shared with the row at the window's end; -1 where the ordering ends before it.
-            last = np.minimum(np.arange(count) + window, len(rep) - 1)
-            after = np.where(
-                order[:count] != order[last],
-                -1,
-                np.where(np.arange(count) + window < len(rep), _shared_bits(key[:count], key[last]), UNKNOWN),
+        for part, before, after in _parts(batches, whole):
+            rows, _ = unit_rows(part.column("vector"))
+            low = rows.astype(np.float32)
+            rep, key = part.column("rep").to_numpy(), part.column("key").to_numpy()
+            ordering = part.column("ordering")[0].as_py()
+            border = np.full(len(rep), -1, np.int64)
+            for outside, edge in ((before, 0), (after, -1)):
+                if outside:
+                    border = np.maximum(border, _shared_bits(key, np.full_like(key, key[edge])))
+            missed = np.zeros(len(rep))
+            for number in range(ORDERINGS):
+                fresh = _keys(low, [SEED, ordering >> 32, ordering & 0xFFFFFFFF, number + 1])
+                found, bits = _neighbours(rows, fresh, window, threshold)
+                for a, b in found:
+                    links.add(rep[a], rep[b])
+                missed += np.log1p(-np.minimum(odds(bits), 1 - 1e-12))
+            met = odds(border) * -np.expm1(missed)
+            bound = np.log1p(-np.minimum(met, 1 - 1e-12))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rep), pa.nulls(len(rep), pa.int64()), pa.array(bound)], names=["src", "dst", "bound"]
             )
-            both = np.concatenate([before, after])
-            yield crowding(rep[:count], both[:count], after)
-            before = both[count:]
         for batch in links.batches():
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.nulls(batch.num_rows, pa.float64())], names=["src", "dst", "bound"]
@@ -277,18 +329,30 @@ def near_duplicates(
     )
     # An id may be the smallest of several vectors if its rows differ.
     groups = groups.withColumn("size", F.size("vector"))
-    n_rows = groups.count()
+    n_rows, width = groups.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(1))).first()
+    # A component takes twelve bytes, in double and in single precision.
+    task_rows = int(min(TASK_ROWS, max(1024, TASK_BYTES // (12 * width))))
     similar = 1 - np.arccos(min(1.0, threshold)) / np.pi
-    n_passes = passes(n_rows << SPARE_BITS, window, similar, miss)
+    n_made = n_passes(n_rows, task_rows, window, similar, miss)
     rows = groups.select("rep", "vector", "size").mapInArrow(
-        _pass_rows(n_passes),
-        f"size int, pass int, key long, rep long, vector {groups.schema['vector'].dataType.simpleString()}",
+        _pass_rows(n_made),
+        f"ordering long, key long, rep long, vector {groups.schema['vector'].dataType.simpleString()}",
     )
-    ordered = in_order(rows, ["size", "pass", "key", "rep"], n_rows * n_passes, 20_000)
-    members = stored(good.join(groups.drop("size"), "vector").select("vec_id", "rep", "copies"), "members")
+    # As many tasks as reckoned with: more of them would bring fewer near vectors together. A pass that fits
+    # in a task stays whole.
+    order, whole = ["ordering", "key", "rep"], n_rows <= task_rows
+    if whole:
+        dealt = rows.repartition(n_made, "ordering")
+    else:
+        dealt = rows.repartitionByRange(-(-n_rows * n_made // task_rows), *order)
+    ordered = dealt.sortWithinPartitions(*order)
+    # Equal vectors have equal marks of 128 bits, which spares sending them once more.
+    marks = [F.xxhash64(F.lit(seed), "vector").alias(f"mark{seed}") for seed in (1, 2)]
+    members = good.select("vec_id", *marks).join(groups.select("rep", "copies", *marks), ["mark1", "mark2"])
+    members = stored(members.select("vec_id", "rep", "copies"), "members")
     ties = members.filter("vec_id <> rep").select(F.col("vec_id").alias("src"), F.col("rep").alias("dst"))
     seen = stored(
-        ordered.mapInArrow(_window_links(threshold, window, similar), "src long, dst long, bound double"), "links"
+        ordered.mapInArrow(_window_links(threshold, window, similar, whole), "src long, dst long, bound double"), "links"
     )
     edges = seen.filter("dst is not null").select("src", "dst")
     bounds = seen.filter("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("bound").alias("bound"))

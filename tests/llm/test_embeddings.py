@@ -70,6 +70,36 @@ def test_edge_rows(spark):
     assert sorted((r["vec_id"], r["component_id"]) for r in again) == [(1, 1), (1, 1), (2, 1)]
 
 
+def test_many_tasks(spark, monkeypatch):
+    # Tasks of few vectors: most pairs are found in other passes, or as crowded ones.
+    monkeypatch.setattr(embeddings, "TASK_ROWS", 60)
+    rows = clustered(np.random.default_rng(3), 200)
+    assert sorted(tuple(r) for r in embeddings.near_duplicates(frame(spark, rows)).collect()) == brute(rows)
+
+
+def test_signs_of_zero(spark):
+    rows = [(1, [1.0, -0.0]), (2, [1.0, 0.0]), (3, [-0.0, 1.0]), (4, [0.0, 1.0]), (5, [0.0, 1.0])]
+    assert sorted(tuple(r) for r in embeddings.near_duplicates(frame(spark, rows)).collect()) == brute(rows)
+
+
+@pytest.mark.parametrize(("n", "task_rows"), [(10_000, 64_000), (6_000, 1_000)])
+def test_few_vectors_count_as_crowded(n, task_rows):
+    # Random vectors without structure, passes whole or cut into tasks.
+    vectors = np.random.default_rng(5).standard_normal((n, 64))
+    low = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    column = pa.array(vectors.tolist(), pa.list_(pa.float64()))
+    agree, whole, total = 1 - np.arccos(0.95) / np.pi, n <= task_rows, np.zeros(n)
+    for number in range(embeddings.n_passes(n, task_rows, 32, agree, 1e-4)):
+        key = embeddings._keys(low, [42, 64, number])
+        for at in np.array_split(np.argsort(key), 1 if whole else n // task_rows):
+            columns = [np.full(len(at), 64 << 32 | number), key[at], at, column.take(pa.array(at))]
+            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["ordering", "key", "rep", "vector"])
+            for found in embeddings._window_links(0.95, 32, agree, whole)(iter([batch])):
+                if found.num_rows and found.column("bound")[0].is_valid:
+                    total[found.column("src").to_numpy()] += found.column("bound").to_numpy()
+    assert (total > np.log(1e-4)).mean() < 0.02
+
+
 def test_unit_rows():
     rows, good = unit_rows(pa.array([[3.0, 4.0], None, [1e300, 1e300], [1.0]], pa.list_(pa.float64())))
     assert good.tolist() == [True, False, True, True]
