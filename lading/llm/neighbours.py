@@ -73,6 +73,13 @@ def matrix(vectors: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
 
 
+def lengths(rows: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; squares of very large or small components neither overflow nor vanish."""
+    top = np.abs(rows).max(axis=1, initial=0.0)
+    scaled = rows / np.where(top > 0, top, 1.0)[:, None]
+    return top * np.sqrt((scaled**2).sum(axis=1))
+
+
 def _curve_rows(curves: int, longest: float):
     """Rows (size, curve, key, vec_id, asks, vector) on every curve.
 
@@ -89,7 +96,7 @@ def _curve_rows(curves: int, longest: float):
                 at = np.flatnonzero(sizes == width)
                 ids, vectors = batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))
                 rows = matrix(vectors, width)
-                norm = np.sqrt((rows**2).sum(axis=1))
+                norm = lengths(rows)
                 asked = asks[at]
                 scale = np.where(asked, norm, longest)[:, None]
                 rest = np.where(asked, 0.0, np.sqrt(np.maximum(0.0, 1 - (norm / longest) ** 2)))
@@ -180,7 +187,7 @@ def _promising(scores: np.ndarray, floor: np.ndarray, k: int, slack: np.ndarray)
     if scores.shape[1] > k:
         kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
         floor = np.maximum(floor, kth)
-    return np.nonzero(scores >= (floor - slack)[:, None])
+    return np.nonzero((scores >= (floor - slack)[:, None]) & (scores > -np.inf))
 
 
 def _window_best(k: int, window: int):
@@ -195,7 +202,7 @@ def _window_best(k: int, window: int):
                 rows = matrix(vectors.slice(start, stop - start), int(order[start] & 0xFFFFFFFF))
                 places = np.flatnonzero(asks[start:stop])
                 data = np.flatnonzero(~asks[start:stop])
-                norm = np.sqrt((rows**2).sum(axis=1))
+                norm = lengths(rows)
                 for at in range(0, len(places), 64):
                     some = places[at : at + 64]
                     low, high = some[0] - window, some[-1] + window
@@ -225,7 +232,7 @@ def _cells(batches):
         width = part.column("size")[0].as_py()
         rows = matrix(part.column("vector"), width)
         centre = rows.mean(axis=0)
-        radius = float(np.sqrt(((rows - centre) ** 2).sum(axis=1)).max())
+        radius = float(lengths(rows - centre).max())
         number += 1
         return pa.RecordBatch.from_arrays(
             [
@@ -263,10 +270,11 @@ def _possible(batches):
             queries = batch.column("queries")[i].values.to_numpy().reshape(-1, width)
             floor = batch.column("floors")[i].values.to_numpy()
             centres = heads.field("centre").flatten().to_numpy().reshape(-1, width)
-            norm = np.sqrt((queries**2).sum(axis=1))
+            norm = lengths(queries)
             most = queries @ centres.T + norm[:, None] * heads.field("radius").to_numpy()[None, :]
             slack = 1e-9 * (1 + np.abs(most))
-            open_ = (most + slack >= floor[:, None]).any(axis=0)
+            # What overflows rules nothing out.
+            open_ = ~(most + slack < floor[:, None]).all(axis=0)
             found = heads.field("cell").to_numpy()[open_]
             cells.append(found)
             blocks.append(np.full(len(found), batch.column("block")[i].as_py()))
@@ -289,8 +297,8 @@ def _cell_best(k: int):
                 floor = batch.column("floors")[i].values.to_numpy()
                 scores = queries @ rows.T
                 scores[asked[:, None] == ids[None, :]] = -np.inf
-                norm = np.sqrt((queries**2).sum(axis=1))
-                slack = 1e-10 * norm * np.sqrt((rows**2).sum(axis=1)).max()
+                norm = lengths(queries)
+                slack = 1e-10 * norm * lengths(rows).max()
                 a, b = _promising(scores, np.maximum(floor, -np.finfo(float).max), k, slack)
                 score = exact_scores(queries[a], rows[b])
                 best.setdefault(batch.column("block")[i].as_py(), Best(k)).add(asked[a], ids[b], score)
@@ -305,9 +313,10 @@ _RESULT = "query_id long, vec_id long, score double"
 
 def on_curves(given: DataFrame, curves: int) -> DataFrame:
     """The vectors on the first ``curves`` curves, queries a second time as such."""
-    longest = given.agg(
-        F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x)))
-    ).first()[0]
+    size = F.transform("vector", lambda x: F.abs(x.cast("double")))
+    top = F.array_max(size)
+    shares = F.aggregate(size, F.lit(0.0), lambda s, x: s + (x / top) * (x / top))
+    longest = given.agg(F.max(top * F.sqrt(shares))).first()[0]
     # Every vector is offered; the queries have a second row that asks.
     both, one = F.array(F.lit(False), F.lit(True)), F.array(F.lit(False))
     roles = given.withColumn("asks", F.explode(F.when(F.col("asks"), both).otherwise(one)))

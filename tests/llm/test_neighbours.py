@@ -73,6 +73,13 @@ def test_edge_rows(spark):
     assert sorted(tuple(r) for r in neighbours.search(frame(spark, ties)).collect()) == brute(ties)
 
 
+def test_components_whose_squares_overflow_or_vanish(spark):
+    rows = [(0, [1e200, 1e10]), (1, [1e200, 0.0]), (20, [1e-200, 1e-200]), (2, [1e-190, 0.0]), (40, [3.0, 1e-180]), (3, [0.0, 1e170])]
+    assert np.allclose(neighbours.lengths(np.array([r[1] for r in rows])), [1e200, 1e200, 2**0.5 * 1e-200, 1e-190, 3, 1e170])
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in neighbours.search(given).collect()) == brute(rows)
+
+
 def test_query_on_whole_table(spark, data):
     rows = [tuple(r) for r in spark.read.parquet(f"{data}/embeddings.parquet").select("vec_id", "embedding").collect()]
     found = sorted(tuple(r) for r in QUERIES["op9_neighbours"](spark, data).collect())
