@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
 from lading.operators import address
-from lading.operators.spread import HOT_ROWS, checked_hot_rows, hot_keys, spread_join
+from lading.operators.spread import checked_hot_rows, hot_keys, spread_join
 
 MATCH_KEYS = ["match_name", "building", "street", "city"]
 
@@ -43,16 +43,22 @@ def duplicate_groups(matches: DataFrame, keys: list[str] = MATCH_KEYS) -> DataFr
 
 
 def with_survivor(
-    matches: DataFrame, keys: list[str] = MATCH_KEYS, hot_rows: int = HOT_ROWS
+    matches: DataFrame, keys: list[str] = MATCH_KEYS, hot_rows: int | None = None
 ) -> DataFrame:
     """Every customer with the smallest id of its group as ``survivor_id``.
 
-    The group sizes are known by then, so the join salts the large groups.
+    A group is one row of the join's other side, so large groups are left to the adaptive skew join; with
+    ``hot_rows``, groups of that size are salted instead: their sizes are known by then.
     """
-    checked_hot_rows(hot_rows)
     groups = duplicate_groups(matches, keys)
-    hot = groups.filter(F.col("n_rows") >= hot_rows)
-    joined = spread_join(matches, groups, keys, hot, spread_by=["customer_id"])
+    if hot_rows is None:
+        named = groups.select(*[F.col(k).alias(f"_group_{k}") for k in keys], "survivor_id")
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys])
+        joined = matches.join(named, same, "left")
+    else:
+        checked_hot_rows(hot_rows)
+        hot = groups.filter(F.col("n_rows") >= hot_rows)
+        joined = spread_join(matches, groups, keys, hot, spread_by=["customer_id"])
     survivor = F.coalesce("survivor_id", "customer_id").alias("survivor_id")
     return joined.select(*matches.columns, survivor)
 

@@ -56,6 +56,9 @@ def append_entries(spark: SparkSession, path: str, written: DataFrame) -> None:
     staging = f"{place.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     entries.withColumn("migrated_at", F.current_timestamp()).write.parquet(staging)
     moved_in(spark, staging, place)
+    if path.startswith(TABLE):
+        # The session does not know of the new files.
+        spark.catalog.refreshTable(path.removeprefix(TABLE))
 
 
 def location(spark: SparkSession, path: str) -> str:

@@ -36,8 +36,8 @@ def merge_to(
     cleaned once, and groups and joins work on narrow columns. The crosswalk is stored too, so that
     the later joins know its size. ``references`` names further tables and their columns that hold customer
     ids; all are checked before any is written, and the job raises if a row would lose its customer. With
-    ``salted`` the customers with at least ``hot_rows`` mentions are counted once, over all tables, and their
-    rows spread; otherwise skew is left to the adaptive skew join.
+    ``salted`` groups of at least ``hot_rows`` customers, and customers with as many mentions, counted once over all
+    tables, have their rows spread; otherwise skew is left to the adaptive skew join.
     """
     spread.checked_hot_rows(hot_rows)
     taken = {"matches", "crosswalk", "customers", "lost", "hot"}
@@ -46,7 +46,7 @@ def merge_to(
         raise ValueError(f"references cannot be called {sorted(clash)}")
     paths = {name: f"{out}/{name}" for name in ("crosswalk", "customers")}
     dedup.match_frame(customers, rules).write.parquet(f"{out}/matches")
-    resolved = dedup.with_survivor(spark.read.parquet(f"{out}/matches"), keys, hot_rows)
+    resolved = dedup.with_survivor(spark.read.parquet(f"{out}/matches"), keys, hot_rows if salted else None)
     dedup.crosswalk(resolved).write.parquet(paths["crosswalk"])
     walk = spark.read.parquet(paths["crosswalk"])
 

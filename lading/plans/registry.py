@@ -425,14 +425,15 @@ def lost_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lost_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pickups without customer after the merge (none), and had they not been re-pointed."""
-    walk = _stored(dedup.crosswalk(_resolved(spark, sf_dir)), "crosswalk")
+    walk = dedup.crosswalk(_resolved(spark, sf_dir))
     pickups, customers = view(spark, sf_dir, "pickup_input"), view(spark, sf_dir, "customer_input")
-    remaining = _stored(dedup.remove_duplicates(customers, walk).select("customer_id"), "remaining")
-    found = []
-    for moved in (walk, walk.filter("false")):
-        lost = _stored(dedup.lost_customers(customers, moved, remaining), "lost")
-        found.append(dedup.lost_pickups(pickups, lost).select(F.lit(moved is walk).alias("moved")))
-    return found[0].unionAll(found[1]).agg(
+    remaining = dedup.remove_duplicates(customers, walk).select("customer_id")
+    lost = [
+        dedup.lost_customers(customers, moved, remaining).withColumn("moved", F.lit(moved is walk))
+        for moved in (walk, walk.filter("false"))
+    ]
+    # One row per customer and case at most; the pickups meet both cases in one join.
+    return pickups.join(lost[0].unionAll(lost[1]), "customer_id").agg(
         F.count_if("moved").alias("n_lost"), F.count_if(~F.col("moved")).alias("n_lost_unmoved")
     )
 
