@@ -3,9 +3,10 @@
 Rows need ``folder``, ``file_name`` and binary ``content``; further columns are
 passed to the receipts. A file lands at ``<path>/<folder>/<file_name>``.
 
-Each task writes a file under a staging name and then renames it, so readers see
-whole files only and a retried or speculative task replaces a file by the same
-bytes. Nothing about single files travels to the driver: commit messages hold
+Each task writes a file under a staging name of its own in the target folder and then renames it,
+so readers see whole files only and a retried or speculative task replaces a file by the same
+bytes. The rename stays within a folder because file systems let only one rename at a time go from
+folder to folder, and tasks would queue for it. Nothing about single files travels to the driver: commit messages hold
 counts. With the option ``receipts`` every task also leaves a Parquet file there
 with all columns but the content, plus ``n_bytes``, once its files are in place;
 the receipts are the list of what is written, also after a crash. With the option ``batch``
@@ -23,6 +24,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
@@ -70,27 +72,29 @@ class BlobFilesWriter(DataSourceArrowWriter):
         partition, attempt = task.partitionId(), task.taskAttemptId()
         target = _Target(self.root, self.token, f"{partition}-{attempt}")
         receipt, number, files, total = None, 0, 0, 0
-        for batch in iterator:
-            at = 0
-            while at < batch.num_rows:
-                if receipt is None and self.receipts:
-                    receipt = _Receipt(self.receipts, self.token, partition, attempt, number if self.batch else None)
-                room = self.batch - files % self.batch if self.batch else batch.num_rows
-                part = batch.slice(at, room)
-                for folder, name, blob in zip(part["folder"], part["file_name"], part["content"], strict=True):
-                    folder, name = _plain(folder.as_py()), _plain(name.as_py())
-                    content = blob.as_buffer()
-                    if content is None:
-                        raise ValueError(f"no content for {folder}/{name}")
-                    target.store(folder, name, content)
-                    total += content.size
-                at += part.num_rows
-                files += part.num_rows
-                if receipt:
-                    receipt.add(part)
-                    if self.batch and files % self.batch == 0:
-                        receipt.publish()
-                        receipt, number = None, number + 1
+        with target:
+            for batch in iterator:
+                at = 0
+                while at < batch.num_rows:
+                    if receipt is None and self.receipts:
+                        receipt = _Receipt(self.receipts, self.token, partition, attempt, number if self.batch else None)
+                    room = self.batch - files % self.batch if self.batch else batch.num_rows
+                    part = batch.slice(at, room)
+                    folders, names, blobs = (part[c] for c in REQUIRED)
+                    for i in _by_folder(folders, partition):
+                        folder, name = _plain(folders[i].as_py()), _plain(names[i].as_py())
+                        content = blobs[i].as_buffer()
+                        if content is None:
+                            raise ValueError(f"no content for {folder}/{name}")
+                        target.store(folder, name, content)
+                        total += content.size
+                    at += part.num_rows
+                    files += part.num_rows
+                    if receipt:
+                        receipt.add(part)
+                        if self.batch and files % self.batch == 0:
+                            receipt.publish()
+                            receipt, number = None, number + 1
         if receipt:
             receipt.publish()
         return Written(files, total)
@@ -108,32 +112,78 @@ class BlobFilesWriter(DataSourceArrowWriter):
             filesystem, base = open_filesystem(place)
             staging = staging_folder(base, self.token)
             if filesystem.get_file_info(staging).type == pafs.FileType.Directory:
+                if place == self.root:
+                    _drop_unfinished(filesystem, base, staging)
                 filesystem.delete_dir(staging)
 
 
+def _drop_unfinished(filesystem: pafs.FileSystem, base: str, staging: str) -> None:
+    """Delete the files that killed tasks were writing; their marks are still in ``staging``."""
+    marks = filesystem.get_file_info(pafs.FileSelector(staging))
+    if not marks:
+        return
+    for folder in filesystem.get_file_info(pafs.FileSelector(base)):
+        if folder.type == pafs.FileType.Directory and folder.path != staging:
+            for mark in marks:
+                _delete_if_there(filesystem, f"{staging_folder(folder.path, '')}{mark.base_name}")
+
+
+def _delete_if_there(filesystem: pafs.FileSystem, path: str) -> None:
+    if filesystem.get_file_info(path).type != pafs.FileType.NotFound:
+        filesystem.delete_file(path)
+
+
+def _by_folder(folders: pa.Array, shift: int) -> list[int]:
+    """The rows folder by folder, beginning with another folder for every ``shift``.
+
+    Tasks that change folders with every file meet at the same few folders, which take one new name at a time.
+    """
+    coded = folders.dictionary_encode()
+    codes = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)
+    return np.argsort((codes + shift) % max(1, len(coded.dictionary)), kind="stable").tolist()
+
+
 class _Target:
-    """Stores the files of one task."""
+    """Stores the files of one task.
+
+    Its unfinished file is deleted when it ends. A mark tells the driver of tasks that did not get to that.
+    """
 
     def __init__(self, root: str, token: str, task: str) -> None:
         self.filesystem, self.base = open_filesystem(root)
-        self.staging = None
+        self.mark = self.name = self.unfinished = None
         if self.filesystem.type_name not in ATOMIC_UPLOAD:
-            self.staging = posixpath.join(staging_folder(self.base, token), task)
-            self.filesystem.create_dir(posixpath.dirname(self.staging), recursive=True)
+            staging = staging_folder(self.base, token)
+            self.filesystem.create_dir(staging, recursive=True)
+            self.mark = posixpath.join(staging, f"{token}-{task}")
+            self.name = staging_folder("", f"{token}-{task}")
         self.known_folders: set[str] = set()
 
+    def __enter__(self) -> _Target:
+        if self.mark:
+            self.filesystem.open_output_stream(self.mark).close()
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        if self.unfinished:
+            _delete_if_there(self.filesystem, self.unfinished)
+        if self.mark:
+            _delete_if_there(self.filesystem, self.mark)
+
     def store(self, folder: str, name: str, content: pa.Buffer) -> None:
         path = posixpath.join(self.base, folder, name)
-        if self.staging is None:
+        if self.name is None:
             with self.filesystem.open_output_stream(path) as stream:
                 stream.write(content)
             return
         if folder not in self.known_folders:
             self.filesystem.create_dir(posixpath.dirname(path), recursive=True)
             self.known_folders.add(folder)
-        with self.filesystem.open_output_stream(self.staging) as stream:
+        self.unfinished = posixpath.join(self.base, folder, self.name)
+        with self.filesystem.open_output_stream(self.unfinished) as stream:
             stream.write(content)
-        self.filesystem.move(self.staging, path)
+        self.filesystem.move(self.unfinished, path)
+        self.unfinished = None
 
 
 class _Receipt:
@@ -186,11 +236,16 @@ def staging_folder(base: str, token: str) -> str:
     return posixpath.join(base, f"_staging-{token}")
 
 
+def hidden(name: str) -> bool:
+    """Whether Spark's readers skip files and folders of this name."""
+    return name[0] in "._"
+
+
 def _plain(part: str | None) -> str:
     """A single path component, so that no row can write outside the target folder.
 
     Names that file readers skip as hidden are refused: they would not be read back.
     """
-    if not part or part[0] in "._" or "/" in part or "\\" in part or "\x00" in part:
+    if not part or hidden(part) or "/" in part or "\\" in part or "\x00" in part:
         raise ValueError(f"not a usable file or folder name: {part!r}")
     return part

@@ -365,3 +365,47 @@ def test_payload_of_bucketed_tables_is_not_shuffled(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         for name in ("attachments_test", "manifest_test", "attachments_plain_test"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_files_do_not_move_between_folders(tmp_path, monkeypatch):
+    """Renames between folders exclude each other on a file system, so that tasks would wait for one another."""
+    root = str(tmp_path / "files")
+    moves = []
+    plain = blobfiles.pafs.LocalFileSystem
+
+    class Watched:
+        type_name = "local"
+
+        def __getattr__(self, name):
+            return getattr(plain(), name)
+
+        def move(self, source, target):
+            moves.append((os.path.dirname(source), os.path.dirname(target)))
+            plain().move(source, target)
+
+    monkeypatch.setattr(blobfiles, "open_filesystem", lambda path: (Watched(), path))
+    monkeypatch.setattr(blobfiles.TaskContext, "get", lambda: FakeTask(1, 1))
+    writer = blobfiles.BlobFilesWriter(root, None)
+    rows = [("2018-06", "a", b"1"), ("2018-07", "b", b"2"), ("2018-06", "c", b"3"), ("2018-06", "a", b"4")]
+    writer.commit([writer.write(iter([batch(rows)]))])
+    assert on_disk(root) == {"2018-06/a": b"4", "2018-06/c": b"3", "2018-07/b": b"2"}
+    assert sorted(os.listdir(root)) == ["2018-06", "2018-07"]
+    # Folder by folder, each rename within one.
+    assert moves == [(f"{root}/{f}",) * 2 for f in ("2018-07", "2018-06", "2018-06", "2018-06")]
+
+
+@pytest.mark.parametrize("killed", [False, True])
+def test_unfinished_files_are_dropped(tmp_path, monkeypatch, killed):
+    root = str(tmp_path / "files")
+    monkeypatch.setattr(blobfiles.TaskContext, "get", lambda: FakeTask(0, 1))
+    writer = blobfiles.BlobFilesWriter(root, None)
+    with monkeypatch.context() as patch:
+        patch.setattr(blobfiles._Target, "__exit__", lambda *_: None) if killed else None
+        # The target is a folder, so the rename fails.
+        os.makedirs(f"{root}/2018-06/taken/x")
+        with pytest.raises(OSError):
+            writer.write(iter([batch([("2018-06", "a", b"1"), ("2018-06", "taken", b"2")])]))
+    assert [n.startswith("_") for n in sorted(os.listdir(f"{root}/2018-06"))].count(True) == killed
+    writer.abort([None])
+    assert os.listdir(root) == ["2018-06"]
+    assert sorted(os.listdir(f"{root}/2018-06")) == ["a", "taken"]
