@@ -14,7 +14,8 @@ from lading.operators import export, ledger
 from lading.operators.numbering import assign_batches
 from lading.operators.spread import HOT_ROWS
 from lading.plans.runlog import LEASE, RunLog, State
-from lading.session import qualified, removed, sub_folders
+from lading.session import exists, qualified, removed, sub_folders
+from lading.sources import blobfiles
 from lading.sources.register import register_blobfiles
 
 RECEIPT = T.StructType(
@@ -304,13 +305,20 @@ def progress(spark: SparkSession, work: str) -> DataFrame:
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """``folder, file_name, n_bytes, content`` of every exported file (``root`` must exist).
 
-    The sink writes no names that this reader takes for hidden files.
+    The sink writes no names that this reader takes for hidden files. The driver lists the month folders; tasks
+    list the files in them and read them, dealt out by name, so that neither the driver nor the number of tasks
+    grows with the number of files.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    parts = F.split("path", "/")
-    return files.select(
-        F.element_at(parts, -2).alias("folder"),
-        F.element_at(parts, -1).alias("file_name"),
-        F.col("length").alias("n_bytes"),
-        "content",
+    register_blobfiles(spark)
+    root = qualified(spark, root, shared_mount=True)
+    if not exists(spark, root):
+        raise FileNotFoundError(root)
+    folders = [(name,) for name in sub_folders(spark, root) if not blobfiles.hidden(name)]
+    names = spark.createDataFrame(folders, "folder string").mapInArrow(
+        blobfiles.file_names(root), "folder string, file_name string"
+    )
+    # The number is given, since names are short and say nothing about the size of the files.
+    dealt = names.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "folder", "file_name")
+    return dealt.mapInArrow(
+        blobfiles.file_contents(root), "folder string, file_name string, n_bytes long, content binary"
     )

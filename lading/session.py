@@ -79,6 +79,12 @@ def moved_in(spark: SparkSession, staging: str, folder: str) -> None:
     filesystem.delete(path(staging), True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
+
 def sub_folders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders right below ``folder``; none if there is no such folder."""
     context = spark.sparkContext

@@ -1,4 +1,4 @@
-"""Data source ``blobfiles``: writes one file per row, in parallel on the executors.
+"""Data source ``blobfiles``: writes one file per row, in parallel on the executors, and what reads the files back.
 
 Rows need ``folder``, ``file_name`` and binary ``content``; further columns are
 passed to the receipts. A file lands at ``<path>/<folder>/<file_name>``.
@@ -19,6 +19,7 @@ URI that pyarrow can open.
 
 from __future__ import annotations
 
+import os
 import posixpath
 import uuid
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 # Stores where an upload shows up only when complete, so no rename is needed.
 ATOMIC_UPLOAD = ("s3", "gcs", "abfs")
 REQUIRED = {"folder": "string", "file_name": "string", "content": "binary"}
+# Files, and bytes of files, that a reading task holds at a time.
+READ_FILES = 4096
+READ_BYTES = 16_000_000
 
 
 @dataclass
@@ -219,6 +223,73 @@ class _Receipt:
             self.filesystem.move(self.staging, self.path)
 
 
+def file_names(root: str):
+    """For ``mapInArrow`` over folders below ``root``: rows (folder, file_name), one per file.
+
+    Names that file readers take for hidden files are skipped, those of unfinished files among them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = open_filesystem(root)
+        for batch in batches:
+            for folder in batch["folder"].to_pylist():
+                held: list[str] = []
+                for name in _names(filesystem, posixpath.join(base, folder)):
+                    held.append(name)
+                    if len(held) == READ_FILES:
+                        yield _named(folder, held)
+                        held = []
+                if held:
+                    yield _named(folder, held)
+
+    return run
+
+
+def _names(filesystem: pafs.FileSystem, folder: str) -> Iterator[str]:
+    if filesystem.type_name == "local":
+        # One name after the other: a folder may hold millions.
+        with os.scandir(folder) as found:
+            yield from (e.name for e in found if not hidden(e.name) and e.is_file())
+        return
+    for info in filesystem.get_file_info(pafs.FileSelector(folder)):
+        if info.type == pafs.FileType.File and not hidden(info.base_name):
+            yield info.base_name
+
+
+def _named(folder: str, names: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([folder] * len(names)), pa.array(names)], names=["folder", "file_name"])
+
+
+def file_contents(root: str):
+    """For ``mapInArrow`` over (folder, file_name): rows (folder, file_name, n_bytes, content)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, base = open_filesystem(root)
+        for batch in batches:
+            rows: list[tuple[str, str, bytes]] = []
+            size = 0
+            for folder, name in zip(batch["folder"].to_pylist(), batch["file_name"].to_pylist(), strict=True):
+                with filesystem.open_input_file(posixpath.join(base, folder, name)) as stream:
+                    rows.append((folder, name, stream.read()))
+                size += len(rows[-1][2])
+                if len(rows) == READ_FILES or size >= READ_BYTES:
+                    yield _read(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _read(rows)
+
+    return run
+
+
+def _read(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+    folders, names, blobs = zip(*rows, strict=True)
+    lengths = pa.array(map(len, blobs), pa.int64())
+    return pa.record_batch(
+        [pa.array(folders), pa.array(names), lengths, pa.array(blobs, pa.binary())],
+        names=["folder", "file_name", "n_bytes", "content"],
+    )
+
+
 def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """The pyarrow file system and the path in it, for a plain path or a URI."""
     if path.startswith("file:"):

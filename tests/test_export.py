@@ -409,3 +409,19 @@ def test_unfinished_files_are_dropped(tmp_path, monkeypatch, killed):
     writer.abort([None])
     assert os.listdir(root) == ["2018-06"]
     assert sorted(os.listdir(f"{root}/2018-06")) == ["a", "taken"]
+
+
+def test_reading_takes_no_more_tasks_for_more_files(spark, tmp_path):
+    names = [f"{i:03d} %41#?.gz" for i in range(300)]
+    for folder in ("2018-06", "2018-07", "_staging-x"):
+        os.makedirs(tmp_path / folder)
+        for name in [*names, "_hidden"]:
+            (tmp_path / folder / name).write_bytes(name.encode() * 2)
+    found = export_job.read_files(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 4
+    rows = {(r.folder, r.file_name, r.n_bytes, bytes(r.content)) for r in found.collect()}
+    assert rows == {(f, n, 2 * len(n), n.encode() * 2) for f in ("2018-06", "2018-07") for n in names}
+    os.makedirs(tmp_path / "none")
+    assert export_job.read_files(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        export_job.read_files(spark, str(tmp_path / "missing"))
