@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.functions import tsql
-from lading.operators.spread import hot_keys, spread_join
+from lading.operators.spread import checked_hot_rows, hot_keys, spread_join
 
 # Words that belong to the building although they carry no number.
 BUILDING_WORDS = ("FLOOR", "TOWER", "LANE")
@@ -66,7 +66,7 @@ def resolve_source(pickups: DataFrame, customers: DataFrame, hot_rows: int | Non
     if hot_rows is None:
         joined = pickups.join(owner, "customer_id", "left")
     else:
-        hot = hot_keys(pickups, ["customer_id"], hot_rows)
+        hot = hot_keys(pickups, ["customer_id"], checked_hot_rows(hot_rows))
         joined = spread_join(pickups, owner, ["customer_id"], hot, spread_by=["pickup_id"])
     return joined.select(
         "pickup_id",

@@ -95,7 +95,7 @@ def repoint(
         F.col("old_id").alias(column), F.col("survivor_id").alias("_survivor_id")
     )
     if hot is None and hot_rows is not None:
-        hot = hot_keys(table.select(F.col(column).alias("customer_id")), ["customer_id"], hot_rows)
+        hot = hot_keys(table.select(F.col(column).alias("customer_id")), ["customer_id"], checked_hot_rows(hot_rows))
     if hot is None:
         joined = table.join(merged, column, "left")
     else:
@@ -119,7 +119,7 @@ def shared_hot_keys(references: References, hot_rows: int) -> DataFrame:
         for table, columns in references.values()
         for column in columns
     ]
-    return hot_keys(reduce(DataFrame.unionAll, mentions), ["customer_id"], hot_rows)
+    return hot_keys(reduce(DataFrame.unionAll, mentions), ["customer_id"], checked_hot_rows(hot_rows))
 
 
 def repoint_all(references: References, walk: DataFrame, hot: DataFrame | None = None) -> dict[str, DataFrame]:

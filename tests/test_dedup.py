@@ -99,3 +99,9 @@ def test_few_rows_are_not_hot(spark):
         dedup.repoint(pickups, walk, hot_rows=10)
     with pytest.raises(ValueError, match="hot rows"):
         resolved(spark, hot_rows=10)
+
+
+def test_settings_that_make_many_keys_hot_are_refused(spark):
+    pickups = spark.createDataFrame([(1, 1)], "pickup_id long, customer_id long")
+    with pytest.raises(ValueError, match="hot rows"):
+        dedup.shared_hot_keys({"pickups": (pickups, ["customer_id"])}, 10)
